@@ -1,0 +1,5 @@
+"""Deliberately empty: the product is a batch rebuild without windows over time, state or late data.
+
+The row rules in ``plans.cleaning`` (labels, dates, spend sign, score range, flags) keep no state, so the
+functions they are made of also accept a streaming DataFrame; keep-first, medians and fact joins do not.
+"""

@@ -41,6 +41,10 @@ def mean(c: str | Column) -> Column:
     return total(c) / F.nullif(dbl(F.count(col(c))), F.lit(0.0))
 
 
+def n_rows() -> Column:
+    return F.count(F.lit(1))
+
+
 def count_where(cond: Column) -> Column:
     """Rows for which the condition is true, as bigint (0 for an empty input)."""
     return F.count_if(cond)

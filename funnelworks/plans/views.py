@@ -11,7 +11,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import dbl, mean, ratio, rounded, total
+from ..functions.numeric import dbl, mean, n_rows, ratio, rounded, total
 from ..model import Star
 
 
@@ -35,7 +35,7 @@ class Views:
         """V0: one row per lead with what became of it."""
         won = F.col("is_won") == 1
         per_lead = self.star.fact_opportunities.groupBy("lead_id").agg(
-            F.count(F.lit(1)).alias("n_opportunities"),
+            n_rows().alias("n_opportunities"),
             F.max("is_won").alias("any_won"),
             F.sum(F.when(won, F.col("won_value"))).alias("won_sum"),
             mean(F.when(won, F.col("sales_cycle_days"))).alias("won_cycle_days"),
@@ -66,7 +66,7 @@ class Views:
     def funnel_totals(self, *by: str) -> DataFrame:
         """Lead outcomes added up per group: the common base of the channel and campaign views."""
         return self.lead_outcomes.groupBy(*by).agg(
-            F.count(F.lit(1)).alias("leads"),
+            n_rows().alias("leads"),
             F.sum("is_mql").alias("mqls"),
             F.sum("is_sql").alias("sqls"),
             F.sum("has_opportunity").alias("opportunities"),
@@ -183,7 +183,7 @@ class Views:
         )
         leads = (
             star.fact_leads.groupBy(F.col("created_date_key").alias("date_key"))
-            .agg(F.count(F.lit(1)).alias("leads"), F.sum("is_mql").alias("mqls"), F.sum("is_sql").alias("sqls"))
+            .agg(n_rows().alias("leads"), F.sum("is_mql").alias("mqls"), F.sum("is_sql").alias("sqls"))
             .join(day, "date_key")
             .groupBy("year_month")
             .agg(*[F.sum(c).alias(c) for c in ("leads", "mqls", "sqls")])
@@ -191,7 +191,7 @@ class Views:
         won = (
             star.fact_opportunities.where("is_won = 1")
             .groupBy(F.coalesce("close_date_key", "created_date_key").alias("date_key"))
-            .agg(F.count(F.lit(1)).alias("customers"), F.sum("won_value").alias("won_revenue"))
+            .agg(n_rows().alias("customers"), F.sum("won_value").alias("won_revenue"))
             .join(day, "date_key")
             .groupBy("year_month")
             .agg(F.sum("customers").alias("customers"), total("won_revenue").alias("won_revenue"))
@@ -265,7 +265,7 @@ class Views:
         """V6: one row per customer with its billing history."""
         star = self.star
         history = star.fact_customer_monthly.groupBy("customer_id").agg(
-            F.count(F.lit(1)).alias("months_billed"),
+            n_rows().alias("months_billed"),
             total("mrr").alias("revenue_to_date"),
             F.max("is_churned").alias("has_churned"),
             F.max("year_month").alias("last_month"),

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 from .functions.numeric import dbl
+from .plans.analyses import ANALYSES
 from .plans.views import Views
 from .sources.warehouse import Warehouse
 
@@ -14,8 +16,14 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
+@lru_cache(maxsize=8)
+def _views(spark: SparkSession, folder: str) -> Views:
+    """The (lazy) plans over one folder, built once per session: building them costs more than small queries do."""
+    return Views(Warehouse(spark, folder).star())
+
+
 def _on_views(name: str, plan: Callable[[Views], DataFrame]) -> None:
-    QUERIES[name] = lambda spark, folder: plan(Views(Warehouse(spark, folder).star()))
+    QUERIES[name] = lambda spark, folder: plan(_views(spark, folder))
 
 
 _on_views("v0_lead_outcomes", lambda v: v.lead_outcomes.withColumn("won_value", dbl("won_value")))
@@ -25,3 +33,6 @@ _on_views("v3_funnel", lambda v: v.funnel)
 _on_views("v4_monthly_management", lambda v: v.monthly_management)
 _on_views("v5_opportunity_detail", lambda v: v.opportunity_detail)
 _on_views("v6_customer_value", lambda v: v.customer_value)
+
+for _ident, (_group, _title, _plan) in ANALYSES.items():
+    _on_views(f"{_ident}_{_plan.__name__}", _plan)

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from .analyses import ANALYSIS_QUERIES
 from .compose import compose
-from .star import STAR, STEPS
+from .star import STEPS
 
 VIEW_QUERIES = {
     "v0_lead_outcomes": "SELECT * REPLACE (won_value::DOUBLE AS won_value) FROM v0",
@@ -16,4 +17,5 @@ VIEW_QUERIES = {
 }
 
 EXPECTED: dict[str, str] = {}
-EXPECTED.update({name: compose(STEPS, sql) for name, sql in VIEW_QUERIES.items()})
+for _queries in (VIEW_QUERIES, ANALYSIS_QUERIES):
+    EXPECTED.update({name: compose(STEPS, sql) for name, sql in _queries.items()})

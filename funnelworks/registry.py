@@ -3,14 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import lru_cache
+from functools import lru_cache, partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .functions.numeric import dbl
+from .model import Exports, Reference
+from .plans import quality
 from .plans.analyses import ANALYSES
+from .plans.build import Build, build
+from .plans.cleaning import Cleaning
+from .plans.integrity import integrity_tests
 from .plans.views import Views
-from .sources.warehouse import Warehouse
+from .session import work_dir
+from .sources.messy import MessyExports
+from .sources.tables import written
+from .sources.warehouse import CALENDAR, PERIOD, Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -22,6 +31,45 @@ def _views(spark: SparkSession, folder: str) -> Views:
     return Views(Warehouse(spark, folder).star())
 
 
+@lru_cache(maxsize=8)
+def _cleaning(spark: SparkSession, folder: str) -> Cleaning:
+    messy = MessyExports(Warehouse(spark, folder))
+    return Cleaning(messy.exports(), messy.reference(), CALENDAR, PERIOD)
+
+
+@lru_cache(maxsize=8)
+def _delivered(spark: SparkSession, folder: str) -> tuple[Exports, Reference]:
+    """The raw exports written once, as the tools would deliver them, for jobs that read them many times."""
+    messy = MessyExports(Warehouse(spark, folder))
+    target = work_dir(spark, "exports")
+    raw = Exports({n: partial(written, messy.exports()[n], f"{target}/{n}") for n in Exports.names})
+    return raw, messy.reference()
+
+
+@lru_cache(maxsize=8)
+def _built(spark: SparkSession, folder: str) -> Build:
+    """One full rebuild per session and folder: the audits and suites below all look at its published tables."""
+    raw, reference = _delivered(spark, folder)
+    return build(spark, Cleaning(raw, reference, CALENDAR, PERIOD), work_dir(spark, "star"))
+
+
+@lru_cache(maxsize=8)
+def _built_views(spark: SparkSession, folder: str) -> Views:
+    return Views(_built(spark, folder).star)
+
+
+def _on_cleaning(name: str, plan: Callable[[Cleaning], DataFrame]) -> None:
+    QUERIES[name] = lambda spark, folder: plan(_cleaning(spark, folder))
+
+
+def _on_build(name: str, plan: Callable[[Build], DataFrame]) -> None:
+    QUERIES[name] = lambda spark, folder: plan(_built(spark, folder))
+
+
+def _on_built_views(name: str, plan: Callable[[Views], DataFrame]) -> None:
+    QUERIES[name] = lambda spark, folder: plan(_built_views(spark, folder))
+
+
 def _on_views(name: str, plan: Callable[[Views], DataFrame]) -> None:
     QUERIES[name] = lambda spark, folder: plan(_views(spark, folder))
 
@@ -36,3 +84,33 @@ _on_views("v6_customer_value", lambda v: v.customer_value)
 
 for _ident, (_group, _title, _plan) in ANALYSES.items():
     _on_views(f"{_ident}_{_plan.__name__}", _plan)
+
+
+# ---- raw exports, cleaning, quality
+def _plain(df: DataFrame) -> DataFrame:
+    """Money as double and days as ISO text: the types the results are exchanged in."""
+    kinds = dict(df.dtypes)
+    return df.select(
+        *[
+            dbl(c).alias(c) if k.startswith("decimal") else F.col(c).cast("string").alias(c) if k == "date" else F.col(c)
+            for c, k in kinds.items()
+        ]
+    )
+
+
+for _name in Exports.names:
+    _on_cleaning(f"raw_{_name}", lambda c, n=_name: _plain(c.raw[n]))
+_on_cleaning("clean_marketing", lambda c: _plain(c.marketing))
+_on_cleaning("clean_leads", lambda c: _plain(c.leads))
+_on_cleaning("clean_opportunities", lambda c: _plain(c.opportunities))
+_on_cleaning("clean_customers", lambda c: _plain(c.customers))
+_on_cleaning("clean_customer_monthly", lambda c: _plain(c.customer_monthly))
+_on_cleaning("clean_dim_date", lambda c: _plain(c.star().dim_date))
+
+# ---- the rebuild and its audit
+_on_build("cleaning_log", lambda b: b.log)
+_on_build("dq_checks", lambda b: b.checks)
+_on_build("dq_row_counts", lambda b: b.row_counts)
+_on_build("dq_totals", lambda b: quality.totals(b.checks))
+_on_build("constraints", lambda b: b.constraints)
+_on_built_views("integrity_tests", integrity_tests)

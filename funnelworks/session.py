@@ -42,7 +42,7 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
 
     Only a local session may fall back to a temporary folder: on a cluster, executors do not share one.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not shared:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")

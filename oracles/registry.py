@@ -3,6 +3,17 @@
 from __future__ import annotations
 
 from .analyses import ANALYSIS_QUERIES
+from funnelworks.schemas import EXPORT_SCHEMAS, STAR_SCHEMAS
+
+from .clean import (
+    CLEAN_STAR_STEPS,
+    CLEAN_STEPS,
+    CONSTRAINT_ROWS,
+    DQ_TOTALS,
+    INTEGRITY,
+    REPORT_STEPS,
+    plain,
+)
 from .compose import compose
 from .star import STEPS
 
@@ -19,3 +30,24 @@ VIEW_QUERIES = {
 EXPECTED: dict[str, str] = {}
 for _queries in (VIEW_QUERIES, ANALYSIS_QUERIES):
     EXPECTED.update({name: compose(STEPS, sql) for name, sql in _queries.items()})
+
+_CLEAN_TABLES = {
+    "clean_marketing": "fact_marketing_daily",
+    "clean_leads": "fact_leads",
+    "clean_opportunities": "fact_opportunities",
+    "clean_customers": "dim_customer",
+    "clean_customer_monthly": "fact_customer_monthly",
+}
+CLEANING_QUERIES = {
+    **{f"raw_{n}": plain({**c, "_pos": "bigint"}, f"raw_{n}") for n, c in EXPORT_SCHEMAS.items()},
+    **{n: plain(STAR_SCHEMAS[t], n) for n, t in _CLEAN_TABLES.items()},
+    "clean_dim_date": plain(STAR_SCHEMAS["dim_date"], "dim_date"),
+    "cleaning_log": "FROM dq_log",
+    "dq_checks": "FROM dq_results",
+    "dq_row_counts": "FROM dq_rows",
+    "dq_totals": DQ_TOTALS,
+}
+EXPECTED.update({n: compose({**CLEAN_STEPS, **REPORT_STEPS}, sql) for n, sql in CLEANING_QUERIES.items()})
+EXPECTED.update(
+    {n: compose(CLEAN_STAR_STEPS, sql) for n, sql in {"constraints": CONSTRAINT_ROWS, "integrity_tests": INTEGRITY}.items()}
+)

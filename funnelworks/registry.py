@@ -15,6 +15,9 @@ from .plans.analyses import ANALYSES
 from .plans.build import Build, build
 from .plans.cleaning import Cleaning
 from .plans.integrity import integrity_tests
+from .plans.measures import MEASURES
+from .plans.model import ReportModel, report_model
+from .plans.reports import DATASETS, Reports
 from .plans.views import Views
 from .session import work_dir
 from .sources.messy import MessyExports
@@ -58,6 +61,16 @@ def _built_views(spark: SparkSession, folder: str) -> Views:
     return Views(_built(spark, folder).star)
 
 
+@lru_cache(maxsize=8)
+def _reports(spark: SparkSession, folder: str) -> Reports:
+    b = _built(spark, folder)
+    return Reports(report_model(b.star, b.checks, b.row_counts, b.log), _built_views(spark, folder))
+
+
+def _on_reports(name: str, plan: Callable[[Reports], DataFrame]) -> None:
+    QUERIES[name] = lambda spark, folder: plan(_reports(spark, folder))
+
+
 def _on_cleaning(name: str, plan: Callable[[Cleaning], DataFrame]) -> None:
     QUERIES[name] = lambda spark, folder: plan(_cleaning(spark, folder))
 
@@ -114,3 +127,47 @@ _on_build("dq_row_counts", lambda b: b.row_counts)
 _on_build("dq_totals", lambda b: quality.totals(b.checks))
 _on_build("constraints", lambda b: b.constraints)
 _on_built_views("integrity_tests", integrity_tests)
+
+
+# ---- report model, measures and report datasets, over the published star
+for _name in ReportModel.names:
+    _on_reports(f"model_{_name}", lambda r, n=_name: _plain(r.model[n]))
+
+MONTHLY_CHANGE = ["mom_leads", "mom_revenue"]
+TOTAL_MEASURES = [m for m in MEASURES if m not in MONTHLY_CHANGE]
+FACT_MEASURES = [
+    m for m in TOTAL_MEASURES if MEASURES[m].home.startswith("Fact") and not m.startswith("campaigns_to")
+]
+BY_REGION = [
+    m
+    for m in FACT_MEASURES
+    if MEASURES[m].home != "FactMarketingDaily" and m != "session_to_lead_rate"
+]
+_on_reports("measures_total", lambda r: r.evaluator.evaluate(TOTAL_MEASURES))
+_on_reports("measures_by_channel", lambda r: r.evaluator.evaluate(FACT_MEASURES, ["DimChannel.channel_name"]))
+_on_reports("measures_by_campaign", lambda r: r.evaluator.evaluate(FACT_MEASURES, ["DimCampaign.campaign_name"]))
+_on_reports("measures_by_region", lambda r: r.evaluator.evaluate(BY_REGION, ["DimRegion.region_name"]))
+_on_reports(
+    "measures_by_month", lambda r: r.evaluator.evaluate([*FACT_MEASURES, *MONTHLY_CHANGE], ["DimDate.year_month"])
+)
+_on_reports(
+    "measures_filtered",
+    lambda r: r.evaluator.evaluate(
+        ["leads", "customers", "share_of_leads", "share_of_customers", "mom_leads", "mrr_end_of_period", "paid_spend"],
+        ["DimDate.year_month", "DimChannel.channel_name"],
+        {
+            "DimDate.year": lambda c: c == 1998,
+            "DimChannel.channel_name": lambda c: c.isin("BUILDING", "FURNITURE", "MACHINERY"),
+        },
+    ),
+)
+for _ident in DATASETS:
+    _on_reports(_ident, lambda r, i=_ident: r.dataset(i))
+_on_reports("rd13", lambda r: r.evaluator.evaluate(["leads", "mqls", "sqls", "opportunities", "customers"]))
+_on_reports("rd21", lambda r: r.funnel())
+_on_reports("rd23", lambda r: r.conversion_by_band())
+_on_reports("rd62", lambda r: r.model["DataQualityRowCounts"])
+_on_reports("rd63", lambda r: r.model["CleaningLog"])
+_on_reports("rd_channel_rank", lambda r: r.channel_rank())
+_on_reports("rd_revenue_trend", lambda r: r.revenue_trend())
+_on_reports("rd_biggest_open", lambda r: r.biggest_open())

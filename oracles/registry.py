@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .analyses import ANALYSIS_QUERIES
+from funnelworks.registry import BY_REGION, FACT_MEASURES, MONTHLY_CHANGE, TOTAL_MEASURES
 from funnelworks.schemas import EXPORT_SCHEMAS, STAR_SCHEMAS
 
 from .clean import (
@@ -15,6 +16,8 @@ from .clean import (
     plain,
 )
 from .compose import compose
+from .measures import FILTERED, REPORT_QUERIES, by_month, evaluated
+from .measures import STEPS as REPORT_MODEL_STEPS
 from .star import STEPS
 
 VIEW_QUERIES = {
@@ -51,3 +54,13 @@ EXPECTED.update({n: compose({**CLEAN_STEPS, **REPORT_STEPS}, sql) for n, sql in
 EXPECTED.update(
     {n: compose(CLEAN_STAR_STEPS, sql) for n, sql in {"constraints": CONSTRAINT_ROWS, "integrity_tests": INTEGRITY}.items()}
 )
+
+MEASURE_QUERIES = {
+    "measures_total": evaluated(TOTAL_MEASURES, []),
+    "measures_by_channel": evaluated(FACT_MEASURES, ["channel_name"]),
+    "measures_by_campaign": evaluated(FACT_MEASURES, ["campaign_name"]),
+    "measures_by_region": evaluated(BY_REGION, ["region_name"]),
+    "measures_by_month": by_month([*FACT_MEASURES, *MONTHLY_CHANGE]),
+    "measures_filtered": FILTERED,
+}
+EXPECTED.update({n: compose(REPORT_MODEL_STEPS, sql) for n, sql in {**MEASURE_QUERIES, **REPORT_QUERIES}.items()})

@@ -8,8 +8,10 @@ from functools import lru_cache, partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions.numeric import dbl
+from .functions.numeric import MONEY, dbl
 from .model import Exports, Reference
+from .operators.dedupe import COPIES, POSITION, collapse_exact, keep_first
+from .operators.median import twice_median
 from .plans import quality
 from .plans.analyses import ANALYSES
 from .plans.build import Build, build
@@ -17,9 +19,12 @@ from .plans.cleaning import Cleaning
 from .plans.integrity import integrity_tests
 from .plans.measures import MEASURES
 from .plans.model import ReportModel, report_model
+from .plans.reconcile import kpi_summary, reconciliation, reconciliation_summary
 from .plans.reports import DATASETS, Reports
+from .plans.suite import run_log
 from .plans.views import Views
 from .session import work_dir
+from .sources.exports import read_exports, sample, write_exports
 from .sources.messy import MessyExports
 from .sources.tables import written
 from .sources.warehouse import CALENDAR, PERIOD, Warehouse
@@ -171,3 +176,67 @@ _on_reports("rd63", lambda r: r.model["CleaningLog"])
 _on_reports("rd_channel_rank", lambda r: r.channel_rank())
 _on_reports("rd_revenue_trend", lambda r: r.revenue_trend())
 _on_reports("rd_biggest_open", lambda r: r.biggest_open())
+_on_reports("reconciliation", lambda r: reconciliation(r.model, r.views))
+_on_reports("reconciliation_summary", lambda r: reconciliation_summary(reconciliation(r.model, r.views)))
+_on_built_views("kpi_summary", kpi_summary)
+_on_built_views("run_log", run_log)
+
+# ---- sources and sinks
+for _name in Exports.names:
+    _on_cleaning(f"sample_{_name}", lambda c, n=_name: _plain(sample(c.raw[n])))
+
+
+@lru_cache(maxsize=8)
+def _from_csv(spark: SparkSession, folder: str) -> Cleaning:
+    """Cleaning of the exports as CSV files: written once, read back with the positions of the files."""
+    raw, reference = _delivered(spark, folder)
+    target = work_dir(spark, "csv")
+    write_exports(raw, target)
+    return Cleaning(read_exports(spark, target), reference, CALENDAR, PERIOD)
+
+
+def _on_csv(name: str, plan: Callable[[Cleaning], DataFrame]) -> None:
+    QUERIES[name] = lambda spark, folder: plan(_from_csv(spark, folder))
+
+
+_on_csv("csv_marketing", lambda c: _plain(c.marketing))
+_on_csv("csv_leads", lambda c: _plain(c.leads))
+_on_csv("csv_opportunities", lambda c: _plain(c.opportunities))
+_on_csv("csv_customer_monthly", lambda c: _plain(c.customer_monthly))
+
+
+def _on_tables(name: str, plan: Callable[[Warehouse], DataFrame]) -> None:
+    QUERIES[name] = lambda spark, folder: plan(Warehouse(spark, folder))
+
+
+# ---- general operators on base tables
+def first_line(w: Warehouse) -> DataFrame:
+    """The first of the lines that share an order and line number, in the order of all their other columns."""
+    lines = w.table("lineitem")
+    rest = [c for c in lines.columns if c not in ("l_orderkey", "l_linenumber")]
+    placed = lines.withColumn(POSITION, F.struct(*[F.col(c) for c in rest]))
+    return keep_first(placed, ["l_orderkey", "l_linenumber"]).select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", F.col(COPIES).alias("copies")
+    )
+
+
+def exact_copies(w: Warehouse) -> DataFrame:
+    """Distinct (order status, priority, day) combinations with the first order of each and its copies."""
+    orders = w.table("orders").select(
+        "o_orderstatus", "o_orderpriority", F.col("o_orderdate").cast("date").cast("string").alias("day"),
+        F.col("o_orderkey").alias(POSITION),
+    )
+    return collapse_exact(orders).withColumnsRenamed({POSITION: "first_order", COPIES: "copies"})
+
+
+def price_median(w: Warehouse) -> DataFrame:
+    """Exact median line price per return flag, a key that holds a third of all lines."""
+    prices = w.table("lineitem").select("l_returnflag", F.col("l_extendedprice").cast(MONEY).alias("price"))
+    return twice_median(prices, "l_returnflag", "price").select(
+        "l_returnflag", (dbl("twice_median") / 2).alias("median_price")
+    )
+
+
+_on_tables("keep_first_lines", first_line)
+_on_tables("collapse_exact_orders", exact_copies)
+_on_tables("median_price", price_median)

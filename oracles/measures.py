@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from .clean import CLEAN_STAR_STEPS, REPORT_STEPS
-from .compose import dbl, div
+from .compose import dbl, div, rnd
 
 _JOINS = """LEFT JOIN dim_channel USING (channel_id)
             LEFT JOIN m_campaign ON m_campaign.campaign_id = coalesce({t}.campaign_id, 0)"""
@@ -263,3 +263,109 @@ REPORT_QUERIES = {
         FROM ({evaluated(["won_revenue"], MO)}) WINDOW w AS (ORDER BY year_month ROWS 2 PRECEDING)""",
     "rd_biggest_open": f"SELECT * FROM ({_OPEN}) ORDER BY open_pipeline DESC NULLS LAST, campaign_name LIMIT 6",
 }
+
+
+# ------------------------------------------------------------------ reconciliation and summary
+WHOLE = [
+    "total_spend", "impressions", "clicks", "sessions", "ctr", "cpc", "leads", "mqls", "sqls", "avg_lead_score",
+    "opportunities", "customers", "session_to_lead_rate", "lead_to_mql_rate", "mql_to_sql_rate", "sql_to_customer_rate",
+    "lead_to_customer_rate", "cpl", "cac", "won_revenue", "revenue_per_spend", "average_deal_value",
+    "average_sales_cycle", "win_rate", "open_pipeline", "lost_value", "mrr", "mrr_end_of_period", "active_customers",
+    "churned_customers", "churn_rate", "issues_found_raw", "blocking_errors_left", "documented_warnings", "rows_loaded",
+    "rows_removed",
+]
+_CHANNEL = ["leads", "customers", "won_revenue", "cpl", "cac", "win_rate"]
+_MONTH = ["leads", "mom_leads", "mom_revenue"]
+
+# the same whole-period figures, this time one by one from the facts
+_F = {"m": "fact_marketing_daily", "l": "fact_leads", "o": "fact_opportunities", "b": "fact_customer_monthly"}
+
+
+def _of(table: str, expr: str, where: str = "TRUE") -> str:
+    return f"(SELECT {expr} FROM {_F[table]} WHERE {where})"
+
+
+_SP, _LE, _CU = _of("m", "sum(spend)"), _of("l", "count(*)"), _of("o", "sum(is_won)")
+_RE, _SE = _of("o", "sum(won_value)", "is_won = 1"), _of("m", "sum(sessions)")
+_MQ, _SQ = _of("l", "sum(is_mql)"), _of("l", "sum(is_sql)")
+_CL = _of("o", "count(*)", "status IN ('Won', 'Lost')")
+_AC, _CHN = _of("b", "count(DISTINCT customer_id)", "is_active = 1"), _of("b", "sum(is_churned)")
+DIRECT = {
+    "total_spend": _SP, "impressions": _of("m", "sum(impressions)"), "clicks": _of("m", "sum(clicks)"), "sessions": _SE,
+    "ctr": _of("m", div("sum(clicks)", "sum(impressions)")), "cpc": _of("m", div("sum(spend)", "sum(clicks)")),
+    "leads": _LE, "mqls": _MQ, "sqls": _SQ, "avg_lead_score": _of("l", div("sum(lead_score)", "count(lead_score)")),
+    "opportunities": _of("o", "count(*)"), "customers": _CU, "session_to_lead_rate": div(_LE, _SE),
+    "lead_to_mql_rate": div(_MQ, _LE), "mql_to_sql_rate": div(_SQ, _MQ), "sql_to_customer_rate": div(_CU, _SQ),
+    "lead_to_customer_rate": div(_CU, _LE), "cpl": div(_SP, _LE), "cac": div(_SP, _CU), "won_revenue": _RE,
+    "revenue_per_spend": div(_RE, _SP), "average_deal_value": _of("o", div("sum(won_value)", "count(*)"), "is_won = 1"),
+    "average_sales_cycle": _of("o", div("sum(sales_cycle_days)", "count(sales_cycle_days)"), "is_won = 1"),
+    "win_rate": div(_CU, _CL), "open_pipeline": _of("o", "sum(expected_value)", "status = 'Open'"),
+    "lost_value": _of("o", "sum(expected_value)", "status = 'Lost'"), "mrr": _of("b", "sum(mrr)", "is_active = 1"),
+    "mrr_end_of_period": _of("b", "sum(mrr)", "is_active = 1 AND year_month = (SELECT max(year_month) FROM fact_customer_monthly)"),
+    "active_customers": _AC, "churned_customers": _CHN, "churn_rate": div(_CHN, f"{_AC} + {_CHN}"),
+    **{m: FORMULAS[m] for m in WHOLE[-5:]},
+}
+
+
+def _pairs(source: str, scope: str, metrics: dict[str, str]) -> str:
+    names = ", ".join(f"'{m}'" for m in metrics)
+    values = ", ".join(dbl(v) for v in metrics.values())
+    return f"SELECT {scope} AS scope, unnest([{names}]) AS metric, unnest([{values}]) AS value FROM ({source})"
+
+
+def _same(names: list[str]) -> dict[str, str]:
+    return {n: n for n in names}
+
+
+_MONTH_SQL = by_month(["leads", "won_revenue", "mom_leads", "mom_revenue"])
+_V1_CLOSED = """SELECT v1.*, closed FROM v1 LEFT JOIN (SELECT channel_id, count(*) AS closed FROM fact_opportunities
+                WHERE status IN ('Won', 'Lost') GROUP BY 1) USING (channel_id)"""
+RECONCILE_STEPS = {
+    "r_measured": " UNION ALL ".join(
+        [
+            _pairs(evaluated(WHOLE, []), "'Whole period'", _same(WHOLE)),
+            _pairs(evaluated(_CHANNEL, CH), "channel_name", _same(_CHANNEL)),
+            _pairs(_MONTH_SQL, "year_month", _same(_MONTH)),
+        ]
+    ),
+    "r_viewed": " UNION ALL ".join(
+        [
+            _pairs("SELECT 1", "'Whole period'", {m: DIRECT[m] for m in WHOLE}),
+            _pairs(_V1_CLOSED, "channel_name", {**_same(_CHANNEL[:-1]), "win_rate": div("customers", "closed")}),
+            _pairs("FROM v4", "year_month", _same(_MONTH)),
+        ]
+    ),
+    "reconciled": """
+        SELECT scope, metric, m.value AS measure_value, v.value AS view_value,
+               CASE WHEN m.value IS NULL AND v.value IS NULL THEN 'PASS' WHEN m.value IS NULL OR v.value IS NULL THEN 'FAIL'
+                    WHEN abs(m.value - v.value) <= greatest(0.01, 0.005 * abs(v.value)) THEN 'PASS' ELSE 'FAIL' END AS status
+        FROM r_measured m JOIN r_viewed v USING (scope, metric)""",
+}
+
+_LAST = "(SELECT {c} FROM v4 ORDER BY year_month DESC LIMIT 1)"
+_PAID = "FILTER (WHERE is_paid = 1)"
+KPI_SUMMARY = f"""
+    SELECT '1995-01-01 to 2001-12-31' AS period, {rnd(_SP, 2)} AS total_spend, {DIRECT["impressions"]}{B} AS impressions,
+           {DIRECT["clicks"]}{B} AS clicks, {_SE}{B} AS sessions, {_LE} AS leads, {_MQ}{B} AS mqls, {_SQ}{B} AS sqls,
+           (SELECT sum(has_opportunity) FROM v0){B} AS opportunities, (SELECT sum(is_customer) FROM v0){B} AS customers,
+           {rnd("(SELECT sum(won_value) FROM v0)", 2)} AS won_revenue,
+           {rnd("100.0::DOUBLE * " + DIRECT["ctr"], 2)} AS ctr_pct, {rnd(DIRECT["cpl"], 2)} AS blended_cpl,
+           {rnd(div(_SP, "(SELECT sum(is_customer) FROM v0)"), 2)} AS blended_cac,
+           {rnd("100.0::DOUBLE * " + div("(SELECT sum(is_customer) FROM v0)", _LE), 2)} AS lead_to_customer_pct,
+           {rnd(div("(SELECT sum(won_value) FROM v0)", _SP), 2)} AS revenue_to_spend,
+           {rnd(div(f"sum(spend::DECIMAL(38,2)) {_PAID}", f"sum(customers) {_PAID}"), 2)} AS paid_cac,
+           {rnd("100.0::DOUBLE * " + div("sum(won_revenue::DECIMAL(38,2)) FILTER (WHERE is_paid = 0)",
+                                         "sum(won_revenue::DECIMAL(38,2))"), 1)} AS non_paid_revenue_share_pct,
+           {rnd(_LAST.format(c="mrr"), 2)} AS ending_mrr, {_LAST.format(c="active_customers")}{B} AS active_customers_end,
+           (SELECT channel_name FROM v1 ORDER BY won_revenue DESC NULLS LAST, channel_name DESC LIMIT 1) AS top_revenue_channel,
+           (SELECT channel_name FROM v1 WHERE is_paid = 1 ORDER BY cac NULLS LAST, channel_name LIMIT 1)
+               AS lowest_paid_cac_channel
+    FROM v1"""
+
+CHECK_QUERIES = {
+    "reconciliation": "FROM reconciled",
+    "reconciliation_summary": """
+        SELECT count(*) AS comparisons, count(*) FILTER (WHERE status = 'PASS') AS passed,
+               count(*) FILTER (WHERE status = 'FAIL') AS failed FROM reconciled""",
+    "kpi_summary": KPI_SUMMARY,
+}

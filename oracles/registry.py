@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .analyses import ANALYSIS_QUERIES
+from funnelworks.plans.analyses import ANALYSES
 from funnelworks.registry import BY_REGION, FACT_MEASURES, MONTHLY_CHANGE, TOTAL_MEASURES
 from funnelworks.schemas import EXPORT_SCHEMAS, STAR_SCHEMAS
 
@@ -15,8 +16,8 @@ from .clean import (
     REPORT_STEPS,
     plain,
 )
-from .compose import compose
-from .measures import FILTERED, REPORT_QUERIES, by_month, evaluated
+from .compose import compose, union
+from .measures import CHECK_QUERIES, FILTERED, RECONCILE_STEPS, REPORT_QUERIES, by_month, evaluated
 from .measures import STEPS as REPORT_MODEL_STEPS
 from .star import STEPS
 
@@ -64,3 +65,40 @@ MEASURE_QUERIES = {
     "measures_filtered": FILTERED,
 }
 EXPECTED.update({n: compose(REPORT_MODEL_STEPS, sql) for n, sql in {**MEASURE_QUERIES, **REPORT_QUERIES}.items()})
+EXPECTED.update({n: compose({**REPORT_MODEL_STEPS, **RECONCILE_STEPS}, sql) for n, sql in CHECK_QUERIES.items()})
+
+# the run log counts the rows of every question, asked of the clean tables
+_RUN_LOG = union(
+    [
+        f"""SELECT '{group}' AS suite, '{i}' AS label, n AS rows_returned, if(n > 0, 'PASS', 'EMPTY') AS status
+            FROM (SELECT count(*) AS n FROM ({ANALYSIS_QUERIES[f"{i}_{plan.__name__}"]}))"""
+        for i, (group, _, plan) in ANALYSES.items()
+    ]
+    + [
+        f"""SELECT 'integrity' AS suite, test_name AS label, 1::BIGINT AS rows_returned,
+                   if(failures = 0, 'PASS', 'FAIL (' || failures || ')') AS status FROM ({INTEGRITY})"""
+    ]
+)
+EXPECTED["run_log"] = compose(CLEAN_STAR_STEPS, _RUN_LOG)
+
+SOURCE_QUERIES = {
+    **{
+        f"sample_{n}": plain(c, f"(SELECT * FROM raw_{n} ORDER BY _pos LIMIT 200)") for n, c in EXPORT_SCHEMAS.items()
+    },
+    "csv_marketing": CLEANING_QUERIES["clean_marketing"],
+    "csv_leads": CLEANING_QUERIES["clean_leads"],
+    "csv_opportunities": CLEANING_QUERIES["clean_opportunities"],
+    "csv_customer_monthly": CLEANING_QUERIES["clean_customer_monthly"],
+    "keep_first_lines": """
+        SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice, copies
+        FROM (SELECT *, count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS copies FROM lineitem)
+        QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_quantity, l_extendedprice,
+                                   l_discount, l_returnflag, l_shipdate) = 1""",
+    "collapse_exact_orders": """
+        SELECT o_orderstatus, o_orderpriority, o_orderdate::DATE::VARCHAR AS "day", min(o_orderkey) AS first_order,
+               count(*) AS copies FROM orders GROUP BY ALL""",
+    "median_price": """
+        SELECT l_returnflag, (2 * median((l_extendedprice * 100)::BIGINT::DOUBLE)) / 100 / 2 AS median_price
+        FROM lineitem GROUP BY l_returnflag""",
+}
+EXPECTED.update({n: compose(CLEAN_STEPS, sql) for n, sql in SOURCE_QUERIES.items()})

@@ -4,14 +4,19 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..model import Star
 from ..operators.constraints import check_constraints
-from ..sources.tables import mark_published, read_star, written, write_star
+from ..session import together
+from ..sources.tables import mark_published, read_published, read_star, write_star, written
 from .cleaning import Cleaning
+from .integrity import integrity_tests
 from .quality import GateError, Quality, gate
+from .views import Views
+
+VIEWS = "views"
 
 
 @dataclass(frozen=True)
@@ -22,29 +27,45 @@ class Build:
     checks: DataFrame
     row_counts: DataFrame
     constraints: DataFrame
+    integrity: DataFrame
+    views: Views
 
 
 def build(spark: SparkSession, cleaning: Cleaning, folder: str) -> Build:
-    """Writes the clean star and its quality reports below ``folder``; publishes them only if the audit passes.
+    """Writes the clean star, its reporting views and its quality reports; publishes them only if the audit passes.
 
-    The audit runs on the written tables, so what was checked is what readers get. On a violation GateError is raised
-    and the build stays unpublished; the tables and reports remain for inspection.
+    The audit - quality gate, declared constraints, integrity tests - runs on the written tables, so what was checked
+    is what readers get. On a violation GateError is raised and the build stays unpublished; the tables and reports
+    remain for inspection.
     """
     cleaning.materialise(f"{folder}/work")
     write_star(cleaning.star(), folder)
     star = read_star(spark, folder, cleaning.period)
     quality = Quality(cleaning.raw, cleaning.ref, star)
-    result = Build(
-        folder,
-        star,
-        written(cleaning.log, f"{folder}/cleaning_log"),
-        written(quality.checks, f"{folder}/data_quality_results"),
-        written(quality.rows, f"{folder}/row_counts"),
-        written(check_constraints(star), f"{folder}/constraints"),
+    log, checks, rows, constraints, views = together(
+        [
+            lambda: written(cleaning.log, f"{folder}/cleaning_log"),
+            lambda: written(quality.checks, f"{folder}/data_quality_results"),
+            lambda: written(quality.rows, f"{folder}/row_counts"),
+            lambda: written(check_constraints(star), f"{folder}/constraints"),
+            lambda: Views(star).publish(f"{folder}/{VIEWS}"),
+        ]
     )
-    gate(result.checks)
-    broken = result.constraints.where("failures > 0").orderBy(F.col("failures").desc()).limit(20).collect()
-    if broken:
-        raise GateError("; ".join(f"{r.table}: {r.constraint} ({r.kind}): {r.failures}" for r in broken))
+    integrity = written(integrity_tests(views), f"{folder}/integrity_tests")
+    gate(checks)
+    _require_none(constraints, F.concat_ws(" ", "table", "constraint", "kind"))
+    _require_none(integrity, F.col("test_name"))
     mark_published(spark, folder, cleaning.period)
-    return result
+    return Build(folder, star, log, checks, rows, constraints, integrity, views)
+
+
+def _require_none(results: DataFrame, name: Column) -> None:
+    """Raises when a row has failures; names the worst of them."""
+    broken = results.where("failures > 0").orderBy(F.col("failures").desc()).limit(20)
+    found = [f"{r.name}: {r.failures}" for r in broken.select(name.alias("name"), "failures").collect()]
+    if found:
+        raise GateError("; ".join(found))
+
+
+def read_published_views(spark: SparkSession, folder: str) -> Views:
+    return Views.published(read_published(spark, folder), f"{folder}/{VIEWS}")

@@ -6,13 +6,15 @@ a partition run only on such reduced frames: at most one row per channel, campai
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import dbl, mean, n_rows, ratio, rounded, total
 from ..model import Star
+from ..session import together
+from ..sources.tables import written
 
 
 
@@ -27,9 +29,26 @@ def unless_zero(c: str):
 class Views:
     """Views over one star, built once per instance."""
 
+    # Views that a build publishes as tables. Lead outcomes hold the only join of two facts; the others are one row
+    # per channel, campaign or month, so the questions asked of them do not touch a fact again.
+    PUBLISHED = ["lead_outcomes", "channel_performance", "campaign_performance", "monthly_management"]
+
     def __init__(self, star: Star):
         self.star = star
 
+    def publish(self, folder: str) -> Views:
+        """Write the views worth keeping, each from the ones before, and continue from the written tables."""
+        keep = lambda name: self.__dict__.update({name: written(getattr(self, name), f"{folder}/{name}")})
+        keep(self.PUBLISHED[0])
+        together([partial(keep, name) for name in self.PUBLISHED[1:]])
+        return self
+
+    @classmethod
+    def published(cls, star: Star, folder: str) -> Views:
+        views = cls(star)
+        views.__dict__.update({n: star.spark.read.parquet(f"{folder}/{n}") for n in cls.PUBLISHED})
+        return views
+
     @cached_property
     def lead_outcomes(self) -> DataFrame:
         """V0: one row per lead with what became of it."""

@@ -16,14 +16,13 @@ from .plans import quality
 from .plans.analyses import ANALYSES
 from .plans.build import Build, build
 from .plans.cleaning import Cleaning
-from .plans.integrity import integrity_tests
 from .plans.measures import MEASURES
 from .plans.model import ReportModel, report_model
 from .plans.reconcile import kpi_summary, reconciliation, reconciliation_summary
 from .plans.reports import DATASETS, Reports
 from .plans.suite import run_log
 from .plans.views import Views
-from .session import work_dir
+from .session import together, work_dir
 from .sources.exports import read_exports, sample, write_exports
 from .sources.messy import MessyExports
 from .sources.tables import written
@@ -46,30 +45,26 @@ def _cleaning(spark: SparkSession, folder: str) -> Cleaning:
 
 
 @lru_cache(maxsize=8)
-def _delivered(spark: SparkSession, folder: str) -> tuple[Exports, Reference]:
+def delivered(spark: SparkSession, folder: str) -> tuple[Exports, Reference]:
     """The raw exports written once, as the tools would deliver them, for jobs that read them many times."""
     messy = MessyExports(Warehouse(spark, folder))
     target = work_dir(spark, "exports")
-    raw = Exports({n: partial(written, messy.exports()[n], f"{target}/{n}") for n in Exports.names})
-    return raw, messy.reference()
+    derived = messy.exports()
+    frames = together([partial(written, derived[n], f"{target}/{n}") for n in Exports.names])
+    return Exports({n: partial(lambda df: df, df) for n, df in zip(Exports.names, frames)}), messy.reference()
 
 
 @lru_cache(maxsize=8)
 def _built(spark: SparkSession, folder: str) -> Build:
     """One full rebuild per session and folder: the audits and suites below all look at its published tables."""
-    raw, reference = _delivered(spark, folder)
+    raw, reference = delivered(spark, folder)
     return build(spark, Cleaning(raw, reference, CALENDAR, PERIOD), work_dir(spark, "star"))
 
 
-@lru_cache(maxsize=8)
-def _built_views(spark: SparkSession, folder: str) -> Views:
-    return Views(_built(spark, folder).star)
-
-
 @lru_cache(maxsize=8)
 def _reports(spark: SparkSession, folder: str) -> Reports:
     b = _built(spark, folder)
-    return Reports(report_model(b.star, b.checks, b.row_counts, b.log), _built_views(spark, folder))
+    return Reports(report_model(b.star, b.checks, b.row_counts, b.log), b.views)
 
 
 def _on_reports(name: str, plan: Callable[[Reports], DataFrame]) -> None:
@@ -85,7 +80,7 @@ def _on_build(name: str, plan: Callable[[Build], DataFrame]) -> None:
 
 
 def _on_built_views(name: str, plan: Callable[[Views], DataFrame]) -> None:
-    QUERIES[name] = lambda spark, folder: plan(_built_views(spark, folder))
+    QUERIES[name] = lambda spark, folder: plan(_built(spark, folder).views)
 
 
 def _on_views(name: str, plan: Callable[[Views], DataFrame]) -> None:
@@ -131,7 +126,7 @@ _on_build("dq_checks", lambda b: b.checks)
 _on_build("dq_row_counts", lambda b: b.row_counts)
 _on_build("dq_totals", lambda b: quality.totals(b.checks))
 _on_build("constraints", lambda b: b.constraints)
-_on_built_views("integrity_tests", integrity_tests)
+_on_build("integrity_tests", lambda b: b.integrity)
 
 
 # ---- report model, measures and report datasets, over the published star
@@ -189,7 +184,7 @@ for _name in Exports.names:
 @lru_cache(maxsize=8)
 def _from_csv(spark: SparkSession, folder: str) -> Cleaning:
     """Cleaning of the exports as CSV files: written once, read back with the positions of the files."""
-    raw, reference = _delivered(spark, folder)
+    raw, reference = delivered(spark, folder)
     target = work_dir(spark, "csv")
     write_exports(raw, target)
     return Cleaning(read_exports(spark, target), reference, CALENDAR, PERIOD)

@@ -5,9 +5,14 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import SparkSession
 
+T = TypeVar("T")
+
 
 def build_session(cores: str | int = "*", app: str = "funnelworks", **conf: str) -> SparkSession:
     """A local session with the settings the plans are written for; on a cluster use the cluster's own session."""
@@ -20,6 +25,7 @@ def build_session(cores: str | int = "*", app: str = "funnelworks", **conf: str)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.shuffle.partitions", str(n))
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.log.level", "ERROR")
@@ -37,6 +43,12 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def together(jobs: list[Callable[[], T]], workers: int = 4) -> list[T]:
+    """Run independent Spark jobs side by side, so that the small ones fill the slots the large ones leave idle."""
+    with ThreadPoolExecutor(workers) as pool:
+        return [f.result() for f in [pool.submit(job) for job in jobs]]
+
+
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder path below the shared folder of the cluster (spark.checkpoint.dir).
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..model import Star
 from ..schemas import STAR_SCHEMAS, ddl
+from ..session import together
 
 MARKER = "_published"
 
@@ -34,15 +35,18 @@ def write_star(star: Star, folder: str) -> None:
     The rebalance hint brings the rows of a month together before the write and lets adaptive execution merge small
     months and split a month that holds too much, so files have a sensible size at any volume.
     """
-    for name, columns in STAR_SCHEMAS.items():
-        df = star[name].select(*columns)
+
+    def write(name: str) -> None:
+        df = star[name].select(*STAR_SCHEMAS[name])
         if name in PARTITIONED:
-            key = F.col(PARTITIONED[name])
-            df = df.withColumn(PARTITION, F.floor(key / 100).cast("int")).hint("rebalance", PARTITION)
+            month = F.floor(F.col(PARTITIONED[name]) / 100).cast("int")
+            df = df.withColumn(PARTITION, month).hint("rebalance", PARTITION)
             df.write.mode("errorifexists").partitionBy(PARTITION).parquet(f"{folder}/{name}")
         else:
             df.write.mode("errorifexists").parquet(f"{folder}/{name}")
 
+    together([partial(write, name) for name in STAR_SCHEMAS])
+
 
 def read_star(spark: SparkSession, folder: str, period: tuple[int, int]) -> Star:
     """The star written to the folder. The schema is declared, so nothing is scanned to find it out."""

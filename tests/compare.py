@@ -6,6 +6,7 @@
 from __future__ import annotations
 
 import math
+import os
 import pathlib
 import sys
 import time
@@ -72,7 +73,13 @@ def main(argv):
     from funnelworks.session import build_session
 
     folder = argv[0] if argv else "/root/testdata/sf0.01"
-    spark, con = build_session(8), duck(folder)
+    if os.environ.get("PLAIN_SESSION"):  # a session as others may create it, without any of our settings
+        from pyspark.sql import SparkSession
+
+        spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").getOrCreate()
+    else:
+        spark = build_session(8)
+    con = duck(folder)
     queries, sqls = entry.queries(), entry.oracle_sql()
     bad = 0
     for name in argv[1:] or queries:

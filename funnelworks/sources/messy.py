@@ -182,7 +182,9 @@ class MessyExports:
             "year_month",
             (F.col("mrr") + F.col("copy")).cast(MONEY).alias("mrr"),
             "status",
-            (k * 10 + F.col("copy")).alias(POSITION),
+            ((k * 1_000_000 + F.replace(F.col("year_month"), F.lit("-"), F.lit("")).cast("int")) * 10 + F.col("copy")).alias(
+                POSITION
+            ),
         )
 
     def exports(self) -> Exports:

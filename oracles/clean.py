@@ -64,7 +64,8 @@ RAW = {
                k * 10 + copy AS _pos
         FROM (SELECT * RENAME (opportunity_id AS k), unnest(if(opportunity_id % 67 = 1, [0, 1], [0])) AS copy FROM billed)""",
     "raw_customer_monthly": """
-        SELECT customer_id, year_month, (mrr + copy)::DECIMAL(18,2) AS mrr, status, customer_id * 10 + copy AS _pos
+        SELECT customer_id, year_month, (mrr + copy)::DECIMAL(18,2) AS mrr, status,
+               (customer_id * 1000000 + replace(year_month, '-', '')::INTEGER) * 10 + copy AS _pos
         FROM (SELECT *, unnest(if(customer_id % 43 = 2, [0, 1], [0])) AS copy FROM billing_base
               WHERE customer_id IN (SELECT opportunity_id FROM billed))""",
 }

@@ -22,6 +22,12 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
 
 
 def anti_count(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
-    """One row, one column ``n``: rows of left without a partner; a NULL key has none."""
-    keys = right.select(F.col(right_key).alias("_rk"))
-    return left.join(keys, F.col(left_key) == F.col("_rk"), "left_anti").agg(F.count(F.lit(1)).alias("n"))
+    """One row, one column ``n``: rows of left without a partner; a NULL key has none.
+
+    Both sides are reduced to one row per key before they are shuffled, so neither a key that many rows point to nor
+    one that many rows repeat ends up in one task. The join needs the same partitioning as the two reductions.
+    """
+    pointing = left.groupBy(F.col(left_key).alias("_lk")).agg(F.count(F.lit(1)).alias("_c"))
+    keys = right.select(F.col(right_key).alias("_rk")).distinct()
+    unmatched = pointing.join(keys, F.col("_lk") == F.col("_rk"), "left_anti")
+    return unmatched.agg(F.coalesce(F.sum("_c"), F.lit(0)).alias("n"))

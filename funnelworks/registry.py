@@ -64,7 +64,8 @@ def _built(spark: SparkSession, folder: str) -> Build:
 @lru_cache(maxsize=8)
 def _reports(spark: SparkSession, folder: str) -> Reports:
     b = _built(spark, folder)
-    return Reports(report_model(b.star, b.checks, b.row_counts, b.log), b.views)
+    model = report_model(b.star, b.checks, b.row_counts, b.log).publish(work_dir(spark, "model"))
+    return Reports(model, b.views)
 
 
 def _on_reports(name: str, plan: Callable[[Reports], DataFrame]) -> None:

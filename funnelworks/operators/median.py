@@ -11,19 +11,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .lookup import one_per_member
+
 STEPS_PER_DOUBLING = 64
 
 
 def _bucket(value):
-    """Non-decreasing in value, about 1.1 % wide on each side of zero."""
+    """Non-decreasing in value, about 1.1 % wide on each side of zero.
+
+    It is visibly never NULL, so that the join below adds no filter to one use of the counts only: both uses stay the
+    same plan and share one exchange, and the input is read once.
+    """
     x = value.cast("double")
-    return (F.signum(x) * F.floor(F.log2(F.abs(x) + F.lit(1.0)) * STEPS_PER_DOUBLING)).cast("int")
+    step = (F.signum(x) * F.floor(F.log2(F.abs(x) + F.lit(1.0)) * STEPS_PER_DOUBLING)).cast("int")
+    return F.coalesce(step, F.lit(0))
 
 
-def twice_median(df: DataFrame, key: str, value: str, out: str = "twice_median") -> DataFrame:
+def twice_median(
+    df: DataFrame, key: str, value: str, members: DataFrame | None = None, out: str = "twice_median"
+) -> DataFrame:
     """(key, lower middle + upper middle) for non-null keys and values.
 
     Twice the median is returned because it has the scale of the input: exact for decimals, no rounding needed.
+    ``members`` is the reference table the keys come from, if there is one: when it is small, the buckets with the
+    middle ranks (two per key at most) are broadcast and the counts are not shuffled again.
     """
     counts = (
         df.where(F.col(key).isNotNull() & F.col(value).isNotNull())
@@ -48,6 +59,8 @@ def twice_median(df: DataFrame, key: str, value: str, out: str = "twice_median")
         .where("_upto >= _low AND _before < _high")
         .drop("_upto")
     )
+    if members is not None:
+        middle = one_per_member(middle, members)
     ranked = (
         counts.join(middle, [key, "_bucket"])
         .withColumn("_end", F.col("_before") + F.sum("_n").over(Window.partitionBy(key, "_bucket").orderBy(value)))

@@ -30,7 +30,7 @@ def test_entry(spark):
     assert entry.entry(spark).count() == 6
 
 
-@pytest.mark.parametrize("name", ["v0_lead_outcomes", "v1_channel_performance", "v5_opportunity_detail", "clean_marketing"])
+@pytest.mark.parametrize("name", ["v0_lead_outcomes", "v1_channel_performance", "v5_opportunity_detail", "raw_marketing"])
 def test_plans_have_no_products_and_read_few_columns(spark, name):
     plan = QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from functools import lru_cache
 from typing import TypeVar
 
 from pyspark.sql import SparkSession
@@ -56,8 +60,16 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     """
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not shared:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        master = spark.conf.get("spark.master", "")
+        if not re.match(r"local(\[|$)", master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="funnelworks-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        shared = _local_folder(spark.sparkContext.applicationId)
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+@lru_cache(maxsize=None)
+def _local_folder(application: str) -> str:
+    """One temporary folder per local session, removed with the process; core settings can't be written while Spark runs."""
+    folder = tempfile.mkdtemp(prefix="funnelworks-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder

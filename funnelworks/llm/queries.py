@@ -7,12 +7,20 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact, html, language, quality, tokens
+from . import decontaminate, exact, html, language, lines, neardup, packing, quality, substring, tokens
 from .shared import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), VOCABULARY, public_tokenizers.PATTERN)
+
+
+def long_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return language.identify(documents, language.fit(documents))
@@ -30,21 +38,34 @@ def exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.keep_one(table(spark, sf_dir, "documents"))
 
 
+def near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neardup.groups(table(spark, sf_dir, "documents"), size=2)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
 
+def fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.remove_lines(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
 def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return quality.score(documents, quality.fit(documents, table(spark, sf_dir, "labels")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_packing": packed,
+    "op2_substring_dedup": long_repeats,
     "op3_language": languages,
     "op4_token_counts": token_counts,
     "op5_decontamination": benchmark_items,
     "op6_exact_dedup": exact_copies,
+    "op7_minhash_dedup": near_copies,
     "op8_html_text": page_texts,
+    "op9_line_dedup": fuzzy_lines,
     "op10_quality": quality_scores,
 }
 EXPECTED: dict[str, str] = {

@@ -20,12 +20,17 @@ def words(text: Column) -> Column:
 
 
 def shingles(column: str, size: int, of) -> Column:
-    """`of` each run of `size` words, or of the whole sequence if it is shorter; none without words."""
-    places = F.sequence(F.lit(1), F.greatest(F.size(column) - size + 1, F.lit(1)))
-    found = F.transform(places, lambda i: of(F.slice(F.col(column), i, F.lit(size))))
+    """`of` the words of each run of `size`, or of the whole sequence if it is shorter; none without words. Words are taken
+    one by one: a slice would copy the whole text for every run. Both uses of `of` skip the missing words of short ones."""
+    places = F.sequence(F.lit(0), F.greatest(F.size(column) - size, F.lit(0)))
+    found = F.transform(places, lambda i: of(*[F.get(F.col(column), i + k) for k in range(size)]))
     return F.when(F.size(column) > 0, found)
 
 
+def joined(*run: Column) -> Column:
+    return F.concat_ws(" ", *run)
+
+
 def contained(
     documents: DataFrame, benchmark: DataFrame, size: int = SHINGLE, threshold: float = CONTAINMENT
 ) -> DataFrame:
@@ -44,21 +49,24 @@ def contained(
     items = benchmark.select("item_id", "text").distinct().select("item_id", words(F.col("text")).alias("words"))
     items = items.where(F.size("words") > 0).select(
         "item_id", F.xxhash64("words").alias("item_key"),
-        F.array_distinct(shingles("words", size, lambda run: F.array_join(run, " "))).alias("item_set"),
+        F.array_distinct(shingles("words", size, joined)).alias("item_set"),
+        F.array_sort(F.array_distinct(shingles("words", size, F.xxhash64))).alias("hashes"),
     )
     items = stored(items.withColumn("item_shingles", F.size("item_set")), "benchmark")
     # the largest size of the partition, and how many shingles the largest item may lack
     top = F.pow(F.lit(2.0), F.floor(F.log2("item_shingles")) + 1) - 1
     length = (F.floor(top * (1 - threshold) + 1e-9) + 1).cast("int")
-    hashes = F.array_sort(F.transform("item_set", lambda s: F.xxhash64(F.split(s, " "))))
-    signature = items.select("item_id", "item_key", F.explode(F.slice(hashes, F.lit(1), length)).alias("hash"))
+    signature = items.select("item_id", "item_key", F.explode(F.slice("hashes", F.lit(1), length)).alias("hash"))
     signature = stored(signature, "signatures")
     if signature.count() <= BROADCAST_ROWS:
         signature = F.broadcast(signature)
 
     rows = documents.select("doc_id", "text", F.xxhash64("text").alias("row_key"))
     tokens = rows.select("doc_id", "row_key", words(F.col("text")).alias("words"))
-    probes = tokens.select("doc_id", "row_key", F.explode(shingles("words", size, F.xxhash64)).alias("hash"))
+    # a row per shingle, hashed and probed in one generated loop
+    places = F.when(F.size("words") > 0, F.sequence(F.lit(0), F.greatest(F.size("words") - size, F.lit(0))))
+    probes = tokens.select("doc_id", "row_key", "words", F.explode(places).alias("i"))
+    probes = probes.select("doc_id", "row_key", F.xxhash64(*[F.get("words", F.col("i") + k) for k in range(size)]).alias("hash"))
     candidates = stored(probes.join(signature, "hash").select("doc_id", "row_key", "item_id", "item_key").distinct(), "candidates")
 
     full = candidates.alias("c").join(
@@ -67,9 +75,9 @@ def contained(
     texts = rows.distinct().alias("d")
     pairs = full.alias("f").join(texts, F.expr("f.row_key = d.row_key AND f.doc_id <=> d.doc_id"))
     pairs = pairs.select("f.doc_id", "f.row_key", "item_id", "item_set", "item_shingles", words(F.col("text")).alias("words"))
-    checked = pairs.withColumn(
-        "shared", F.size(F.array_intersect("item_set", shingles("words", size, lambda run: F.array_join(run, " "))))
-    )
+    # written before it is filtered: a filter on the count would be pushed below the words and split the text for every run
+    shared = F.size(F.array_intersect("item_set", shingles("words", size, joined))).alias("shared")
+    checked = stored(pairs.select("doc_id", "row_key", "item_id", "item_shingles", shared), "compared")
     return checked.where(F.col("shared") >= F.col("item_shingles") * threshold - 1e-9).select(
         "doc_id", "item_id", "item_shingles", "shared", (F.col("shared") / F.col("item_shingles")).alias("containment"), "row_key"
     )

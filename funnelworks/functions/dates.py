@@ -37,10 +37,12 @@ def month_key(year_month: str | Column) -> Column:
 
 def calendar(spark: SparkSession, first: str, last: str) -> DataFrame:
     """One row per day from first to last (inclusive ISO dates), with the reporting attributes of the day."""
-    days = spark.sql(
-        "SELECT explode(sequence(to_date(:first), to_date(:last), interval 1 day)) AS d",
-        args={"first": first, "last": last},
-    )
+    return calendar_between(spark.sql("SELECT to_date(:first) AS first, to_date(:last) AS last", args={"first": first, "last": last}))
+
+
+def calendar_between(bounds: DataFrame) -> DataFrame:
+    """The calendar of a one-row frame with the dates ``first`` and ``last``; empty when they are NULL."""
+    days = bounds.select(F.explode(F.sequence("first", "last", F.expr("interval 1 day"))).alias("d"))
     d = F.col("d")
     return days.select(
         date_key(d).alias("date_key"),

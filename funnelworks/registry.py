@@ -26,21 +26,32 @@ from .session import together, work_dir
 from .sources.exports import read_exports, sample, write_exports
 from .sources.messy import MessyExports
 from .sources.tables import written
-from .sources.warehouse import CALENDAR, PERIOD, Warehouse
+from .sources.warehouse import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
+@lru_cache(maxsize=8)
+def _warehouse(spark: SparkSession, folder: str) -> Warehouse:
+    return Warehouse(spark, folder)
+
+
 @lru_cache(maxsize=8)
 def _views(spark: SparkSession, folder: str) -> Views:
     """The (lazy) plans over one folder, built once per session: building them costs more than small queries do."""
-    return Views(Warehouse(spark, folder).star())
+    return Views(_warehouse(spark, folder).star())
 
 
 @lru_cache(maxsize=8)
 def _messy(spark: SparkSession, folder: str) -> MessyExports:
-    return MessyExports(Warehouse(spark, folder))
+    return MessyExports(_warehouse(spark, folder))
+
+
+def spans(spark: SparkSession, folder: str) -> tuple[DataFrame, tuple[int, int]]:
+    """Bounds of the calendar and the report period, both read from the tables."""
+    w = _warehouse(spark, folder)
+    return w.days(), w.period()
 
 
 @lru_cache(maxsize=8)
@@ -57,14 +68,14 @@ def delivered(spark: SparkSession, folder: str) -> tuple[Exports, Reference]:
 def _cleaning(spark: SparkSession, folder: str) -> Cleaning:
     """Cleaning of the delivered exports. Files are what cleaning starts from: were the exports only a plan, filters
     on their columns would sink through it and be evaluated per line item."""
-    return Cleaning(*delivered(spark, folder), CALENDAR, PERIOD)
+    return Cleaning(*delivered(spark, folder), *spans(spark, folder))
 
 
 @lru_cache(maxsize=8)
 def _built(spark: SparkSession, folder: str) -> Build:
     """One full rebuild per session and folder: the audits and suites below all look at its published tables."""
     raw, reference = delivered(spark, folder)
-    return build(spark, Cleaning(raw, reference, CALENDAR, PERIOD), work_dir(spark, "star"))
+    return build(spark, Cleaning(raw, reference, *spans(spark, folder)), work_dir(spark, "star"))
 
 
 @lru_cache(maxsize=8)
@@ -194,7 +205,7 @@ def _from_csv(spark: SparkSession, folder: str) -> Cleaning:
     raw, reference = delivered(spark, folder)
     target = work_dir(spark, "csv")
     write_exports(raw, target)
-    return Cleaning(read_exports(spark, target), reference, CALENDAR, PERIOD)
+    return Cleaning(read_exports(spark, target), reference, *spans(spark, folder))
 
 
 def _on_csv(name: str, plan: Callable[[Cleaning], DataFrame]) -> None:

@@ -12,17 +12,16 @@ from functools import cache
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.dates import calendar, date_key, month_key
+from ..functions.dates import calendar_between, date_key, month_key
 from ..functions.numeric import MONEY, flag
 from ..model import Star
 from ..schemas import STAR_SCHEMAS
 
-CALENDAR = ("1994-12-01", "2002-01-31")
-PERIOD = (19950101, 20011231)
 QUALIFIED_ABOVE = 350000
 
-# Reference members of the adapter. Channel 6 and campaign 26 have no activity on purpose.
-CHANNELS = """VALUES
+# Known members of the adapter's reference data. Channel 6 and campaign 26 have no activity on purpose. Segments that are
+# not listed become channels too, numbered from 7 on; their leads have no campaign.
+KNOWN_CHANNELS = """VALUES
   (1, 'AUTOMOBILE', 'Paid Search', 1), (2, 'BUILDING', 'Paid Social', 1), (3, 'FURNITURE', 'Paid Social', 1),
   (4, 'HOUSEHOLD', 'Organic', 0), (5, 'MACHINERY', 'Owned', 0), (6, 'DIRECT', 'Direct', 0)
   AS t(channel_id, channel_name, channel_group, is_paid)"""
@@ -53,13 +52,43 @@ class Warehouse:
         return self.spark.read.schema(BASE_SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
     # ---- dimensions
+    @cache  # noqa: B019
+    def months(self) -> DataFrame:
+        """One row: the first day of the first month and the last day of the last month with an order or a shipment."""
+        days = [
+            self.table(t).agg(F.min(c).alias("low"), F.max(c).alias("high"))
+            for t, c in (("orders", "o_orderdate"), ("lineitem", "l_shipdate"))
+        ]
+        both = days[0].unionByName(days[1]).agg(F.min("low").alias("low"), F.max("high").alias("high"))
+        return both.select(F.trunc("low", "MM").alias("first"), F.last_day("high").alias("last"))
+
+    @cache  # noqa: B019
+    def period(self) -> tuple[int, int]:
+        """The months of the data as inclusive date keys."""
+        row = self.months().select(date_key("first"), date_key("last")).first()
+        return row[0] or 0, row[1] or 0
+
+    @cache  # noqa: B019
+    def days(self) -> DataFrame:
+        """Bounds of the calendar: the months of the data and one more on either side."""
+        return self.months().select(
+            F.add_months("first", -1).alias("first"), F.last_day(F.add_months("last", 1)).alias("last")
+        )
+
     @cache  # noqa: B019
     def dim_date(self) -> DataFrame:
-        return calendar(self.spark, *CALENDAR)
+        return calendar_between(self.days())
 
     @cache  # noqa: B019
     def dim_channel(self) -> DataFrame:
-        return self.spark.sql(f"SELECT * FROM {CHANNELS}")
+        known = self.spark.sql(f"SELECT * FROM {KNOWN_CHANNELS}")
+        segment = F.col("c_mktsegment").alias("channel_name")
+        other = self.table("customer").select(segment).distinct().join(known, "channel_name", "left_anti")
+        rank = F.row_number().over(Window.orderBy("channel_name"))  # over segments, not over customers
+        other = other.where("channel_name IS NOT NULL").select(
+            (rank + 6).cast("int").alias("channel_id"), "channel_name", F.lit("Other").alias("channel_group"), F.lit(0).alias("is_paid")
+        )
+        return known.unionByName(other)
 
     @cache  # noqa: B019
     def dim_campaign(self) -> DataFrame:
@@ -90,15 +119,16 @@ class Warehouse:
         band = F.pmod("c_custkey", F.lit(10))
         return (
             orders.join(customer, orders.o_custkey == customer.c_custkey)
-            .join(self.dim_channel(), F.col("c_mktsegment") == F.col("channel_name"))
+            .join(self.dim_channel(), F.col("c_mktsegment") == F.col("channel_name"), "left")
             .select(
                 F.col("o_orderkey").alias("lead_id"),
                 F.col("o_orderdate").cast("date").alias("created"),
                 "channel_id",
                 "channel_name",
-                F.when(F.pmod("o_orderkey", F.lit(100)) != 0, _campaign_of("channel_id", "c_custkey")).alias(
-                    "campaign_id"
-                ),
+                F.when(
+                    (F.pmod("o_orderkey", F.lit(100)) != 0) & (F.col("channel_id") <= 5),
+                    _campaign_of("channel_id", "c_custkey"),
+                ).alias("campaign_id"),
                 F.col("c_nationkey").cast("int").alias("region_id"),
                 F.when(band <= 5, "1-9").when(band <= 8, "10-49").otherwise("50+").alias("company_size"),
                 F.col("o_orderpriority").alias("business_type"),
@@ -144,16 +174,15 @@ class Warehouse:
     def billing_base(self, customers: DataFrame) -> DataFrame:
         """(customer, month) amounts from the lines of the given orders; churned in a last month with a return.
 
-        Lines are reduced to order and month before anything else looks at an order, so an order with very many lines
-        is at most one row per month afterwards and the window below stays small.
+        Lines of other orders are dropped first, by the order key, by which the window is partitioned too.
         """
         month = F.date_format(F.col("l_shipdate").cast("date"), "yyyy-MM")
         cents = (F.sum(F.col("l_extendedprice").cast(MONEY)) * 100).cast("bigint")
         by_month = (
             self.table("lineitem")
+            .join(customers.select(F.col("customer_id").alias("l_orderkey")), "l_orderkey", "left_semi")
             .groupBy(F.col("l_orderkey").alias("customer_id"), month.alias("year_month"))
             .agg(twelfth(cents).alias("mrr"), F.max(F.col("l_returnflag") == "R").alias("returned"))
-            .join(customers.select("customer_id"), "customer_id", "left_semi")
         )
         last = F.max("year_month").over(Window.partitionBy("customer_id"))
         return by_month.withColumn("last_month", last).select(
@@ -275,7 +304,7 @@ class Warehouse:
         )
 
     def star(self) -> Star:
-        return Star({name: getattr(self, name) for name in Star.names}, PERIOD)
+        return Star({name: getattr(self, name) for name in Star.names}, self.period())
 
 
 def twelfth(cents: Column) -> Column:

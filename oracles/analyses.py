@@ -85,7 +85,7 @@ ANALYSIS_QUERIES = {
         SELECT year_month, count(*) AS calendar_days, count(m.date_key) AS days_with_marketing_data,
                count(*) - count(m.date_key) AS missing_days
         FROM dim_date d LEFT JOIN (SELECT DISTINCT date_key FROM fact_marketing_daily) m USING (date_key)
-        WHERE d.date_key BETWEEN 19950101 AND 20011231 GROUP BY year_month""",
+        WHERE d.date_key BETWEEN (SELECT strftime(first_day, '%Y%m%d')::INTEGER FROM months) AND (SELECT strftime(last_day, '%Y%m%d')::INTEGER FROM months) GROUP BY year_month""",
     "q00_executive_summary": f"""
         SELECT {rnd("spend", 0)} AS total_spend, sessions, leads, mqls, sqls, opportunities, customers,
                {rnd("revenue", 0)} AS won_revenue, {pct("clicks", "impressions", 2)} AS ctr_pct,

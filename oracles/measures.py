@@ -345,7 +345,7 @@ RECONCILE_STEPS = {
 _LAST = "(SELECT {c} FROM v4 ORDER BY year_month DESC LIMIT 1)"
 _PAID = "FILTER (WHERE is_paid = 1)"
 KPI_SUMMARY = f"""
-    SELECT '1995-01-01 to 2001-12-31' AS period, {rnd(_SP, 2)} AS total_spend, {DIRECT["impressions"]}{B} AS impressions,
+    SELECT (SELECT first_day || ' to ' || last_day FROM months) AS period, {rnd(_SP, 2)} AS total_spend, {DIRECT["impressions"]}{B} AS impressions,
            {DIRECT["clicks"]}{B} AS clicks, {_SE}{B} AS sessions, {_LE} AS leads, {_MQ}{B} AS mqls, {_SQ}{B} AS sqls,
            (SELECT sum(has_opportunity) FROM v0){B} AS opportunities, (SELECT sum(is_customer) FROM v0){B} AS customers,
            {rnd("(SELECT sum(won_value) FROM v0)", 2)} AS won_revenue,

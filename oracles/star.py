@@ -14,16 +14,24 @@ def key_of(d: str) -> str:
 TWELFTH = "((({c}) * 2 + 12) // 24 / 100.0)::DECIMAL(18,2)"
 
 STAR = {
+    "months": """
+        SELECT date_trunc('month', min(d))::DATE AS first_day, last_day(max(d)) AS last_day
+        FROM (SELECT o_orderdate::DATE AS d FROM orders UNION ALL SELECT l_shipdate::DATE FROM lineitem)""",
     "dim_date": f"""
         SELECT {key_of("d")} AS date_key, d AS "date", year(d)::INTEGER AS "year", 'Q' || quarter(d) AS "quarter",
                month(d)::INTEGER AS "month", strftime(d, '%b') AS month_name, strftime(d, {YM}) AS year_month,
                weekofyear(d)::INTEGER AS week, dayname(d) AS day_of_week, (isodow(d) >= 6)::INTEGER AS is_weekend
-        FROM (SELECT unnest(generate_series(DATE '1994-12-01', DATE '2002-01-31', INTERVAL 1 DAY))::DATE AS d)""",
-    "dim_channel": """
+        FROM (SELECT unnest(generate_series(first_day - INTERVAL 1 MONTH, last_day(last_day + 1), INTERVAL 1 DAY))::DATE AS d
+              FROM months)""",
+    "known_channels": """
         SELECT * FROM (VALUES (1, 'AUTOMOBILE', 'Paid Search', 1), (2, 'BUILDING', 'Paid Social', 1),
                               (3, 'FURNITURE', 'Paid Social', 1), (4, 'HOUSEHOLD', 'Organic', 0),
                               (5, 'MACHINERY', 'Owned', 0), (6, 'DIRECT', 'Direct', 0))
                       AS t(channel_id, channel_name, channel_group, is_paid)""",
+    "dim_channel": """
+        SELECT * FROM known_channels
+        UNION ALL SELECT (row_number() OVER (ORDER BY c_mktsegment) + 6)::INTEGER, c_mktsegment, 'Other', 0
+        FROM (SELECT DISTINCT c_mktsegment FROM customer WHERE c_mktsegment NOT IN (SELECT channel_name FROM known_channels))""",
     "dim_campaign": """
         SELECT i::INTEGER AS campaign_id, 'Campaign ' || lpad(i::VARCHAR, 2, '0') AS campaign_name,
                ((i - 1) // 5 + 1)::INTEGER AS channel_id,
@@ -34,12 +42,12 @@ STAR = {
         FROM nation JOIN region ON n_regionkey = r_regionkey""",
     "lead_base": """
         SELECT o_orderkey AS lead_id, o_orderdate::DATE AS created, channel_id, channel_name,
-               CASE WHEN o_orderkey % 100 <> 0 THEN ((channel_id - 1) * 5 + c_custkey % 5 + 1)::INTEGER END AS campaign_id,
+               CASE WHEN o_orderkey % 100 <> 0 AND channel_id <= 5 THEN ((channel_id - 1) * 5 + c_custkey % 5 + 1)::INTEGER END AS campaign_id,
                c_nationkey::INTEGER AS region_id,
                CASE WHEN c_custkey % 10 < 6 THEN '1-9' WHEN c_custkey % 10 < 9 THEN '10-49' ELSE '50+' END AS company_size,
                o_orderpriority AS business_type, floor(c_acctbal / 100)::INTEGER AS lead_score,
                (o_orderpriority < '4')::INTEGER AS is_mql, (o_totalprice > 350000)::INTEGER AS is_sql
-        FROM orders JOIN customer ON o_custkey = c_custkey JOIN dim_channel ON c_mktsegment = channel_name""",
+        FROM orders JOIN customer ON o_custkey = c_custkey LEFT JOIN dim_channel ON c_mktsegment = channel_name""",
     "order_lines": """
         SELECT l_orderkey, max(l_shipdate)::DATE AS last_ship,
                sum(l_extendedprice::DECIMAL(18,2) * (1 - l_discount::DECIMAL(4,2)))::DECIMAL(18,2) AS line_value
@@ -198,7 +206,7 @@ VIEWS = {
         SELECT year_month, {", ".join(f"coalesce({c}, 0) AS {c}" for c in
                ["sessions", "spend", "leads", "mqls", "sqls", "customers", "won_revenue", "mrr",
                 "active_customers", "churned_customers"])}
-        FROM (SELECT DISTINCT year_month FROM dim_date WHERE date_key BETWEEN 19950101 AND 20011231)
+        FROM (SELECT DISTINCT year_month FROM dim_date WHERE date_key BETWEEN (SELECT strftime(first_day, '%Y%m%d')::INTEGER FROM months) AND (SELECT strftime(last_day, '%Y%m%d')::INTEGER FROM months))
              LEFT JOIN v4_activity USING (year_month) LEFT JOIN v4_leads USING (year_month)
              LEFT JOIN v4_won USING (year_month) LEFT JOIN v4_recurring USING (year_month)""",
     "v4_before": """

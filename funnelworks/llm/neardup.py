@@ -60,7 +60,7 @@ def minima(values: np.ndarray, bounds: np.ndarray, count: int) -> np.ndarray:
 
 def banded(minimum: np.ndarray, rows: int) -> np.ndarray:
     """Keys of `rows` minima each, by key and text; the place of a key counts."""
-    parts = minimum.reshape(-1, rows, minimum.shape[1]).astype(np.uint64)
+    parts = minimum.reshape(len(minimum) // rows, rows, minimum.shape[1]).astype(np.uint64)
     out = np.repeat(mixed(np.arange(1, len(parts) + 1, dtype=np.uint64))[:, None], minimum.shape[1], 1)
     for k in range(rows):
         out = mixed(out ^ parts[:, k])

@@ -35,11 +35,12 @@ def strip_spaces(label: str | Column) -> Column:
 
 
 def norm(label: str | Column) -> Column:
-    """Lower case, trimmed, single-spaced text: the key on which labels are matched."""
+    """What two spellings of one label have in common: neither case nor the amount and kind of blanks count."""
     return F.trim(F.regexp_replace(F.lower(col(label)), _SPACES, " "))
 
 
 def score_band(score: str | Column) -> Column:
+    """The bands of the report."""
     s = col(score)
     return (
         F.when(s.isNull(), "Unknown")

@@ -1,7 +1,8 @@
 """Duplicate removal that does not pile a hot key into one task.
 
-Both operators are plain aggregations: every map task first reduces its own rows to one per key, so a key that
-holds a third of the input still sends one row per map task through the shuffle. They also report how many copies
+Both operators are aggregations: every map task first reduces its own rows to one per key, so a key that holds a third of
+the input still sends one row per map task through the shuffle. Keeping a whole row takes a sort-based aggregation, which
+sorts the rows of a task by key on either side of the shuffle. They also report how many copies
 each kept row stands for, which is what the cleaning log needs - no second pass for the count.
 """
 
@@ -22,12 +23,14 @@ def collapse_exact(df: DataFrame, position: str = POSITION) -> DataFrame:
 
 def keep_first(df: DataFrame, keys: list[str], position: str = POSITION) -> DataFrame:
     """The first row of each key in ingest order, with the number of rows the key had."""
-    rest = [c for c in df.columns if c not in keys]
+    rest = [c for c in df.columns if c not in keys and c != position]
     first = df.groupBy(*keys).agg(
         F.min_by(F.struct(*rest), F.col(position)).alias("_first"),
+        F.min(position).alias(position),
         F.count(F.lit(1)).alias(COPIES),
     )
-    return first.select(*keys, *[F.col("_first")[c].alias(c) for c in rest], COPIES)
+    values = {c: F.col("_first")[c].alias(c) for c in rest} | {position: F.col(position)}
+    return first.select(*keys, *[values[c] for c in df.columns if c not in keys], COPIES)
 
 
 def surplus_rows(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -16,8 +16,11 @@ from ..functions.labels import norm
 def small(df: DataFrame) -> bool:
     """True when the optimizer's size estimate is within the limit for broadcasts.
 
-    Used where Spark cannot see on its own that a result is bounded: one row per member of a reference table.
+    Used where Spark cannot see on its own that a result is bounded: one row per member of a reference table. A client
+    without access to the estimate gives no hint and leaves the choice to Spark.
     """
+    if not hasattr(df, "_jdf"):
+        return False
     limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) <= limit
 

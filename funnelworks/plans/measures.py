@@ -13,6 +13,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -236,16 +238,20 @@ class Evaluator:
         by: Sequence[str] = (),
         filters: dict[str, Predicate] | None = None,
     ) -> DataFrame:
-        """One row per combination of the ``by`` columns ("Table.column") in which some measure has a value.
+        """One row per combination of the ``by`` columns ("Table.column") in which some measure has a value; without
+        ``by`` columns, one row.
 
         ``filters`` (column -> predicate) act on every fact they reach, as slicers do. A ``by`` column has to reach
-        every fact of the request.
+        every fact of the request. Result columns have the names of the ``by`` columns, with the table in front
+        (Table_column) where two of them have one name.
         """
         filters = filters or {}
         for column in filters:
             self._check_column(column)
         needed = list(dict.fromkeys(p for m in measures for p in parts_of(m)))
-        names = [c.split(".")[1] for c in by]
+        short = [c.split(".")[1] for c in by]
+        self._names = {c: n if short.count(n) == 1 else c.replace(".", "_") for c, n in zip(by, short)}
+        names = list(self._names.values())
         groups: dict[tuple, list[str]] = {}
         for p in needed:
             part = PARTS[p]
@@ -259,13 +265,17 @@ class Evaluator:
             context = {c: f for c, f in filters.items() if c.split(".")[0] != ignore and c not in dict(only)}
             context.update({c: (lambda x, v=v: x == v) for c, v in only})
             frame = self._aggregate(fact, kept, context, months_back, last_by, members)
-            (stacked if len(kept) == len(by) else aside).append((frame, [c.split(".")[1] for c in kept], members))
+            (stacked if len(kept) == len(by) else aside).append((frame, [self._names[c] for c in kept], members))
 
-        result = self._fold(stacked, names)
+        if stacked:
+            result = self._fold(stacked, names)
+        else:  # all parts replace a filter: the rows are the groups that the first of their facts has
+            result = self._aggregate(next(iter(groups))[0], list(by), filters, 0, None, [])
         for frame, keys, members in aside:
             result = _attach(result, frame, keys, members)
         values = {p: F.col(p) for p in needed}
-        return result.select(*names, *[MEASURES[m].formula(values).alias(f"{m}") for m in measures])
+        result = result.select(*names, *[MEASURES[m].formula(values).alias(f"{m}") for m in measures])
+        return result.where(_any_value(measures)) if by else result
 
     def _check_column(self, column: str) -> None:
         table, name = column.split(".")
@@ -291,11 +301,13 @@ class Evaluator:
         for column, test in filters.items():
             if column.split(".")[0] in paths:
                 frame = frame.where(test(F.col(_flat(column))))
-        keys = [F.col(_flat(c)).alias(c.split(".")[1]) for c in by]
+        keys = [F.col(_flat(c)).alias(self._names[c]) for c in by]
+        if not members:
+            return frame.select(*keys).distinct()
         aggregates = [PARTS[p].aggregate().alias(p) for p in members]
         if last_by is None:
             return frame.groupBy(*keys).agg(*aggregates)
-        names = [c.split(".")[1] for c in by]
+        names = [self._names[c] for c in by]
         per_period = frame.groupBy(*keys, F.col(last_by).alias("_period")).agg(*aggregates)
         return per_period.groupBy(*names).agg(*[F.max_by(p, "_period").alias(p) for p in members])
 
@@ -353,6 +365,10 @@ class Evaluator:
         return union_all(wide).groupBy(*names).agg(*[F.max(p).alias(p) for p in columns])
 
 
+def _any_value(measures: Sequence[str]) -> Column:
+    return reduce(or_, [F.col(m).isNotNull() for m in measures])
+
+
 def _flat(column: str) -> str:
     return column.replace(".", "__")
 

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.labels import score_band
 from ..functions.numeric import n_rows, ratio
 from .measures import Evaluator, Predicate
 from .model import ReportModel
@@ -140,27 +141,25 @@ class Reports:
 
     def conversion_by_band(self) -> DataFrame:
         """RD23: customers among the leads of a score band. Counted on leads: a band says nothing about deals."""
-        bands = self.model["FactLeads"].select("lead_id", "score_band")
         return (
-            self.views.lead_outcomes.join(bands, "lead_id")
-            .groupBy("score_band")
+            self.views.lead_outcomes.groupBy(score_band("lead_score").alias("score_band"))
             .agg(ratio(F.sum("is_customer"), n_rows()).alias("lead_to_customer_rate"))
             .orderBy("score_band")
         )
 
-    def channel_rank(self) -> DataFrame:
+    def channel_rank(self, filters: dict[str, Predicate] | None = None) -> DataFrame:
         """Channels ranked by won revenue."""
-        ranked = self.evaluator.evaluate(["won_revenue"], [CHANNEL])
+        ranked = self.evaluator.evaluate(["won_revenue"], [CHANNEL], filters)
         return ranked.withColumn("revenue_rank", F.rank().over(Window.orderBy(F.col("won_revenue").desc_nulls_last())))
 
-    def revenue_trend(self) -> DataFrame:
+    def revenue_trend(self, filters: dict[str, Predicate] | None = None) -> DataFrame:
         """Won revenue by month with the mean of the last three months."""
         last_three = Window.orderBy("year_month").rowsBetween(-2, Window.currentRow)
         exact = F.col("won_revenue").cast("decimal(38,2)")
-        return self.evaluator.evaluate(["won_revenue"], [MONTH]).withColumn(
+        return self.evaluator.evaluate(["won_revenue"], [MONTH], filters).withColumn(
             "three_month_mean", ratio(F.sum(exact).over(last_three), F.count(exact).over(last_three))
         )
 
-    def biggest_open(self, k: int = 6) -> DataFrame:
+    def biggest_open(self, k: int = 6, filters: dict[str, Predicate] | None = None) -> DataFrame:
         """The k campaigns with the most open value."""
-        return self.dataset("rd45").limit(k)
+        return self.dataset("rd45", filters).limit(k)

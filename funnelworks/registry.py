@@ -192,7 +192,7 @@ _on_reports("rd_biggest_open", lambda r: r.biggest_open())
 _on_reports("reconciliation", lambda r: reconciliation(r.model, r.views))
 _on_reports("reconciliation_summary", lambda r: reconciliation_summary(reconciliation(r.model, r.views)))
 _on_built_views("kpi_summary", kpi_summary)
-_on_built_views("run_log", run_log)
+_on_built_views("run_log", lambda v: run_log(v).drop("ms"))
 
 # ---- sources and sinks
 for _name in Exports.names:

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import REGION_SYNONYMS
 from ..model import Exports, Reference, Tables
+from ..functions.numeric import n_rows
 from ..operators.dedupe import POSITION
+from ..operators.rows import union_all
 from ..plans.model import ReportModel
 from ..plans.views import Views
 from ..schemas import EXPORT_FILES, EXPORT_SCHEMAS, REFERENCE_SCHEMAS, STAR_SCHEMAS
@@ -23,6 +25,7 @@ VIEW_NAMES = [
     "customer_value",
 ]
 SAMPLE_ROWS = 200
+CORRUPT = "_corrupt"
 
 
 def _typed(name: str, kind: str) -> Column:
@@ -35,13 +38,37 @@ def _typed(name: str, kind: str) -> Column:
     return c.try_cast(kind).alias(name)
 
 
-def read_csv(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
-    """A CSV file (or folder of parts) with a header; empty text is NULL. Nothing is inferred."""
-    text = ", ".join(f"`{c}` string" for c in columns)
-    return spark.read.schema(text).option("header", True).option("nullValue", "").csv(path)
+def read_csv(spark: SparkSession, path: str, columns: dict[str, str], multi_line: bool = False) -> DataFrame:
+    """The given columns of a CSV file (or folder of parts), as text, and CORRUPT.
 
-
-def read_export(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
+    Columns are found by their names in the header, whatever their order and whatever else there is; a missing one is an
+    error. A quote within quotes is doubled; empty text is NULL. Line breaks within quotes need ``multi_line``, which reads
+    each file as a whole instead of in splits. CORRUPT is the text of a row that does not fit the header, else NULL.
+    """
+    options = {"header": True, "quote": '"', "escape": '"', "nullValue": "", "multiLine": multi_line}
+    found = spark.read.options(**options).csv(path).columns
+    lacking = [c for c in columns if c not in found]
+    if lacking:
+        raise ValueError(f"{path} has no column {', '.join(lacking)}")
+    text = ", ".join(f"`{c}` string" for c in [*found, CORRUPT])
+    strict = {"enforceSchema": False, "columnNameOfCorruptRecord": CORRUPT}
+    return spark.read.schema(text).options(**options, **strict).csv(path)
+
+
+def corrupt_rows(spark: SparkSession, folder: str, multi_line: bool = False) -> DataFrame:
+    """(export, rows, corrupt): rows of each delivered file, and how many of them do not fit its header."""
+    # a row is known to fit only when all its columns are read
+    whole = lambda name: F.concat_ws("", CORRUPT, *EXPORT_SCHEMAS[name])
+    counts = [
+        read_csv(spark, f"{folder}/{file}", EXPORT_SCHEMAS[name], multi_line).agg(
+            F.lit(name).alias("export"), n_rows().alias("rows"), F.count(F.when(F.col(CORRUPT).isNotNull(), whole(name))).alias("corrupt")
+        )
+        for name, file in EXPORT_FILES.items()
+    ]
+    return union_all(counts)
+
+
+def read_export(spark: SparkSession, path: str, columns: dict[str, str], multi_line: bool = False) -> DataFrame:
     """A raw export with the position of each row.
 
     Position is (file, offset of the split, row within the split). It orders rows as the files do, whatever way Spark
@@ -52,14 +79,14 @@ def read_export(spark: SparkSession, path: str, columns: dict[str, str]) -> Data
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
     )
-    rows = read_csv(spark, path, columns).select(*columns, position.alias(POSITION))
+    rows = read_csv(spark, path, columns, multi_line).select(*columns, position.alias(POSITION))
     return rows.select(*[_typed(c, kind) for c, kind in columns.items()], POSITION)
 
 
-def read_exports(spark: SparkSession, folder: str) -> Exports:
+def read_exports(spark: SparkSession, folder: str, multi_line: bool = False) -> Exports:
     return Exports(
         {
-            name: partial(read_export, spark, f"{folder}/{EXPORT_FILES[name]}", columns)
+            name: partial(read_export, spark, f"{folder}/{EXPORT_FILES[name]}", columns, multi_line)
             for name, columns in EXPORT_SCHEMAS.items()
         }
     )
@@ -82,9 +109,9 @@ def read_reference(
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with a header. Blanks around a label are data here, so the writer must not trim them."""
+    """CSV with a header. Blanks around a label are data here, so the writer must not trim them; quotes are doubled."""
     spaces = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    df.write.mode("errorifexists").options(header=True, **spaces).csv(path)
+    df.write.mode("errorifexists").options(header=True, quote='"', escape='"', **spaces).csv(path)
 
 
 def write_exports(exports: Exports, folder: str) -> None:

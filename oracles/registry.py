@@ -67,15 +67,23 @@ MEASURE_QUERIES = {
 EXPECTED.update({n: compose(REPORT_MODEL_STEPS, sql) for n, sql in {**MEASURE_QUERIES, **REPORT_QUERIES}.items()})
 EXPECTED.update({n: compose({**REPORT_MODEL_STEPS, **RECONCILE_STEPS}, sql) for n, sql in CHECK_QUERIES.items()})
 
+def _numbered():
+    """The questions with their number within their suite."""
+    groups: list[str] = []
+    for i, (group, _, plan) in ANALYSES.items():
+        groups.append(group)
+        yield i, group, groups.count(group), plan
+
+
 # the run log counts the rows of every question, asked of the clean tables
 _RUN_LOG = union(
     [
-        f"""SELECT '{group}' AS suite, '{i}' AS label, n AS rows_returned, if(n > 0, 'PASS', 'EMPTY') AS status
+        f"""SELECT '{group}' AS suite, {number} AS number, '{i}' AS label, n AS rows_returned, if(n > 0, 'PASS', 'EMPTY') AS status
             FROM (SELECT count(*) AS n FROM ({ANALYSIS_QUERIES[f"{i}_{plan.__name__}"]}))"""
-        for i, (group, _, plan) in ANALYSES.items()
+        for i, group, number, plan in _numbered()
     ]
     + [
-        f"""SELECT 'integrity' AS suite, test_name AS label, 1::BIGINT AS rows_returned,
+        f"""SELECT 'integrity' AS suite, row_number() OVER ()::INTEGER AS number, test_name AS label, 1::BIGINT AS rows_returned,
                    if(failures = 0, 'PASS', 'FAIL (' || failures || ')') AS status FROM ({INTEGRITY})"""
     ]
 )

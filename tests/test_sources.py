@@ -14,12 +14,15 @@ from funnelworks.plans.cleaning import Cleaning
 from funnelworks.plans.model import report_model
 from funnelworks.plans.quality import GateError, Quality, totals
 from funnelworks.plans.reconcile import kpi_summary
+from funnelworks.plans.suite import execute, require_success, run_log
+from funnelworks.registry import spans
+from funnelworks.plans.views import Views
 from funnelworks.schemas import EXPORT_SCHEMAS
 from funnelworks.session import together, work_dir
 from funnelworks.sources import exports as io
 from funnelworks.sources.messy import MessyExports
 from funnelworks.sources.tables import MARKER, read_published
-from funnelworks.sources.warehouse import CALENDAR, PERIOD, Warehouse
+from funnelworks.sources.warehouse import Warehouse
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -43,6 +46,66 @@ def test_csv_types_and_positions(spark, tmp_path):
     assert (kept["created_at"], kept["_copies"]) == ("when?", 2)
 
 
+def test_csv_as_tools_write_it(spark, tmp_path):
+    columns = {"id": "int", "label": "string", "day": "string"}
+    path = tmp_path / "export.csv"
+    path.write_text('label,extra,day,id\n"Ads ""Brand""",x,2026-01-05,1\n"two\nlines",,2026-01-06,2\nplain,,,3\n')
+    got = rows(io.read_export(spark, str(path), columns, multi_line=True), "id")
+    assert [(r["id"], r["label"], r["day"]) for r in got] == [
+        (1, 'Ads "Brand"', "2026-01-05"), (2, "two\nlines", "2026-01-06"), (3, "plain", None),
+    ]
+    split = io.read_csv(spark, str(path), columns).collect()  # without multi_line the break is seen, not swallowed
+    assert any(r[io.CORRUPT] is not None for r in split)
+    with pytest.raises(ValueError, match="no column other"):
+        io.read_export(spark, str(path), {**columns, "other": "string"})
+
+
+def test_quotes_survive_a_round_trip(spark, tmp_path):
+    df = spark.createDataFrame([(1, 'say "x", twice'), (2, None), (3, " blank ")], "id int, label string")
+    io.write_csv(df, str(tmp_path / "out"))
+    back = io.read_export(spark, str(tmp_path / "out"), {"id": "int", "label": "string"}).drop("_pos")
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_run_log_shows_errors_and_goes_on(spark, built):
+    broken = ("kpi", 1, "broken", lambda v: v.channel_performance.selectExpr("raise_error('no') AS x"))
+    empty = ("kpi", 2, "empty", lambda v: v.channel_performance.where("false"))
+    fine = ("kpi", 3, "fine", lambda v: v.channel_performance)
+    log = {r.label: r for r in run_log(built.views, [broken, empty, fine]).collect()}
+    assert log["broken"].status.startswith("ERROR") and log["broken"].rows_returned is None
+    assert log["empty"].status == "EMPTY" and (log["fine"].status, log["fine"].rows_returned) == ("PASS", 6)
+    assert log["fine"].ms >= 0 and log["sql_implies_mql"].status == "PASS"
+    with pytest.raises(RuntimeError, match="broken"):
+        require_success(spark.createDataFrame([execute(built.views, broken)], "suite string, number int, label string, rows_returned bigint, ms bigint, status string"))
+
+
+def test_days_and_segments_come_from_the_tables(spark, tmp_path):
+    """A day outside all others and an unknown segment are not lost."""
+    base = Warehouse(spark, SMALL)
+    for name in ("region", "nation", "lineitem"):
+        base.table(name).write.parquet(str(tmp_path / f"{name}.parquet"))
+    customer, orders = base.table("customer"), base.table("orders")
+    new = customer.limit(1).selectExpr("900001L AS c_custkey", "c_nationkey", "c_acctbal", "'ZEPPELIN' AS c_mktsegment")
+    customer.unionByName(new).write.parquet(str(tmp_path / "customer.parquet"))
+    late = orders.limit(1).selectExpr(
+        "900003L AS o_orderkey", "900001L AS o_custkey", "o_orderstatus", "o_totalprice",
+        "CAST('2031-05-06' AS timestamp_ntz) AS o_orderdate", "o_orderpriority",
+    )
+    orders.unionByName(late).write.parquet(str(tmp_path / "orders.parquet"))
+    w = Warehouse(spark, str(tmp_path))
+    assert w.period() == (base.period()[0], 20310531) and w.dim_date().where("date_key = 20310630").count() == 1
+    assert tuple(w.dim_channel().where("channel_id > 6").first()) == (7, "ZEPPELIN", "Other", 0)
+    lead = w.star().fact_leads.where("lead_id = 900003").first()
+    assert (lead.channel_id, lead.campaign_id, lead.created_date_key) == (7, None, 20310506)
+    assert Views(w.star()).lead_outcomes.count() == orders.count() + 1
+
+
+def test_local_work_folder_without_settings(spark, monkeypatch):
+    from funnelworks import session
+
+    assert session._local_folder("one") == session._local_folder("one") != session._local_folder("two")
+
+
 def test_reference_and_default_synonyms(spark, tmp_path):
     (tmp_path / "channels.csv").write_text("channel_id,channel_name,channel_group,is_paid\n1,Google Ads,Paid Search,1\n")
     (tmp_path / "campaigns.csv").write_text("campaign_id,campaign_name,channel_id,objective,start_date\n1,A,1,Leads,2025-11-01\n")
@@ -64,12 +127,12 @@ def delivered(spark):
 @pytest.fixture(scope="module")
 def built(spark, delivered):
     raw, reference = delivered
-    return build(spark, Cleaning(raw, reference, CALENDAR, PERIOD), work_dir(spark, "test-star"))
+    return build(spark, Cleaning(raw, reference, *spans(spark, SMALL)), work_dir(spark, "test-star"))
 
 
 def test_build_from_csv_is_published(spark, built):
     star = read_published(spark, built.folder)
-    assert star.period == PERIOD
+    assert star.period == Warehouse(spark, SMALL).period()
     assert star.fact_leads.count() == built.row_counts.where("table = 'Leads'").first()["clean_rows"]
     assert built.log.count() == 22 and built.checks.count() == 22
     assert totals(built.checks).first()["gate"] == "PASS"
@@ -112,7 +175,7 @@ def test_gate_stops_a_bad_build(spark, delivered):
     tables["marketing"] = lambda: raw.marketing.unionByName(bad_row)
     folder = work_dir(spark, "test-bad")
     with pytest.raises(GateError, match="DQ02"):
-        build(spark, Cleaning(Exports(tables), reference, CALENDAR, PERIOD), folder)
+        build(spark, Cleaning(Exports(tables), reference, *spans(spark, SMALL)), folder)
     with pytest.raises(Exception, match=MARKER):
         read_published(spark, folder).fact_leads.count()
 

@@ -222,6 +222,22 @@ def test_measures(model):
     assert by_channel["Search"]["mrr_end_of_period"] == 26.0  # last month of the group, not of all
 
 
+def test_measures_that_replace_a_filter_alone(model):
+    e = Evaluator(model)
+    paid = {r["is_paid"]: r["paid_spend"] for r in rows(e.evaluate(["paid_spend"], ["DimChannel.is_paid"]))}
+    total = e.evaluate(["paid_spend"]).first()["paid_spend"]
+    assert set(paid) == {0, 1} and set(paid.values()) == {total}
+
+
+def test_columns_of_one_name_and_blank_rows(model):
+    e = Evaluator(model)
+    df = e.evaluate(["leads"], ["DimCampaign.channel_id", "DimChannel.channel_id"])
+    assert df.columns == ["DimCampaign_channel_id", "DimChannel_channel_id", "leads"]
+    assert sum(r["leads"] for r in df.collect()) == 6
+    revenue = e.evaluate(["won_revenue"], ["DimChannel.channel_name", "DimDate.year_month"])
+    assert revenue.where("won_revenue IS NULL").count() == 0 and revenue.count() > 0
+
+
 def test_months_are_compared_by_calendar(model):
     e = Evaluator(model)
     by_month = {r["year_month"]: r for r in rows(e.evaluate(["leads", "mom_leads"], ["DimDate.year_month"]))}

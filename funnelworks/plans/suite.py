@@ -47,7 +47,7 @@ def execute(v: Views, statement: Statement) -> tuple:
 def execute_tests(v: Views) -> list[tuple]:
     start = time.perf_counter()
     try:
-        found = integrity_tests(v).collect()  # one row per test
+        found = sorted(integrity_tests(v).collect(), key=lambda r: r.test_name)  # one row per test
     except Exception as e:  # noqa: BLE001
         return [("integrity", 1, "integrity_tests", None, round(1000 * (time.perf_counter() - start)), f"ERROR ({type(e).__name__})")]
     each = round(1000 * (time.perf_counter() - start) / len(found))

@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 
 from .functions.numeric import MONEY, dbl
 from .model import Exports, Reference
+from .operators.constraints import check_constraints
 from .operators.dedupe import COPIES, POSITION, collapse_exact, keep_first
 from .operators.median import twice_median
 from .plans import quality
 from .plans.analyses import ANALYSES
 from .plans.build import Build, build
 from .plans.cleaning import Cleaning
+from .plans.delivered import star_as_delivered
+from .plans.integrity import integrity_tests
 from .plans.measures import MEASURES
 from .plans.model import ReportModel, report_model
 from .plans.reconcile import kpi_summary, reconciliation, reconciliation_summary
@@ -23,9 +26,21 @@ from .plans.reports import DATASETS, Reports
 from .plans.suite import run_log
 from .plans.views import Views
 from .session import together, work_dir
-from .sources.exports import read_exports, sample, write_exports
+from .sources.exports import (
+    VIEW_NAMES,
+    corrupt_rows,
+    read_exports,
+    read_json,
+    read_model,
+    read_view,
+    sample,
+    write_exports,
+    write_json,
+    write_model,
+    write_views,
+)
 from .sources.messy import MessyExports
-from .sources.tables import written
+from .sources.tables import read_star, write_star, written
 from .sources.warehouse import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,12 +52,6 @@ def _warehouse(spark: SparkSession, folder: str) -> Warehouse:
     return Warehouse(spark, folder)
 
 
-@lru_cache(maxsize=8)
-def _views(spark: SparkSession, folder: str) -> Views:
-    """The (lazy) plans over one folder, built once per session: building them costs more than small queries do."""
-    return Views(_warehouse(spark, folder).star())
-
-
 @lru_cache(maxsize=8)
 def _messy(spark: SparkSession, folder: str) -> MessyExports:
     return MessyExports(_warehouse(spark, folder))
@@ -101,20 +110,16 @@ def _on_built_views(name: str, plan: Callable[[Views], DataFrame]) -> None:
     QUERIES[name] = lambda spark, folder: plan(_built(spark, folder).views)
 
 
-def _on_views(name: str, plan: Callable[[Views], DataFrame]) -> None:
-    QUERIES[name] = lambda spark, folder: plan(_views(spark, folder))
-
-
-_on_views("v0_lead_outcomes", lambda v: v.lead_outcomes.withColumn("won_value", dbl("won_value")))
-_on_views("v1_channel_performance", lambda v: v.channel_performance)
-_on_views("v2_campaign_performance", lambda v: v.campaign_performance)
-_on_views("v3_funnel", lambda v: v.funnel)
-_on_views("v4_monthly_management", lambda v: v.monthly_management)
-_on_views("v5_opportunity_detail", lambda v: v.opportunity_detail)
-_on_views("v6_customer_value", lambda v: v.customer_value)
+_on_built_views("v0_lead_outcomes", lambda v: v.lead_outcomes.withColumn("won_value", dbl("won_value")))
+_on_built_views("v1_channel_performance", lambda v: v.channel_performance)
+_on_built_views("v2_campaign_performance", lambda v: v.campaign_performance)
+_on_built_views("v3_funnel", lambda v: v.funnel)
+_on_built_views("v4_monthly_management", lambda v: v.monthly_management)
+_on_built_views("v5_opportunity_detail", lambda v: v.opportunity_detail)
+_on_built_views("v6_customer_value", lambda v: v.customer_value)
 
 for _ident, (_group, _title, _plan) in ANALYSES.items():
-    _on_views(f"{_ident}_{_plan.__name__}", _plan)
+    _on_built_views(f"{_ident}_{_plan.__name__}", _plan)
 
 
 # ---- raw exports, cleaning, quality
@@ -202,10 +207,8 @@ for _name in Exports.names:
 @lru_cache(maxsize=8)
 def _from_csv(spark: SparkSession, folder: str) -> Cleaning:
     """Cleaning of the exports as CSV files: written once, read back with the positions of the files."""
-    raw, reference = delivered(spark, folder)
-    target = work_dir(spark, "csv")
-    write_exports(raw, target)
-    return Cleaning(read_exports(spark, target), reference, *spans(spark, folder))
+    _, reference = delivered(spark, folder)
+    return Cleaning(read_exports(spark, _csv_folder(spark, folder)), reference, *spans(spark, folder))
 
 
 def _on_csv(name: str, plan: Callable[[Cleaning], DataFrame]) -> None:
@@ -216,6 +219,63 @@ _on_csv("csv_marketing", lambda c: _plain(c.marketing))
 _on_csv("csv_leads", lambda c: _plain(c.leads))
 _on_csv("csv_opportunities", lambda c: _plain(c.opportunities))
 _on_csv("csv_customer_monthly", lambda c: _plain(c.customer_monthly))
+_on_csv("csv_customers", lambda c: _plain(c.customers))
+
+
+@lru_cache(maxsize=8)
+def _csv_folder(spark: SparkSession, folder: str) -> str:
+    target = work_dir(spark, "csv")
+    write_exports(delivered(spark, folder)[0], target)
+    return target
+
+
+QUERIES["csv_corrupt_rows"] = lambda spark, folder: corrupt_rows(spark, _csv_folder(spark, folder))
+
+
+@lru_cache(maxsize=8)
+def _exported(spark: SparkSession, folder: str) -> str:
+    """Everything that a build hands to other tools, written once."""
+    target, reports = work_dir(spark, "exported"), _reports(spark, folder)
+    write_views(reports.views, f"{target}/views")
+    write_model(reports.model, f"{target}/model")
+    write_json(kpi_summary(reports.views), f"{target}/kpi")
+    return target
+
+
+def _on_exported(name: str, plan: Callable[[SparkSession, str, Reports], DataFrame]) -> None:
+    QUERIES[name] = lambda spark, folder: plan(spark, _exported(spark, folder), _reports(spark, folder))
+
+
+for _name in VIEW_NAMES:
+    _on_exported(
+        f"export_{_name}", lambda s, f, r, n=_name: read_view(s, f"{f}/views", n, dict(getattr(r.views, n).dtypes))
+    )
+for _name in ReportModel.names:
+    _on_exported(f"import_{_name}", lambda s, f, r, n=_name: _plain(read_model(s, f"{f}/model")[n]))
+_on_exported(
+    "kpi_json",
+    lambda s, f, r: read_json(s, f"{f}/kpi", ", ".join(f"{c} {k}" for c, k in kpi_summary(r.views).dtypes)),
+)
+
+
+# ---- audits on rows that were not cleaned: they have to find the faults
+@lru_cache(maxsize=8)
+def _as_delivered(spark: SparkSession, folder: str) -> Views:
+    raw, reference = delivered(spark, folder)
+    star = star_as_delivered(raw, reference, _cleaning(spark, folder))
+    target = work_dir(spark, "delivered-star")
+    write_star(star, target)
+    return Views(read_star(spark, target, star.period))
+
+
+def _on_delivered(name: str, plan: Callable[[Views], DataFrame]) -> None:
+    QUERIES[name] = lambda spark, folder: plan(_as_delivered(spark, folder))
+
+
+_on_delivered("delivered_constraints", lambda v: check_constraints(v.star))
+_on_delivered("delivered_integrity_tests", integrity_tests)
+for _ident in ("q25b", "q25c", "q25d"):
+    _on_delivered(f"delivered_{_ident}", ANALYSES[_ident][2])
 
 
 def _on_tables(name: str, plan: Callable[[Warehouse], DataFrame]) -> None:

@@ -135,6 +135,11 @@ def write_views(views: Views, folder: str) -> None:
         write_csv(getattr(views, name), f"{folder}/{name}")
 
 
+def read_view(spark: SparkSession, folder: str, name: str, kinds: dict[str, str]) -> DataFrame:
+    """An exported view, typed."""
+    return read_csv(spark, f"{folder}/{name}", kinds).select(*[_typed(c, k) for c, k in kinds.items()])
+
+
 def write_model(model: ReportModel, folder: str) -> None:
     for name in ReportModel.names:
         write_csv(model[name], f"{folder}/{name}")

@@ -1,4 +1,4 @@
-"""Adapter: order-management tables (region nation customer orders lineitem) seen as a funnel star schema.
+"""Adapter: order-management tables (region nation customer orders lineitem) seen as a marketing funnel.
 
 An order is a lead; an order above the qualification value is an opportunity; a finished one is won. Marketing
 activity comes from line items by ship day and part. All money is exact decimal. Each table below is one declarative
@@ -12,10 +12,8 @@ from functools import cache
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.dates import calendar_between, date_key, month_key
+from ..functions.dates import calendar_between, date_key
 from ..functions.numeric import MONEY, flag
-from ..model import Star
-from ..schemas import STAR_SCHEMAS
 
 QUALIFIED_ABOVE = 350000
 
@@ -222,90 +220,6 @@ class Warehouse:
             )
         )
 
-    # ---- facts
-    @cache  # noqa: B019
-    def fact_marketing_daily(self) -> DataFrame:
-        return self.marketing_base().select(
-            date_key("day").alias("date_key"),
-            "campaign_id",
-            "channel_id",
-            "impressions",
-            "clicks",
-            "sessions",
-            "spend",
-        )
-
-    @cache  # noqa: B019
-    def fact_leads(self) -> DataFrame:
-        score = F.col("lead_score")
-        return self.lead_base().select(
-            "lead_id",
-            date_key("created").alias("created_date_key"),
-            "channel_id",
-            "campaign_id",
-            "region_id",
-            "company_size",
-            "business_type",
-            F.when(score.between(0, 100), score).alias("lead_score"),
-            F.greatest("is_mql", "is_sql").alias("is_mql"),
-            "is_sql",
-        )
-
-    @cache  # noqa: B019
-    def attributed_opportunities(self) -> DataFrame:
-        """Opportunities with the attributes of their lead: first touch decides."""
-        leads = self.fact_leads().select(
-            "lead_id", "channel_id", "campaign_id", "region_id", "company_size", "business_type"
-        )
-        imputed = (F.col("status") == "Won") & (F.col("won_value") <= 0)
-        closed = F.when(F.col("closed") >= F.col("created"), F.col("closed"))
-        return (
-            self.opportunity_base()
-            .withColumns({"closed": closed, "imputed": imputed})
-            .join(leads, "lead_id")
-            .withColumns(
-                {
-                    "created_date_key": date_key("created"),
-                    "close_date_key": date_key("closed"),
-                    "is_won": flag(F.col("status") == "Won"),
-                    "won_value": F.when(F.col("imputed"), F.col("expected_value")).otherwise(F.col("won_value")),
-                    "sales_cycle_days": F.date_diff("closed", "created"),
-                    "value_imputed": flag(F.col("imputed")),
-                }
-            )
-        )
-
-    @cache  # noqa: B019
-    def fact_opportunities(self) -> DataFrame:
-        return self.attributed_opportunities().select(*STAR_SCHEMAS["fact_opportunities"])
-
-    @cache  # noqa: B019
-    def dim_customer(self) -> DataFrame:
-        won = self.attributed_opportunities().where("is_won = 1")
-        return won.withColumns(
-            {
-                "customer_id": F.col("opportunity_id"),
-                "acquisition_date_key": F.coalesce("close_date_key", "created_date_key"),
-                "starting_mrr": twelfth((F.col("won_value") * 100).cast("bigint")),
-            }
-        ).select(*STAR_SCHEMAS["dim_customer"])
-
-    @cache  # noqa: B019
-    def fact_customer_monthly(self) -> DataFrame:
-        won = (F.col("o_totalprice") > QUALIFIED_ABOVE) & (F.col("o_orderstatus") == "F")
-        customers = self.table("orders").where(won).select(F.col("o_orderkey").alias("customer_id"))
-        return self.billing_base(customers).select(
-            "customer_id",
-            "year_month",
-            month_key("year_month").alias("month_key"),
-            "mrr",
-            flag(F.col("status") == "active").alias("is_active"),
-            flag(F.col("status") == "churned").alias("is_churned"),
-        )
-
-    def star(self) -> Star:
-        return Star({name: getattr(self, name) for name in Star.names}, self.period())
-
 
 def twelfth(cents: Column) -> Column:
     """A twelfth of an amount in cents, as money, rounded half up in integers."""

@@ -10,6 +10,7 @@ from funnelworks.schemas import EXPORT_SCHEMAS, STAR_SCHEMAS
 from .clean import (
     CLEAN_STAR_STEPS,
     CLEAN_STEPS,
+    DELIVERED_STEPS,
     CONSTRAINT_ROWS,
     DQ_TOTALS,
     INTEGRITY,
@@ -19,7 +20,6 @@ from .clean import (
 from .compose import compose, union
 from .measures import CHECK_QUERIES, FILTERED, RECONCILE_STEPS, REPORT_QUERIES, by_month, evaluated
 from .measures import STEPS as REPORT_MODEL_STEPS
-from .star import STEPS
 
 VIEW_QUERIES = {
     "v0_lead_outcomes": "SELECT * REPLACE (won_value::DOUBLE AS won_value) FROM v0",
@@ -33,7 +33,7 @@ VIEW_QUERIES = {
 
 EXPECTED: dict[str, str] = {}
 for _queries in (VIEW_QUERIES, ANALYSIS_QUERIES):
-    EXPECTED.update({name: compose(STEPS, sql) for name, sql in _queries.items()})
+    EXPECTED.update({name: compose(CLEAN_STAR_STEPS, sql) for name, sql in _queries.items()})
 
 _CLEAN_TABLES = {
     "clean_marketing": "fact_marketing_daily",
@@ -83,7 +83,7 @@ _RUN_LOG = union(
         for i, group, number, plan in _numbered()
     ]
     + [
-        f"""SELECT 'integrity' AS suite, row_number() OVER ()::INTEGER AS number, test_name AS label, 1::BIGINT AS rows_returned,
+        f"""SELECT 'integrity' AS suite, (row_number() OVER (ORDER BY test_name))::INTEGER AS number, test_name AS label, 1::BIGINT AS rows_returned,
                    if(failures = 0, 'PASS', 'FAIL (' || failures || ')') AS status FROM ({INTEGRITY})"""
     ]
 )
@@ -110,3 +110,30 @@ SOURCE_QUERIES = {
         FROM lineitem GROUP BY l_returnflag""",
 }
 EXPECTED.update({n: compose(CLEAN_STEPS, sql) for n, sql in SOURCE_QUERIES.items()})
+EXPECTED["csv_customers"] = EXPECTED["clean_customers"]
+EXPECTED["csv_corrupt_rows"] = compose(
+    CLEAN_STEPS,
+    union([f"SELECT '{n}' AS export, (SELECT count(*) FROM raw_{n}) AS rows, 0::BIGINT AS corrupt" for n in EXPORT_SCHEMAS]),
+)
+
+# what is exported and read back is what was computed
+_EXPORTED = {
+    "export_channel_performance": "v1_channel_performance",
+    "export_campaign_performance": "v2_campaign_performance",
+    "export_monthly_management": "v4_monthly_management",
+    "export_funnel": "v3_funnel",
+    "export_opportunity_detail": "v5_opportunity_detail",
+    "export_customer_value": "v6_customer_value",
+    "kpi_json": "kpi_summary",
+    **{n.replace("model_", "import_", 1): n for n in EXPECTED if n.startswith("model_")},
+}
+EXPECTED.update({n: EXPECTED[of] for n, of in _EXPORTED.items()})
+
+_DELIVERED = {
+    "delivered_constraints": CONSTRAINT_ROWS,
+    "delivered_integrity_tests": INTEGRITY,
+    "delivered_q25b": ANALYSIS_QUERIES["q25b_business_rules"],
+    "delivered_q25c": ANALYSIS_QUERIES["q25c_orphans"],
+    "delivered_q25d": ANALYSIS_QUERIES["q25d_repeated_keys"],
+}
+EXPECTED.update({n: compose(DELIVERED_STEPS, sql) for n, sql in _DELIVERED.items()})

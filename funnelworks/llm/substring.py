@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .linking import sieve, sifted
 from .shared import LAST, mixed, over_batches, run_hashes, slices, stored, text_bytes, word_bounds, word_hashes
 
 WINDOW, SEED = 50, 12
@@ -121,17 +122,20 @@ def repeats(documents: DataFrame, window: int = WINDOW, seed: int = SEED) -> Dat
         "doc_id", "text", F.coalesce("doc_id", F.lit(LAST)).alias("doc"), F.xxhash64("text").alias("row_key")
     )
     made = stored(all_blocks(rows.select("doc", "row_key", "text"), window, seed), "blocks")
+    # what is joined back is written first: a join in the task of an aggregation could not split a frequent key
     both = made.groupBy("anchor").agg(F.min("doc").alias("lowest"), F.max("doc").alias("highest")).where("lowest < highest")
-    shared = stored(made.join(both.select("anchor"), "anchor"), "shared-blocks")
+    both = stored(both.select("anchor"), "shared-anchors")
+    shared = stored(sifted(made, "anchor", sieve(both, "anchor")).join(both, "anchor"), "shared-blocks")
     equal = stored(shared.groupBy("anchor", "content").agg(F.min("doc").alias("first"), F.max("doc").alias("last")), "equal-blocks")
     copies = shared.join(equal.where("first < last").drop("last"), ["anchor", "content"]).where("first < doc")
 
-    several = equal.groupBy("anchor").count().where("count > 1").select("anchor")
+    several = stored(equal.groupBy("anchor").count().where("count > 1").select("anchor"), "anchors-of-several-blocks")
     edges = shared.join(equal.drop("last").join(several, "anchor"), ["anchor", "content"]).where("first = doc")
     wanted = edges.groupBy("doc", "row_key").agg(F.collect_list("range").alias("ranges"))
     single = stored(windows(rows.select("doc", "row_key", "text").join(wanted, ["doc", "row_key"]), window), "windows")
     again = single.groupBy("one", "two").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last")
-    late = single.join(again.drop("last"), ["one", "two"]).where("first < doc")
+    again = stored(again.drop("last"), "equal-windows")
+    late = single.join(again, ["one", "two"]).where("first < doc")
 
     cut = copies.select("doc", "row_key", "range").unionByName(late.select("doc", "row_key", "range"))
     ranges = cut.groupBy("doc", "row_key").agg(F.collect_list("range").alias("ranges"))

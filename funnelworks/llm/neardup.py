@@ -102,8 +102,8 @@ def tables(signatures: DataFrame) -> DataFrame:
     common = half.groupBy("key").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x < y").select("key")
     common = stored(common, "half-keys")
     mine = sifted(half, "key", sieve(common, "key")).join(common, "key").groupBy("node").agg(F.collect_set("key").alias("keys"))
-    first, second = (F.explode(F.filter("keys", lambda k, s=s: k.bitwiseAND(F.lit(1)) == s)) for s in (0, 1))
-    pairs = mine.withColumn("first", first).withColumn("second", second)
+    of = lambda side: F.explode(F.filter("keys", lambda key: key.bitwiseAND(F.lit(1)) == side))
+    pairs = mine.withColumn("first", of(0)).withColumn("second", of(1))
     return pairs.select(F.xxhash64("first", "second").alias("bucket"), "node")
 
 

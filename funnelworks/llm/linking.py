@@ -4,8 +4,8 @@ A node is the 64-bit hash of a content, so equal contents are one node (for N di
 equality is about N * N / 2**65). No step makes all pairs of a bucket:
 
 1. Each bucket pairs its members with its smallest node; pairs are verified on full sets and linked to components.
-2. Buckets that then still hold several components are rare. Their nodes are compared by prefixes: two sets of the wanted
-   similarity share one of the few rarest elements of each. Only nodes of different components that do so are paired.
+2. Buckets that then still hold several components are grouped by the component of their smallest node, and the nodes of a
+   group are compared across components: in blocks, by matrix products, with a row only for what is found.
 
 Every link between nodes that share a bucket is thus found, or its ends are in one component already.
 """
@@ -21,9 +21,11 @@ from pyspark.sql import functions as F
 
 from .shared import over_batches, slices, stored
 
-#: Bits of a sieve (8 MB at any scale) and the slots of the rarity table.
-SIEVE_BITS, SLOTS = 1 << 26, 1 << 18
+#: Bits of a sieve (8 MB at any scale).
+SIEVE_BITS = 1 << 26
 _PAGE = 32_768
+#: Nodes and bytes of text of a block, and elements that are counted at a time.
+BLOCK_ROWS, BLOCK_TEXT, COLUMNS = 1500, 6_000_000, 2048
 
 Sets = Callable[[pa.Array], list[np.ndarray]]
 
@@ -109,52 +111,59 @@ def verified(pairs: DataFrame, texts: DataFrame, sets: Sets, share: tuple[int, i
     return over_batches(rows.select("a", "b", "text_a", "text_b"), work, "a long, b long")
 
 
-def rarity(texts: DataFrame, sets: Sets) -> np.ndarray:
-    """How many texts have an element, counted in a table of fixed size by its hash: any fixed order of the elements gives
-    right prefixes, rare ones first give short buckets."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(SLOTS, np.int64)
-        for batch in batches:
-            for part in slices(batch, "text"):
-                every = np.concatenate([np.empty(0, np.uint64), *sets(part.column("text"))])
-                total += np.bincount((every & np.uint64(SLOTS - 1)).astype(np.int64), minlength=SLOTS)
-        slot = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(total[slot])], names=["slot", "n"])
-
-    out = np.zeros(SLOTS, np.int64)
-    for row in over_batches(texts.select("text"), work, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).collect():
-        out[row.slot] = row.n
-    return out
-
-
-def prefix_pairs(nodes: DataFrame, sets: Sets, share: tuple[int, int]) -> DataFrame:
-    """Pairs (a, b) of nodes of different components that share one of their rarest elements. nodes: node, component, text."""
-    rare = rarity(nodes, sets)
+def found_across(part: list[np.ndarray], component: np.ndarray, share: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of two similar sets for each two components that have any. Common elements are counted for all sets at
+    once, as products of 0/1 matrices over a few thousand elements at a time."""
     num, den = share
+    n = len(part)
+    size = np.array([len(x) for x in part])
+    row = np.repeat(np.arange(n), size)
+    element, place, often = np.unique(np.concatenate(part), return_inverse=True, return_counts=True)
+    number = np.cumsum(often > 1) - 1  # elements of one set alone are not common to any
+    common = often[place] > 1
+    row, column = row[common], number[place][common]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    inter = np.zeros((n, n), np.float32)
+    for start in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        lo, hi = np.searchsorted(column, (start, start + COLUMNS))
+        dense = np.zeros((n, COLUMNS), np.float32)
+        dense[row[lo:hi], column[lo:hi] - start] = 1
+        inter += dense @ dense.T
+    union = size[:, None] + size[None, :] - inter
+    x, y = np.nonzero(np.triu((den * inter >= num * union) & (component[:, None] != component[None, :]), 1))
+    _, code = np.unique(component, return_inverse=True)
+    pair = np.minimum(code[x], code[y]) * np.int64(n) + np.maximum(code[x], code[y])
+    _, first = np.unique(pair, return_index=True)
+    return x[first], y[first]
+
+
+def links_across(rows: DataFrame, sets: Sets, share: tuple[int, int]) -> DataFrame:
+    """Links (a, b) between nodes of different components within each group, at least one for each two components that have
+    any. rows: group, node, component, text. A large group is cut into blocks; every two blocks meet in a task of their
+    own, so a task holds a bounded number of nodes and of bytes, whatever the size of the group."""
+    extent = rows.groupBy("group").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes"))
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK_ROWS), F.ceil(F.col("bytes") / BLOCK_TEXT)).cast("int")
+    dealt = rows.join(extent.select("group", blocks.alias("blocks")), "group").withColumn(
+        "mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    )
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select(
+        "group", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "node", "component", "text"
+    )
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in (p for batch in batches for p in slices(batch, "text")):
-            prefixes, size = [np.empty(0, np.uint64)], []
-            for found in sets(part.column("text")):
-                order = np.lexsort((found, rare[(found & np.uint64(SLOTS - 1)).astype(np.int64)]))
-                prefixes.append(found[order[: len(found) - -(-num * len(found) // den) + 1]])
-                size.append(len(found))
-            owner = np.repeat(np.arange(part.num_rows), [len(p) for p in prefixes[1:]])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate(prefixes).view(np.int64)), part.column("node").take(pa.array(owner)),
-                    part.column("component").take(pa.array(owner)), pa.array(np.array(size, np.int64)[owner]),
-                ],
-                names=["element", "node", "component", "n"],
-            )
-
-    rows = stored(over_batches(nodes, work, "element long, node long, component long, n long"), "prefixes")
-    several = rows.groupBy("element").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("element")
-    rows = rows.join(several, "element")
-    left, right = (rows.select("element", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "component", "n")]) for s in "ab")
-    near = F.expr(f"component_a <> component_b AND node_a < node_b AND {den} * least(n_a, n_b) >= {num} * greatest(n_a, n_b)")
-    return left.join(right, "element").where(near).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+    def work(table: pa.Table) -> pa.Table:
+        node, component = (table.column(c).to_numpy() for c in ("node", "component"))
+        x = y = np.empty(0, np.int64)
+        if (component != component[0]).any():
+            part = []
+            for batch in table.select(["text"]).combine_chunks().to_batches():
+                for piece in slices(batch, "text"):
+                    part += sets(piece.column("text"))
+            x, y = found_across(part, component, share)
+        return pa.table({"a": node[x], "b": node[y]})
+
+    return dealt.groupBy("group", "low", "high").applyInArrow(work, "a long, b long")
 
 
 def linked(buckets: DataFrame, fetch: Callable[[DataFrame], DataFrame], sets: Sets, share: tuple[int, int]) -> DataFrame:
@@ -171,12 +180,12 @@ def linked(buckets: DataFrame, fetch: Callable[[DataFrame], DataFrame], sets: Se
     of = lambda side: found.select(F.col("node").alias(side), F.col("component").alias(f"component_{side}"))
     placed = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
     placed = placed.withColumns({f"component_{s}": F.coalesce(f"component_{s}", s) for s in "ab"})
+    # a bucket lies within its lead's pairs; leads of one component are one group
     leads = placed.where("component_a <> component_b").select("a").distinct()
-    rest = placed.join(leads, "a")
-    rest = rest.select(F.explode(F.array(*[F.struct(F.col(s).alias("node"), F.col(f"component_{s}").alias("component")) for s in "ab"])).alias("x"))
-    rest = stored(rest.select("x.*").distinct(), "several-components")
+    rest = placed.join(leads, "a").withColumn("group", F.col("component_a"))
+    members = F.explode(F.array(*[F.struct(F.col(s).alias("node"), F.col(f"component_{s}").alias("component")) for s in "ab"]))
+    rest = stored(rest.select("group", members.alias("x")).select("group", "x.*").distinct(), "several-components")
     if rest.isEmpty():
         return found
-    late = stored(prefix_pairs(rest.join(texts, "node"), sets, share), "late-pairs")
-    more = stored(verified(late, texts, sets, share), "late-links")
+    more = stored(links_across(rest.join(texts, "node"), sets, share), "links-across")
     return found if more.isEmpty() else components(links.unionByName(more))

@@ -126,7 +126,7 @@ def scan(symbols: np.ndarray, chunk: int = CHUNK) -> np.ndarray:
         at = step[at * SYMBOLS + columns[k][:, None]]
         if at.shape[1] > 1 and (at == at[:, :1]).all():
             at = at[:, :1]
-    maps = np.ascontiguousarray(np.broadcast_to(at, (lanes, STATES)))
+    maps = np.array(np.broadcast_to(at, (lanes, STATES)))
     # inclusive scan: maps[i] becomes the composition of the maps 0..i
     shift = 1
     while shift < lanes:

@@ -14,9 +14,9 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import count_where, dbl, n_rows, ratio
@@ -29,10 +29,17 @@ MONTH = "DimDate.year_month"
 
 @dataclass(frozen=True)
 class Part:
-    """One aggregate of one fact. ``only`` replaces the filters on a column, ``ignore`` drops those on a dimension."""
+    """One aggregate of one fact. ``only`` replaces the filters on a column, ``ignore`` drops those on a dimension.
+
+    Where a request neither groups by nor filters what a part replaces or drops, the part needs no context of its own:
+    ``masked`` is its aggregate over the rows that ``only`` keeps, and a part that ignores a dimension is the sum of the
+    part ``whole`` over that dimension's groups.
+    """
 
     fact: str
     aggregate: Callable[[], Column]
+    masked: Callable[[Column], Column] | None = None
+    whole: str | None = None
     only: tuple[tuple[str, int], ...] = ()
     ignore: str | None = None
     months_back: int = 0
@@ -72,13 +79,13 @@ PARTS: dict[str, Part] = {
     "impressions": Part(MKT, lambda: F.sum("impressions")),
     "clicks": Part(MKT, lambda: F.sum("clicks")),
     "sessions": Part(MKT, lambda: F.sum("sessions")),
-    "paid_spend": Part(MKT, _spend, only=PAID),
+    "paid_spend": Part(MKT, _spend, only=PAID, masked=lambda m: dbl(F.sum(F.when(m, F.col("spend"))))),
     "leads": Part(LEADS, known_count),
     "mqls": Part(LEADS, lambda: known_count(F.col("is_mql") == 1)),
     "sqls": Part(LEADS, lambda: known_count(F.col("is_sql") == 1)),
     "score_sum": Part(LEADS, lambda: F.sum("lead_score")),
     "score_count": Part(LEADS, lambda: F.count("lead_score")),
-    "leads_all_channels": Part(LEADS, known_count, ignore="DimChannel"),
+    "leads_all_channels": Part(LEADS, known_count, ignore="DimChannel", whole="leads"),
     "leads_before": Part(LEADS, known_count, months_back=1),
     "opportunities": Part(OPPS, known_count),
     "customers": Part(OPPS, _customers),
@@ -88,9 +95,13 @@ PARTS: dict[str, Part] = {
     "cycle_count": Part(OPPS, lambda: F.count(F.when(F.col("is_won") == 1, F.col("sales_cycle_days")))),
     "open_value": Part(OPPS, _sum_where("expected_value", _is("status", "Open"))),
     "lost_value": Part(OPPS, _sum_where("expected_value", _is("status", "Lost"))),
-    "paid_customers": Part(OPPS, _customers, only=PAID),
-    "non_paid_revenue": Part(OPPS, _revenue, only=NOT_PAID),
-    "customers_all_channels": Part(OPPS, _customers, ignore="DimChannel"),
+    "paid_customers": Part(
+        OPPS, _customers, only=PAID, masked=lambda m: known_count((F.col("is_won") == 1) & F.coalesce(m, F.lit(False)))
+    ),
+    "non_paid_revenue": Part(
+        OPPS, _revenue, only=NOT_PAID, masked=lambda m: dbl(F.sum(F.when(m & (F.col("is_won") == 1), F.col("won_value"))))
+    ),
+    "customers_all_channels": Part(OPPS, _customers, ignore="DimChannel", whole="customers"),
     "revenue_before": Part(OPPS, _revenue, months_back=1),
     "mrr": Part(MONTHLY, _sum_where("mrr", _is("is_active", 1))),
     "mrr_end": Part(MONTHLY, _sum_where("mrr", _is("is_active", 1)), last_by="month_key"),
@@ -253,9 +264,19 @@ class Evaluator:
         self._names = {c: n if short.count(n) == 1 else c.replace(".", "_") for c, n in zip(by, short)}
         names = list(self._names.values())
         groups: dict[tuple, list[str]] = {}
+        rolled: list[str] = []
+        asked = {*by, *filters}
         for p in needed:
             part = PARTS[p]
-            groups.setdefault((part.fact, part.only, part.ignore, part.months_back, part.last_by), []).append(p)
+            only, ignore = part.only, part.ignore
+            if only and part.masked and not asked & {c for c, _ in only}:
+                only = ()
+            if part.whole and not any(c.split(".")[0] == ignore for c in filters):
+                rolled.append(p)
+                p, ignore = part.whole, None
+            members = groups.setdefault((part.fact, only, ignore, part.months_back, part.last_by), [])
+            if p not in members:
+                members.append(p)
 
         stacked, aside = [], []
         for (fact, only, ignore, months_back, last_by), members in groups.items():
@@ -273,6 +294,9 @@ class Evaluator:
             result = self._aggregate(next(iter(groups))[0], list(by), filters, 0, None, [])
         for frame, keys, members in aside:
             result = _attach(result, frame, keys, members)
+        for p in rolled:  # over the few rows of the result
+            others = [self._names[c] for c in by if c.split(".")[0] != PARTS[p].ignore]
+            result = result.withColumn(p, F.sum(PARTS[p].whole).over(Window.partitionBy(*others)))
         values = {p: F.col(p) for p in needed}
         result = result.select(*names, *[MEASURES[m].formula(values).alias(f"{m}") for m in measures])
         return result.where(_any_value(measures)) if by else result
@@ -296,7 +320,9 @@ class Evaluator:
             self._check_column(column)
             if column.split(".")[0] not in paths:
                 raise UnreachableError(f"{column} does not filter {fact}")
-        used = [*by, *[c for c in filters if c.split(".")[0] in paths]]
+        masks = {p: PARTS[p].only for p in members if PARTS[p].only and not set(dict(PARTS[p].only)) & set(filters)}
+        extra = [c for only in masks.values() for c, _ in only]
+        used = list(dict.fromkeys([*by, *[c for c in filters if c.split(".")[0] in paths], *extra]))
         frame = self._joined(fact, paths, used, months_back)
         for column, test in filters.items():
             if column.split(".")[0] in paths:
@@ -304,7 +330,8 @@ class Evaluator:
         keys = [F.col(_flat(c)).alias(self._names[c]) for c in by]
         if not members:
             return frame.select(*keys).distinct()
-        aggregates = [PARTS[p].aggregate().alias(p) for p in members]
+        mask = lambda p: reduce(and_, [F.col(_flat(c)) == v for c, v in masks[p]])
+        aggregates = [(PARTS[p].masked(mask(p)) if p in masks else PARTS[p].aggregate()).alias(p) for p in members]
         if last_by is None:
             return frame.groupBy(*keys).agg(*aggregates)
         names = [self._names[c] for c in by]

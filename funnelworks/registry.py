@@ -81,7 +81,7 @@ def _cleaning(spark: SparkSession, folder: str) -> Cleaning:
 
 
 @lru_cache(maxsize=8)
-def _built(spark: SparkSession, folder: str) -> Build:
+def built(spark: SparkSession, folder: str) -> Build:
     """One full rebuild per session and folder: the audits and suites below all look at its published tables."""
     raw, reference = delivered(spark, folder)
     return build(spark, Cleaning(raw, reference, *spans(spark, folder)), work_dir(spark, "star"))
@@ -89,7 +89,7 @@ def _built(spark: SparkSession, folder: str) -> Build:
 
 @lru_cache(maxsize=8)
 def _reports(spark: SparkSession, folder: str) -> Reports:
-    b = _built(spark, folder)
+    b = built(spark, folder)
     model = report_model(b.star, b.checks, b.row_counts, b.log).publish(work_dir(spark, "model"))
     return Reports(model, b.views)
 
@@ -103,11 +103,11 @@ def _on_cleaning(name: str, plan: Callable[[Cleaning], DataFrame]) -> None:
 
 
 def _on_build(name: str, plan: Callable[[Build], DataFrame]) -> None:
-    QUERIES[name] = lambda spark, folder: plan(_built(spark, folder))
+    QUERIES[name] = lambda spark, folder: plan(built(spark, folder))
 
 
 def _on_built_views(name: str, plan: Callable[[Views], DataFrame]) -> None:
-    QUERIES[name] = lambda spark, folder: plan(_built(spark, folder).views)
+    QUERIES[name] = lambda spark, folder: plan(built(spark, folder).views)
 
 
 _on_built_views("v0_lead_outcomes", lambda v: v.lead_outcomes.withColumn("won_value", dbl("won_value")))

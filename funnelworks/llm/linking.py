@@ -62,7 +62,7 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("low"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("low").alias("v")).distinct()
+        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("low").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("low"))
         small = large.join(least, "u").where("v <> low").select(F.col("v").alias("u"), F.col("low").alias("v"))
         edges = stored(small.unionByName(least.withColumnRenamed("low", "v")).distinct(), "edges")
@@ -188,4 +188,12 @@ def linked(buckets: DataFrame, fetch: Callable[[DataFrame], DataFrame], sets: Se
     if rest.isEmpty():
         return found
     more = stored(links_across(rest.join(texts, "node"), sets, share), "links-across")
-    return found if more.isEmpty() else components(links.unionByName(more))
+    if more.isEmpty():
+        return found
+    # what is known is contracted: the late links join components, of which few are left
+    placed = more.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    joins = placed.select(*[F.coalesce(f"component_{s}", s).alias(s) for s in "ab"])
+    joined = components(joins).select(F.col("node").alias("component"), F.col("component").alias("final"))
+    alone = joined.join(found, "component", "left_anti").select(F.col("component").alias("node"), "final")
+    known = found.join(joined, "component", "left").select("node", F.coalesce("final", "component").alias("final"))
+    return known.unionByName(alone).withColumnRenamed("final", "component")

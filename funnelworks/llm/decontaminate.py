@@ -72,12 +72,11 @@ def contained(
     full = candidates.alias("c").join(
         items.alias("i"), F.expr("c.item_key = i.item_key AND c.item_id <=> i.item_id")
     ).select("c.doc_id", "c.row_key", "c.item_id", "item_set", "item_shingles")
-    texts = rows.distinct().alias("d")
-    pairs = full.alias("f").join(texts, F.expr("f.row_key = d.row_key AND f.doc_id <=> d.doc_id"))
+    pairs = full.alias("f").join(rows.alias("d"), F.expr("f.row_key = d.row_key AND f.doc_id <=> d.doc_id"))
     pairs = pairs.select("f.doc_id", "f.row_key", "item_id", "item_set", "item_shingles", words(F.col("text")).alias("words"))
     # written before it is filtered: a filter on the count would be pushed below the words and split the text for every run
     shared = F.size(F.array_intersect("item_set", shingles("words", size, joined))).alias("shared")
-    checked = stored(pairs.select("doc_id", "row_key", "item_id", "item_shingles", shared), "compared")
+    checked = stored(pairs.select("doc_id", "row_key", "item_id", "item_shingles", shared), "compared").distinct()
     return checked.where(F.col("shared") >= F.col("item_shingles") * threshold - 1e-9).select(
         "doc_id", "item_id", "item_shingles", "shared", (F.col("shared") / F.col("item_shingles")).alias("containment"), "row_key"
     )

@@ -140,9 +140,9 @@ def found_across(part: list[np.ndarray], component: np.ndarray, share: tuple[int
 
 def links_across(rows: DataFrame, sets: Sets, share: tuple[int, int]) -> DataFrame:
     """Links (a, b) between nodes of different components within each group, at least one for each two components that have
-    any. rows: group, node, component, text. A large group is cut into blocks; every two blocks meet in a task of their
+    any. rows: group, node, component, text; the two nodes of a group of two have been compared before. A large group is cut into blocks; every two blocks meet in a task of their
     own, so a task holds a bounded number of nodes and of bytes, whatever the size of the group."""
-    extent = rows.groupBy("group").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes"))
+    extent = rows.groupBy("group").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")).where("n > 2")
     blocks = F.greatest(F.ceil(F.col("n") / BLOCK_ROWS), F.ceil(F.col("bytes") / BLOCK_TEXT)).cast("int")
     dealt = rows.join(extent.select("group", blocks.alias("blocks")), "group").withColumn(
         "mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
@@ -166,11 +166,28 @@ def links_across(rows: DataFrame, sets: Sets, share: tuple[int, int]) -> DataFra
     return dealt.groupBy("group", "low", "high").applyInArrow(work, "a long, b long")
 
 
-def linked(buckets: DataFrame, fetch: Callable[[DataFrame], DataFrame], sets: Sets, share: tuple[int, int]) -> DataFrame:
-    """(node, component) of all nodes with a link. buckets: bucket, node, both written; fetch: (node, text) of given nodes."""
+def members_of(keyed: DataFrame, bits: np.ndarray) -> DataFrame:
+    """(bucket, node) of the keys that the sieve lets pass, sifted before they become rows."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column("keys")
+            flat = keys.flatten().to_numpy(zero_copy_only=False)
+            owner = np.repeat(batch.column("node").to_numpy(zero_copy_only=False), np.diff(keys.offsets.to_numpy()))
+            place = flat & (SIEVE_BITS - 1)
+            on = (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+            yield pa.RecordBatch.from_arrays([pa.array(flat[on]), pa.array(owner[on])], names=["bucket", "node"])
+
+    return over_batches(keyed, work, "bucket long, node long")
+
+
+def linked(keyed: DataFrame, fetch: Callable[[DataFrame], DataFrame], sets: Sets, share: tuple[int, int]) -> DataFrame:
+    """(node, component) of all nodes with a link. keyed: node and its bucket keys, written; fetch: (node, text) of given
+    nodes."""
+    buckets = keyed.select(F.explode("keys").alias("bucket"), "node")
     ends = buckets.groupBy("bucket").agg(F.min("node").alias("lead"), F.max("node").alias("last")).where("lead < last")
     ends = stored(ends.select("bucket", "lead"), "shared-buckets")
-    members = sifted(buckets, "bucket", sieve(ends, "bucket")).join(ends, "bucket").where("node <> lead")
+    members = members_of(keyed.select("node", "keys"), sieve(ends, "bucket")).join(ends, "bucket").where("node <> lead")
     pairs = stored(members.select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
     nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     texts = stored(fetch(stored(nodes, "active")), "active-texts")

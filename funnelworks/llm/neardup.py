@@ -16,8 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .linking import Sets, linked, sieve, sifted
-from .shared import LAST, lower_ascii, mixed, over_batches, run_hashes, slices, stored, text_bytes, word_bounds, word_hashes
+from .linking import Sets, linked, members_of, sieve, sifted
+from .shared import CACHED_BYTES, LAST, distinct, lower_ascii, mixed, over_batches, run_hashes, slices, stored, text_bytes, word_bounds, word_hashes
 
 SHARE, HALVES, ROWS = (4, 5), 14, 3
 
@@ -39,7 +39,7 @@ def shingles(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
 def shingle_sets(size: int) -> Sets:
     def sets(column: pa.Array) -> list[np.ndarray]:
         values, bounds = shingles(column, size)
-        return [np.unique(values[a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
+        return [distinct(values[a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
 
     return sets
 
@@ -73,12 +73,12 @@ def signed(rows: DataFrame, size: int) -> DataFrame:
     side = np.repeat(np.array([0, 1], np.uint64), HALVES)[:, None]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in (p for batch in batches for p in slices(batch, "text")):
+        for part in (p for batch in batches for p in slices(batch, "text", CACHED_BYTES)):
             values, bounds = shingles(part.column("text"), size)
             full = np.diff(bounds) > 0
             node, n = np.zeros(part.num_rows, np.int64), np.zeros(part.num_rows, np.int64)
             for i in np.flatnonzero(full):
-                found = np.unique(values[bounds[i] : bounds[i + 1]])
+                found = distinct(values[bounds[i] : bounds[i + 1]])
                 n[i] = len(found)
                 node[i] = int.from_bytes(hashlib.blake2b(found.tobytes(), digest_size=8).digest(), "little", signed=True)
             keys = (banded(minima(values, bounds, 2 * HALVES * ROWS), ROWS) & ~np.uint64(1)) | side
@@ -97,14 +97,16 @@ def signed(rows: DataFrame, size: int) -> DataFrame:
 
 
 def tables(signatures: DataFrame) -> DataFrame:
-    """(bucket, node): the keys of all tables, of pairs of half keys that at least one other content has too."""
-    half = signatures.where("node IS NOT NULL").select(F.explode("keys").alias("key"), "node")
-    common = half.groupBy("key").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x < y").select("key")
+    """(node, keys): the keys of all tables, of pairs of half keys that at least one other content has too."""
+    half = signatures.where("node IS NOT NULL").select("node", "keys")
+    each = half.select(F.explode("keys").alias("key"), "node")
+    common = each.groupBy("key").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x < y").select("key")
     common = stored(common, "half-keys")
-    mine = sifted(half, "key", sieve(common, "key")).join(common, "key").groupBy("node").agg(F.collect_set("key").alias("keys"))
-    of = lambda side: F.explode(F.filter("keys", lambda key: key.bitwiseAND(F.lit(1)) == side))
-    pairs = mine.withColumn("first", of(0)).withColumn("second", of(1))
-    return pairs.select(F.xxhash64("first", "second").alias("bucket"), "node")
+    mine = members_of(half, sieve(common, "key")).withColumnRenamed("bucket", "key").join(common, "key")
+    mine = mine.groupBy("node").agg(F.collect_set("key").alias("keys"))
+    of = lambda side: F.filter("keys", lambda key: key.bitwiseAND(F.lit(1)) == side)
+    pairs = F.transform(of(0), lambda one: F.transform(of(1), lambda two: F.xxhash64(one, two)))
+    return mine.select("node", F.flatten(pairs).alias("keys"))
 
 
 def groups(documents: DataFrame, size: int = 2, share: tuple[int, int] = SHARE) -> DataFrame:

@@ -15,6 +15,8 @@ from ..session import work_dir
 BATCH_ROWS = 1000
 #: Bytes of text that a task turns into arrays at a time.
 BATCH_BYTES = 4_000_000
+#: The same where each byte passes through many array operations: their results stay in the processor's cache.
+CACHED_BYTES = 300_000
 #: White space between words, the same in the JVM, in Python's bytes.split() and in the expected results.
 BLANK = r"[\x20\x09-\x0D]+"
 #: Stands for a missing doc_id in comparisons: the largest of all.
@@ -115,6 +117,14 @@ def run_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     return mixed((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted values without repeats."""
+    values = np.sort(values)
+    new = np.ones(len(values), bool)
+    new[1:] = values[1:] != values[:-1]
+    return values[new]
+
+
 def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return run_hashes(_BYTES[raw], starts, ends)
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .linking import sieve, sifted
-from .shared import LAST, mixed, over_batches, run_hashes, slices, stored, text_bytes, word_bounds, word_hashes
+from .shared import CACHED_BYTES, LAST, mixed, over_batches, run_hashes, slices, stored, text_bytes, word_bounds, word_hashes
 
 WINDOW, SEED = 50, 12
 _SECOND = np.uint64(0xD1B54A32D192ED03)
@@ -74,7 +74,7 @@ def _signed(x: np.ndarray) -> pa.Array:
 def all_blocks(rows: DataFrame, window: int, seed: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", CACHED_BYTES):
                 text, start, count, anchor, content = blocks(*text_bytes(part.column("text")), window, seed)
                 yield pa.RecordBatch.from_arrays(
                     [

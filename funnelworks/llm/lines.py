@@ -18,6 +18,8 @@ from .shared import CACHED_BYTES, LAST, distinct, mixed, over_batches, slices, s
 #: Characters of a shingle (a power of two), wanted similarity, and bands of minima: a pair of similarity 0.8 is missed once in
 #: 1,300 times, of 0.85 once in 14,000 times.
 SHINGLE, SHARE, BANDS, ROWS = 8, (4, 5), 10, 3
+#: Lines that a task remembers so as not to give their keys again.
+REMEMBERED = 200_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _POINTS = np.random.default_rng(20240612).integers(0, 2**64, 1 << 16, dtype=np.uint64)
 
@@ -60,19 +62,24 @@ def comparable(text: str | None) -> list[tuple[int, str]]:
 
 
 def all_lines(rows: DataFrame) -> DataFrame:
-    """Per comparable line: doc, row_key, line, the hash of its plain form, and its band keys."""
+    """Per comparable line: doc, row_key, line, the hash of its plain form, and its band keys, which are left out where the
+    task has lately given them for an equal line."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given: set[int] = set()
         for part in (p for batch in batches for p in slices(batch, "text", CACHED_BYTES // 2)):
             found = [(i, k, p) for i, text in enumerate(part.column("text").to_pylist()) for k, p in comparable(text)]
             owner = pa.array([i for i, _, _ in found], pa.int64())
-            texts = [p for _, _, p in found]
-            keys = banded(minima(*shingles(texts), BANDS * ROWS), ROWS)
-            ends = np.arange(len(texts) + 1, dtype=np.int32) * BANDS
+            nodes = [content(p) for _, _, p in found]
+            if len(given) > REMEMBERED:
+                given.clear()
+            new = np.array([not (n in given or given.add(n)) for n in nodes], bool)
+            keys = banded(minima(*shingles([found[k][2] for k in np.flatnonzero(new)]), BANDS * ROWS), ROWS)
+            ends = np.concatenate([[0], np.cumsum(new * BANDS)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("doc").take(owner), part.column("row_key").take(owner), pa.array([k for _, k, _ in found], pa.int32()),
-                    pa.array([content(t) for t in texts], pa.int64()),
+                    pa.array(nodes, pa.int64()),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.T.ravel().view(np.int64))),
                 ],
                 names=["doc", "row_key", "line", "node", "keys"],

@@ -69,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality": quality_scores,
 }
 EXPECTED: dict[str, str] = {
+    "op2_substring_dedup": substring.ORACLE,
     "op5_decontamination": decontaminate.ORACLE,
     "op6_exact_dedup": exact.ORACLE,
 }

@@ -185,3 +185,17 @@ def remove_repeats(documents: DataFrame, window: int = WINDOW, seed: int = SEED)
     return over_batches(
         repeats(documents, window, seed), work, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string"
     )
+
+
+ORACLE = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id, 9223372036854775807) AS doc,
+                  list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+     v AS (SELECT r, doc, i, md5(array_to_string(list_slice(w, i, i + 49), ' ')) AS h
+           FROM (SELECT r, doc, w, unnest(range(1, len(w) - 48)) AS i FROM d)),
+     m AS (SELECT h, min(doc) AS first FROM v GROUP BY h HAVING min(doc) < max(doc)),
+     g AS (SELECT DISTINCT r, i + k AS p FROM v JOIN m USING (h), range(0, 50) AS t(k) WHERE first < doc),
+     k AS (SELECT r, string_agg(x, ' ' ORDER BY p) AS kept, count(*) AS n
+           FROM (SELECT r, unnest(w) AS x, generate_subscripts(w, 1) AS p FROM d) ANTI JOIN g USING (r, p) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (r)
+"""

@@ -10,14 +10,20 @@ from pyspark.sql import functions as F
 from ..model import Tables
 from ..schemas import CONSTRAINTS, STAR_SCHEMAS, Rules
 from .dedupe import surplus_rows
+from .lookup import one_per_member
 from .rows import anti_count, rows_of, union_all
 
 
+#: Tables whose keys are few beside the rows that point to them.
+DIMENSIONS = ("dim_date", "dim_channel", "dim_campaign", "dim_region")
+
+
 def check_constraints(tables: Tables, rules: Mapping[str, Rules] = CONSTRAINTS) -> DataFrame:
     """(table, constraint, kind, failures) for every declared constraint of every table.
 
-    NOT NULL and CHECK share one pass per table. A key counts its surplus rows, a foreign key its rows without a
-    partner; a NULL is a failure only where the column must not be NULL.
+    NOT NULL, CHECK and the foreign keys to dimensions share one pass per table: the keys of a dimension are joined once
+    each, broadcast when the dimension is small. A key counts its surplus rows, a foreign key between large tables its rows
+    without a partner; a NULL is a failure only where the column must not be NULL.
     """
     return union_all([part for table, r in rules.items() for part in _table_checks(tables, table, r)])
 
@@ -27,7 +33,15 @@ def _table_checks(tables: Tables, table: str, rules: Rules) -> list[DataFrame]:
     required = [c for c in STAR_SCHEMAS[table] if c not in rules.nullable]
     failing = [(f"{c} not null", "NOT NULL", F.col(c).isNull()) for c in required]
     failing += [(name, "CHECK", ~F.coalesce(F.expr(test), F.lit(True))) for name, test in rules.checks.items()]
-    counted = df.agg(*[F.count_if(cond).alias(f"f{i}") for i, (_, _, cond) in enumerate(failing)])
+    looked_up = df
+    for column, (parent, key) in rules.foreign.items():
+        if parent in DIMENSIONS:
+            known = tables[parent].select(F.col(key).alias(f"_{column}")).where(F.col(key).isNotNull()).distinct()
+            known = one_per_member(known, tables[parent])
+            looked_up = looked_up.join(known, F.col(column) == F.col(f"_{column}"), "left")
+            orphan = F.col(column).isNotNull() & F.col(f"_{column}").isNull()
+            failing.append((f"{column} -> {parent}", "FOREIGN KEY", orphan))
+    counted = looked_up.agg(*[F.count_if(cond).alias(f"f{i}") for i, (_, _, cond) in enumerate(failing)])
     parts = [
         rows_of(
             counted,
@@ -49,6 +63,8 @@ def _table_checks(tables: Tables, table: str, rules: Rules) -> list[DataFrame]:
     for keys, kind in [(rules.primary_key, "PRIMARY KEY"), *[(u, "UNIQUE") for u in rules.unique]]:
         parts.append(named(surplus_rows(df, keys), ", ".join(keys), kind))
     for column, (parent, key) in rules.foreign.items():
+        if parent in DIMENSIONS:
+            continue
         child = df.where(F.col(column).isNotNull())
         name = f"{column} -> {parent}"
         parts.append(named(anti_count(child, tables[parent], column, key), name, "FOREIGN KEY"))

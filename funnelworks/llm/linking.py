@@ -19,13 +19,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import over_batches, slices, stored
+from .shared import CACHED_BYTES, over_batches, slices, stored
 
 #: Bits of a sieve (8 MB at any scale).
 SIEVE_BITS = 1 << 26
 _PAGE = 32_768
 #: Nodes and bytes of text of a block, and elements that are counted at a time.
 BLOCK_ROWS, BLOCK_TEXT, COLUMNS = 1500, 6_000_000, 2048
+#: Nodes that are compared one by one.
+FEW = 12
 
 Sets = Callable[[pa.Array], list[np.ndarray]]
 
@@ -114,8 +116,13 @@ def verified(pairs: DataFrame, texts: DataFrame, sets: Sets, share: tuple[int, i
 def found_across(part: list[np.ndarray], component: np.ndarray, share: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
     """Positions of two similar sets for each two components that have any. Common elements are counted for all sets at
     once, as products of 0/1 matrices over a few thousand elements at a time."""
-    num, den = share
     n = len(part)
+    if n <= FEW:
+        pairs = [(i, j) for i in range(n) for j in range(i + 1, n) if component[i] != component[j]]
+        pairs = [(i, j) for i, j in pairs if similar(part[i], part[j], share)]
+        x, y = np.array(pairs, np.int64).reshape(-1, 2).T
+        return x, y
+    num, den = share
     size = np.array([len(x) for x in part])
     row = np.repeat(np.arange(n), size)
     element, place, often = np.unique(np.concatenate(part), return_inverse=True, return_counts=True)
@@ -140,30 +147,42 @@ def found_across(part: list[np.ndarray], component: np.ndarray, share: tuple[int
 
 def links_across(rows: DataFrame, sets: Sets, share: tuple[int, int]) -> DataFrame:
     """Links (a, b) between nodes of different components within each group, at least one for each two components that have
-    any. rows: group, node, component, text; the two nodes of a group of two have been compared before. A large group is cut into blocks; every two blocks meet in a task of their
-    own, so a task holds a bounded number of nodes and of bytes, whatever the size of the group."""
+    any. rows: group, node, component, text; the two nodes of a group of two have been compared before. A large group is cut
+    into blocks, and every two blocks meet in a task of their own; small groups are handed out in bundles. So a call holds
+    a bounded number of nodes and of bytes, whatever the size of a group."""
     extent = rows.groupBy("group").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")).where("n > 2")
+    extent = stored(extent, "extent")
+    total = extent.agg(F.sum("n"), F.sum("bytes")).first()
+    bundles = 1 + max((total[0] or 0) // BLOCK_ROWS, (total[1] or 0) // BLOCK_TEXT)
     blocks = F.greatest(F.ceil(F.col("n") / BLOCK_ROWS), F.ceil(F.col("bytes") / BLOCK_TEXT)).cast("int")
     dealt = rows.join(extent.select("group", blocks.alias("blocks")), "group").withColumn(
         "mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     )
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    alone = F.col("blocks") == 1
     dealt = dealt.select(
-        "group", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "node", "component", "text"
-    )
+        F.when(alone, F.pmod(F.xxhash64("group"), F.lit(bundles))).otherwise(F.col("group")).alias("call"), "group",
+        F.when(alone, -1).otherwise(F.least("mine", "other")).alias("low"), F.greatest("mine", "other").alias("high"),
+        "node", "component", "text",
+    )
 
     def work(table: pa.Table) -> pa.Table:
-        node, component = (table.column(c).to_numpy() for c in ("node", "component"))
-        x = y = np.empty(0, np.int64)
-        if (component != component[0]).any():
-            part = []
-            for batch in table.select(["text"]).combine_chunks().to_batches():
-                for piece in slices(batch, "text"):
-                    part += sets(piece.column("text"))
-            x, y = found_across(part, component, share)
-        return pa.table({"a": node[x], "b": node[y]})
-
-    return dealt.groupBy("group", "low", "high").applyInArrow(work, "a long, b long")
+        group, node, component = (table.column(c).to_numpy() for c in ("group", "node", "component"))
+        part: list[np.ndarray] = []
+        for batch in table.select(["text"]).combine_chunks().to_batches():
+            for piece in slices(batch, "text", CACHED_BYTES):
+                part += sets(piece.column("text"))
+        a, b = [], []
+        order = np.argsort(group, kind="stable")
+        for places in np.split(order, np.flatnonzero(np.diff(group[order])) + 1):
+            if (component[places] != component[places[0]]).any():
+                x, y = found_across([part[i] for i in places], component[places], share)
+                a.append(node[places[x]])
+                b.append(node[places[y]])
+        empty = np.empty(0, np.int64)
+        return pa.table({"a": np.concatenate([empty, *a]), "b": np.concatenate([empty, *b])})
+
+    return dealt.groupBy("call", "low", "high").applyInArrow(work, "a long, b long")
 
 
 def members_of(keyed: DataFrame, bits: np.ndarray) -> DataFrame:

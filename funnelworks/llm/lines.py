@@ -108,14 +108,14 @@ def dropped_lines(rows: DataFrame) -> DataFrame:
     """(doc, row_key, drop): numbers of the lines that repeat an earlier one."""
     lines = stored(all_lines(rows), "lines")
     component = linked(lines.select("node", "keys"), lambda nodes: texts_of(rows, nodes), line_sets, SHARE)
-    place = F.struct("doc", "row_key", "line")
-    first = lines.groupBy("node").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    first = first.join(component, "node", "left").where("component IS NOT NULL OR first <> last")
-    first = first.select("node", "first", F.coalesce("component", "node").alias("component"))
-    stays = first.groupBy("component").agg(F.min("first").alias("stays"))
-    repeated = stored(first.join(stays, "component").select("node", "stays"), "repeated-lines")
+    again = lines.groupBy("node").count().where("count > 1").select("node")
+    repeated = again.join(component, "node", "full").select("node", F.coalesce("component", "node").alias("component"))
+    repeated = stored(repeated, "repeated-lines")
     met = sifted(lines.select("doc", "row_key", "line", "node"), "node", sieve(repeated, "node")).join(repeated, "node")
-    gone = met.where(place != F.col("stays"))
+    met = stored(met.drop("node"), "lines-with-like")
+    place = F.struct("doc", "row_key", "line")
+    stays = stored(met.groupBy("component").agg(F.min(place).alias("stays")), "first-lines")
+    gone = met.join(stays, "component").where(place != F.col("stays"))
     return gone.groupBy("doc", "row_key").agg(F.collect_list("line").alias("drop"))
 
 

@@ -34,15 +34,17 @@ MAIN = frozenset(("article", "main"))
 _MARKS = re.compile(
     r"(?:^|[\s_-])(?:ad|ads|advert\w*|adverti[sz]ement|sponsor\w*|promo\w*|banner|cookie\w*|consent|gdpr|notice|notices|alert|"
     r"comment|comments|commentlist|respond|disqus|sidebar|side|widget\w*|nav|navbar|navigation|menu|breadcrumb\w*|footer|"
-    r"masthead|topbar|share|sharing|social|related|recommend\w*|newsletter|subscribe|subscription|signup|login|search|popup|"
-    r"modal|overlay|pagination|pager|toolbar|skip|contentinfo|complementary|search|form|header)(?:$|[\s_-])",
+    r"share|sharing|social|related|recommend\w*|newsletter|subscribe|subscription|signup|login|search|popup|modal|overlay|"
+    r"pagination|pager|toolbar|skip|contentinfo|complementary|form)(?:$|[\s_-])",
     re.I,
 )
+#: The same for the top of a page; within an article they mark its own heading.
+_TOP = re.compile(r"(?:^|[\s_-])(?:header|masthead|topbar)(?:$|[\s_-])", re.I)
 
 
-def lines(page: str) -> list[tuple[str, int, bool, bool]]:
-    """The lines of a page without markup: text, characters within links, whether boilerplate markup holds the line, and
-    whether an article or main element does. A block element starts and ends a line; references are decoded."""
+def lines(page: str, marked: bool = True) -> list[tuple[str, int, bool, bool]]:
+    """The lines of a page without markup: text, characters within links, whether boilerplate markup holds the line (by
+    elements, and by class, id and role if `marked`), and whether an article or main element does. A block element starts and ends a line; references are decoded."""
     out: list[tuple[str, int, bool, bool]] = []
     parts: list[str] = []
     linked = 0
@@ -92,9 +94,9 @@ def lines(page: str) -> list[tuple[str, int, bool, bool]]:
             close(0)  # a head that is not closed ends here
         marks = " ".join(a or b or c for a, b, c in _NAMES.findall(m["attrs"])) if "=" in m["attrs"] else ""
         is_main = name in MAIN or marks == "main"
-        is_aside = bool(marks and name != "body" and _MARKS.search(marks)) or (
-            name in ASIDE and not (name == "header" and main)
-        )
+        is_aside = name in ASIDE and not (name == "header" and main)
+        if marked and marks and name != "body":
+            is_aside |= bool(_MARKS.search(marks)) or bool(not main and _TOP.search(marks))
         if is_main and not is_aside and aside and not main:
             close(next(i for i, s in enumerate(stack) if s[1]))  # a menu that is not closed ends where the article starts
         if name in ("p", "li") and stack and stack[-1][0] == name:
@@ -115,9 +117,11 @@ def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str
     windows. Text surges where a window that starts with a line of weight reaches `surge` characters, and dives where a
     whole window has none. Within article or main elements, if a page has any with text, every line of weight surges and
     the rest of the page weighs nothing; else the run with the most characters is taken, with all others that surged to at
-    least half its size.
+    least half its size. If classes mark the whole page as boilerplate, they are not heeded.
     """
     rows = lines(page or "")
+    if rows and all(aside for _, _, aside, _ in rows):
+        rows = lines(page or "", marked=False)
     marked = any(main and not aside for _, _, aside, main in rows)
     weight = np.array(
         [0 if aside or (marked and not main) else max(len(text) - (0 if marked else linked), 0) for text, linked, aside, main in rows],

@@ -180,6 +180,8 @@ TEXT = "First paragraph of some length, with a link in it. Be. point & one point
         (f"<script>var a='<p>x</p>';</script><!-- <p>no</p> --><style>p{{}}</style><article>{ARTICLE}<div class='ad banner'>buy</div></article>", TEXT),
         ("<article><p>a&nbsp;b\n\t c</p><p>d<b>e</b>f<br>g</article>", "a b c def g"),
         ("<article></article>", ""),
+        (f"<div class='site-header'>Top</div><article><div class='entry-header'><h1>Title</h1></div>{ARTICLE}</article>", f"Title {TEXT}"),
+        (f"<div class='page with-sidebar'>{ARTICLE}</div>", TEXT),
     ],
 )
 def test_page_layouts(page, want):

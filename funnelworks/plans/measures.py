@@ -219,6 +219,24 @@ def check_registry() -> None:
         raise ValueError(f"measure names are not unique: {sorted(repeated)}")
 
 
+def column_label(table: str, column: str) -> str:
+    """Name of a column in a report, where names ignore case: one that a measure of its table has too gets another one."""
+    taken = {m.label.lower() for m in MEASURES.values() if m.home == table}
+    return f"{column}_value" if column.lower() in taken else column
+
+
+def check_names(columns: dict[str, Sequence[str]]) -> None:
+    """No measure is named like a column of its table as reports show it. columns: those of each table."""
+    clashes = []
+    for table, names in columns.items():
+        shown = {column_label(table, c).lower() for c in names}
+        clashes += [f"{m.label} in {table}" for m in MEASURES.values() if m.home == table and m.label.lower() in shown]
+        if len(shown) != len(names):
+            clashes.append(f"columns of {table}")
+    if clashes:
+        raise ValueError(f"names are used twice: {', '.join(clashes)}")
+
+
 def reach(table: str) -> dict[str, list[tuple[str, str, str, str]]]:
     """Dimensions a table's rows can be filtered by, each with the relationships that lead there."""
     paths: dict[str, list] = {table: []}

@@ -125,7 +125,16 @@ def grouped(fact: str, by: list[str], where: str = "TRUE") -> str:
 
 
 def evaluated(measures: list[str], by: list[str], extra: str = "") -> str:
-    """Measures over a grouping; ``extra`` joins further steps by the grouping columns."""
+    """Measures over a grouping, without rows in which all are blank; ``extra`` joins further steps by the grouping columns."""
+    sql = _evaluated(measures, by, extra)
+    return _not_blank(sql, measures) if by else sql
+
+
+def _not_blank(sql: str, measures: list[str]) -> str:
+    return f"SELECT * FROM ({sql}) WHERE NOT ({' AND '.join(f'{m} IS NULL' for m in measures)})"
+
+
+def _evaluated(measures: list[str], by: list[str], extra: str = "") -> str:
     def uses(name: str) -> bool:
         import re
 
@@ -154,13 +163,13 @@ _BEFORE = f"""
 
 
 def by_month(measures: list[str]) -> str:
-    sql = evaluated([m for m in measures if not m.startswith(("share_", "mom_"))], ["year_month"])
+    sql = _evaluated([m for m in measures if not m.startswith(("share_", "mom_"))], ["year_month"])
     head, tail = sql.split(" FROM ", 1)
     more = ", ".join(f"{FORMULAS[m]} AS {m}" for m in measures if m.startswith(("share_", "mom_")))
     totals = """LEFT JOIN (SELECT year_month, count(*) AS all_leads FROM f_leads GROUP BY 1) USING (year_month)
                 LEFT JOIN (SELECT year_month, count(*) FILTER (WHERE is_won = 1) AS all_customers FROM f_deals GROUP BY 1)
                      USING (year_month)"""
-    return f"{head}, {more} FROM {tail} {_BEFORE} {totals}"
+    return _not_blank(f"{head}, {more} FROM {tail} {_BEFORE} {totals}", measures)
 
 
 _KEEP = """ "year" = 1998 AND channel_name IN ('BUILDING', 'FURNITURE', 'MACHINERY') """

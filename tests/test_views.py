@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from funnelworks.operators.constraints import check_constraints
 from funnelworks.plans.analyses import ANALYSES
 from funnelworks.plans.integrity import integrity_tests
-from funnelworks.plans.measures import MEASURES, Evaluator, UnreachableError, parts_of, reach
+from funnelworks.plans.measures import check_names, column_label, Evaluator, MEASURES, parts_of, reach, UnreachableError
 from funnelworks.plans.model import report_model
 from funnelworks.plans.reconcile import reconciliation
 from funnelworks.plans.reports import DATASETS, Reports
@@ -222,6 +222,14 @@ def test_measures(model):
     assert by_channel["Search"]["mrr_end_of_period"] == 26.0  # last month of the group, not of all
 
 
+def test_names_of_measures_and_columns(model):
+    columns = {name: model[name].columns for name in ("FactMarketingDaily", "FactLeads", "FactCustomerMonthly")}
+    check_names(columns)
+    assert column_label("FactMarketingDaily", "clicks") == "clicks_value" and column_label("FactLeads", "lead_id") == "lead_id"
+    with pytest.raises(ValueError, match="columns of FactMarketingDaily"):
+        check_names({"FactMarketingDaily": ["clicks", "clicks_value"]})
+
+
 def test_measures_that_replace_a_filter_alone(model):
     e = Evaluator(model)
     paid = {r["is_paid"]: r["paid_spend"] for r in rows(e.evaluate(["paid_spend"], ["DimChannel.is_paid"]))}

@@ -45,20 +45,20 @@ def ngrams(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         whole = last[:m] >= size
         out += np.bincount(owner[:m][whole] * WIDTH + spread[whole].astype(np.int64), minlength=texts * WIDTH)
     out = np.sqrt(out.reshape(texts, WIDTH))
-    return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)
+    out /= np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)
+    return out.astype(np.float32)
 
 
 def machine(x: np.ndarray, y: np.ndarray, cost: float = 20.0, rounds: int = 80) -> np.ndarray:
     """Linear support vector machine with squared hinge loss (y: 1 and -1, classes weighted alike), by accelerated
-    gradient steps; the last weight is the bias."""
-    x = np.column_stack([x, np.ones(len(x))])
+    gradient steps; the last column of x is 1, its weight the bias."""
     weight = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y < 0).sum(), 1)) * cost
     step = 1 / (1 + 4 * cost)
-    w = v = np.zeros(x.shape[1])
+    w = v = np.zeros(x.shape[1], np.float32)
     for k in range(rounds):
         slack = np.maximum(0, 1 - y * (x @ v))
-        new = v - step * (v - 2 * x.T @ (weight * y * slack))
-        w, v = new, new + k / (k + 3) * (new - w)
+        new = v - np.float32(step) * (v - 2 * x.T @ (weight * y * slack).astype(np.float32))
+        w, v = new, new + np.float32(k / (k + 3)) * (new - w)
     return w
 
 
@@ -96,7 +96,9 @@ class Model:
 def train(texts: list[str], langs: list[str]) -> Model:
     if not texts:
         return Model()
-    x = ngrams(*text_bytes(pa.array(texts, pa.string())))
+    parts = [ngrams(*text_bytes(pa.array(texts[i : i + 100], pa.string()))) for i in range(0, len(texts), 100)]
+    x = np.column_stack([np.concatenate(parts), np.ones(len(texts), np.float32)])
+    del parts
     languages = tuple(sorted(set(langs)))
     families = tuple(sorted({FAMILY_OF.get(g, g) for g in languages}))
     lang = np.array([languages.index(g) for g in langs])

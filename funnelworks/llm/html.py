@@ -17,8 +17,7 @@ WINDOW, SURGE = 3, 60
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)"
-    r"|<(?P<raw>script|style|noscript|template|textarea|title|svg|iframe|object|math)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|$)"
-    r"|</?(?P<tag>[a-z][a-z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
+    r"|</?(?P<tag>[a-z][^\s/>\"'<=]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
     re.S | re.I,
 )
 _NAMES = re.compile(r"\b(?:class|id|role|aria-label|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -26,8 +25,20 @@ _NAMES = re.compile(r"\b(?:class|id|role|aria-label|itemprop)\s*=\s*(?:\"([^\"]*
 ASIDE = frozenset("nav header footer aside form menu button select dialog fieldset head".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span "
-    "strike strong sub sup time tt u var wbr".split()
+    "strike strong sub sup time tt u var wbr svg math template noscript".split()
 )
+#: Elements whose content is no markup and runs to their end tag or, without one, to the end of the page.
+RAW = {n: re.compile(rf"</{n}(?=[\s/>])[^>]*(?:>|$)", re.I) for n in "script style textarea title iframe".split()}
+#: Elements of which no text is shown, or only in place of them; without an end tag they are empty.
+HIDDEN = frozenset("svg object template noscript".split())
+#: Elements in which tags break no line and a slash at the end closes any element; tags of a page that end
+#: them, unless within one of the elements that may hold such tags.
+FOREIGN = frozenset(("svg", "math"))
+BREAKOUT = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr "
+    "ol p pre ruby s small span strike strong sub sup table tt u ul var".split()
+)
+HOLDING = frozenset("foreignobject desc mi mo mn ms mtext annotation-xml".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 MAIN = frozenset(("article", "main"))
 #: Words in class, id or role that mark menus, notices, adverts, forms and reader comments.
@@ -49,7 +60,8 @@ def lines(page: str, marked: bool = True) -> list[tuple[str, int, bool, bool]]:
     parts: list[str] = []
     linked = 0
     stack: list[tuple[str, bool, bool]] = []  # open elements: name, boilerplate, main
-    aside = main = links = 0
+    aside = main = links = hidden = foreign = 0
+    last: dict[str, int] = {}  # where the last end tag of a hidden element starts
 
     def flush() -> None:
         nonlocal linked
@@ -60,29 +72,45 @@ def lines(page: str, marked: bool = True) -> list[tuple[str, int, bool, bool]]:
         linked = 0
 
     def close(upto: int) -> None:
-        nonlocal aside, main, links
+        nonlocal aside, main, links, hidden, foreign
         for name, is_aside, is_main in stack[upto:]:
             aside -= is_aside
             main -= is_main
             links -= name == "a"
+            hidden -= name in HIDDEN
+            foreign -= name in FOREIGN
         del stack[upto:]
 
+    def add(start: int, end: int) -> None:
+        nonlocal linked
+        if end > start and not hidden:
+            parts.append(page[start:end])
+            linked += (end - start) if links else 0
+
     at = 0
-    for m in _TOKEN.finditer(page):
-        if m.start() > at:
-            parts.append(page[at : m.start()])
-            linked += (m.start() - at) if links else 0
+    while m := _TOKEN.search(page, at):
+        add(at, m.start())
         at = m.end()
-        if m["raw"]:
-            if m["raw"].lower() in ("title", "textarea", "iframe", "object"):
-                flush()
-            continue
         if not m["tag"]:
             continue
-        name = m["tag"].lower()
-        if name not in INLINE:
+        name, ends = m["tag"].lower(), m.group().startswith("</")
+        if foreign and not ends and name in BREAKOUT:
+            while foreign:
+                i = next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] in FOREIGN or stack[i][0] in HOLDING)
+                if stack[i][0] in HOLDING:
+                    break
+                close(i)
+        if not ends and name in RAW and m["attrs"][:1] in ("", "/", *" \t\n\f\r"):
+            if foreign and m["attrs"].endswith("/"):
+                continue
+            if name in ("title", "textarea", "iframe") and not hidden and not foreign:
+                flush()
+            over = RAW[name].search(page, at)
+            at = over.end() if over else len(page)
+            continue
+        if name not in INLINE and not hidden and not foreign:
             flush()
-        if m.group().startswith("</"):
+        if ends:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == name:
                     close(i)
@@ -90,6 +118,11 @@ def lines(page: str, marked: bool = True) -> list[tuple[str, int, bool, bool]]:
             continue
         if name in VOID or m["attrs"].endswith("/"):
             continue
+        if name in HIDDEN:
+            if name not in last:
+                last[name] = max((e.start() for e in re.finditer(rf"</{name}\s*>", page, re.I)), default=-1)
+            if last[name] < at:
+                continue
         if name == "body":
             close(0)  # a head that is not closed ends here
         marks = " ".join(a or b or c for a, b, c in _NAMES.findall(m["attrs"])) if "=" in m["attrs"] else ""
@@ -97,7 +130,7 @@ def lines(page: str, marked: bool = True) -> list[tuple[str, int, bool, bool]]:
         is_aside = name in ASIDE and not (name == "header" and main)
         if marked and marks and name != "body":
             is_aside |= bool(_MARKS.search(marks)) or bool(not main and _TOP.search(marks))
-        if is_main and not is_aside and aside and not main:
+        if is_main and not is_aside and aside and not main and not hidden:
             close(next(i for i, s in enumerate(stack) if s[1]))  # a menu that is not closed ends where the article starts
         if name in ("p", "li") and stack and stack[-1][0] == name:
             close(len(stack) - 1)
@@ -105,7 +138,9 @@ def lines(page: str, marked: bool = True) -> list[tuple[str, int, bool, bool]]:
         aside += is_aside
         main += is_main and not is_aside
         links += name == "a"
-    parts.append(page[at:])
+        hidden += name in HIDDEN
+        foreign += name in FOREIGN
+    add(at, len(page))
     flush()
     return out
 

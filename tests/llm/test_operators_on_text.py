@@ -188,6 +188,31 @@ def test_page_layouts(page, want):
     assert html.main_text(page) == want
 
 
+@pytest.mark.parametrize(
+    "within, want",
+    [
+        ('<svg class="i"/>', ""),
+        ("<math/>", ""),
+        ("<object data=x /><template/><noscript/>", ""),
+        ("<svg><title/><path d='M0 0'/><text>label</text></svg>", ""),
+        ("<svg><desc><p>label</p></desc><style/></svg>", ""),
+        ("<svg class=i><path d=x>", ""),
+        ("<object data=x><noscript>", ""),
+        ("<noscript><img src=x>Turn scripts on</noscript><template><article>card</article></template>", ""),
+        ("<title-block><p>Block</p></title-block><script_note>note</script_note><svg_icon></svg-icon><p>", "Block note"),
+        ("<p>Sum<math><mi>a</mi><mo>+</mo><mi>b</mi></math>, then", "Suma+b, then"),
+        ("<script>var s = '<p>x</p>';</script ><style>p{}</style\n>", ""),
+    ],
+)
+def test_elements_that_may_lack_an_end(within, want):
+    page = f"<body><article><h1>Title</h1>{within}{ARTICLE}</article><footer>f</footer>"
+    assert html.main_text(page) == " ".join(f"Title {want} {TEXT}".split())
+
+
+def test_raw_text_runs_to_a_missing_end():
+    assert html.main_text(f"<article>{ARTICLE}<script>var a = 1; </p> b") == TEXT
+
+
 def test_very_long_page():
     page = "<body><article>" + "<p>" + "word " * 400 + "</p>" * 1 + "<p>x</p>" * 20_000 + "</article>"
     assert len(html.main_text(page)) == 400 * 5 - 1 + 20_000 * 2

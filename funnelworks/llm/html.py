@@ -146,40 +146,31 @@ def lines(page: str, marked: bool = True) -> list[tuple[str, int, bool, bool]]:
 
 
 def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str:
-    """Text between the surge and dive points of the distribution.
-
-    A line weighs its characters outside links, or nothing within boilerplate markup. Weights are summed over sliding
-    windows. Text surges where a window that starts with a line of weight reaches `surge` characters, and dives where a
-    whole window has none. Within article or main elements, if a page has any with text, every line of weight surges and
-    the rest of the page weighs nothing; else the run with the most characters is taken, with all others that surged to at
-    least half its size. If classes mark the whole page as boilerplate, they are not heeded.
+    """Text between the first surge and the last dive of the distribution, without what markup says is boilerplate.
+
+    Where article or main elements hold more than half of the text that is not boilerplate by markup, it is all of theirs.
+    Else boilerplate lines are left out beforehand, so no text ends at them, and a line weighs its characters outside links,
+    or all within an article. Weights are summed over sliding windows. Text surges where a window that starts with a line of
+    weight reaches `surge` characters, and at any line of an article; it dives where a whole window has none. All lines from
+    the first surge to the dive after the last one stay, links too. If classes mark the whole page as boilerplate, they are
+    not heeded.
     """
     rows = lines(page or "")
     if rows and all(aside for _, _, aside, _ in rows):
         rows = lines(page or "", marked=False)
-    marked = any(main and not aside for _, _, aside, main in rows)
-    weight = np.array(
-        [0 if aside or (marked and not main) else max(len(text) - (0 if marked else linked), 0) for text, linked, aside, main in rows],
-        np.int64,
-    )
+    rows = [(text, len(text) if main else max(len(text) - linked, 0), main) for text, linked, aside, main in rows if not aside]
+    texts = [text for text, _, _ in rows]
+    weight = np.array([w for _, w, _ in rows], np.int64)
+    main = np.array([m for _, _, m in rows], bool)
     if not weight.any():
         return ""
+    if 2 * weight[main].sum() > weight.sum():
+        return " ".join(text for text, _, is_main in rows if is_main)
     ahead = np.convolve(weight, np.ones(window, np.int64))[window - 1 :]  # from each line on
-    least = 1 if marked else min(surge, int(ahead.max()))
-    runs: list[tuple[int, int, int]] = []
-    i = 0
-    while i < len(weight):
-        if not weight[i] or ahead[i] < least:
-            i += 1
-            continue
-        start = i
-        while i < len(weight) and ahead[i] > 0:
-            i += 1
-        runs.append((int(weight[start:i].sum()), start, i))
-    if not marked:
-        most = max(r[0] for r in runs)
-        runs = [r for r in runs if 2 * r[0] >= most]
-    return " ".join(rows[k][0] for _, a, b in runs for k in range(a, b) if weight[k])
+    surges = np.flatnonzero(main | ((weight > 0) & (ahead >= min(surge, int(ahead.max())))))
+    dives = np.flatnonzero(ahead == 0)
+    dives = dives[dives > surges[-1]]
+    return " ".join(texts[surges[0] : dives[0] if len(dives) else len(texts)])
 
 
 def extract(pages: DataFrame) -> DataFrame:

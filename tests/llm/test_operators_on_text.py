@@ -213,6 +213,28 @@ def test_raw_text_runs_to_a_missing_end():
     assert html.main_text(f"<article>{ARTICLE}<script>var a = 1; </p> b") == TEXT
 
 
+FIRST, SECOND = " ".join(["first"] * 170), " ".join(["second"] * 58)
+LINKS = "".join(f"<p><a href=/{i}>Source number {i}</a></p>" for i in range(4))
+SOURCES = " ".join(f"Source number {i}" for i in range(4))
+MENU = "".join(f"<div><a href=/{i}>Menu {i}</a></div>" for i in range(5))
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        (f"<div><p>{FIRST}</p><div class=ad><p>Buy</p><p>this</p><p>now</p></div><p>{SECOND}</p></div>", f"{FIRST} {SECOND}"),
+        (f"<div><p>{FIRST}</p><div class=ad>{LINKS}</div><p>Be.</p></div>", f"{FIRST} Be."),
+        (f"<div>{MENU}<p>{FIRST}</p>{LINKS}<p>{SECOND}</p>{MENU}</div>", f"{FIRST} {SOURCES} {SECOND}"),
+        (f"<div><p>{FIRST}</p><p><a href=x>Only a link</a></p><p>{SECOND}</p></div>", f"{FIRST} Only a link {SECOND}"),
+        (f"<div>{MENU}<p>{FIRST}</p></div><article><a href=x>Teaser</a></article>", f"{FIRST} Teaser"),
+        (f"<article>Teaser</article>{MENU}<div><p>{FIRST}</p></div>{MENU}", f"Teaser {' '.join(f'Menu {i}' for i in range(5))} {FIRST}"),
+        (f"<div>{MENU}<p>{SECOND}</p></div><main><p>{FIRST}</p>{LINKS}</main>", f"{FIRST} {SOURCES}"),
+    ],
+)
+def test_text_outside_of_articles(page, want):
+    assert html.main_text(f"<body><nav>{MENU}</nav>{page}<footer>f</footer>") == want
+
+
 def test_very_long_page():
     page = "<body><article>" + "<p>" + "word " * 400 + "</p>" * 1 + "<p>x</p>" * 20_000 + "</article>"
     assert len(html.main_text(page)) == 400 * 5 - 1 + 20_000 * 2

@@ -13,6 +13,7 @@ fill sequences without gaps; the end of the layout is cut into sequences of powe
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -32,6 +33,10 @@ SEQUENCE = 1024
 CUT_PRICE, SHORT_PRICE = 1.0, 0.25
 #: Pivots after which the linear program is taken as good enough; any of its states is a valid packing.
 PIVOTS = 500
+#: White-space characters in a row from which a run is encoded by itself, in a text that the library refuses; and what is
+#: white space to the library (Python's own class has four characters more).
+LONG_RUN = 100_000
+_BLANKS = "[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
 
 # ---- tokens
@@ -52,6 +57,29 @@ def encoder(path: str, pattern: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("vocabulary", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
 
 
+def encode(path: str, pattern: str, text: str) -> list[int]:
+    """The ids of a text. The library has no room for about a million white-space characters in a row."""
+    try:
+        return encoder(path, pattern).encode(text, allowed_special="all")
+    except ValueError:
+        return encode_in_parts(path, pattern, text)
+
+
+def encode_in_parts(path: str, pattern: str, text: str, least: int = LONG_RUN) -> list[int]:
+    """The same ids, with runs of `least` (two or more) white-space characters cut out by the rule of the pattern: a run is one
+    piece, without its last character if anything but a special token follows."""
+    machine, piece = encoder(path, pattern), encoder(path, r"(?s).+")
+    special = tuple(machine.special_tokens_set)
+    out: list[int] = []
+    at = 0
+    for run in re.finditer(f"{_BLANKS}{{{least},}}", text):
+        end = run.end() if run.end() == len(text) or text.startswith(special, run.end()) else run.end() - 1
+        out += machine.encode(text[at : run.start()], allowed_special="all")
+        out += piece.encode(text[run.start() : end], allowed_special="all")
+        at = end
+    return out + machine.encode(text[at:], allowed_special="all")
+
+
 def powers_of_two(n: int) -> list[int]:
     return [1 << k for k in range(n.bit_length() - 1, -1, -1) if n >> k & 1]
 
@@ -65,12 +93,11 @@ def tokenized(documents: DataFrame, path: str, pattern: str, size: int, end: int
     of two: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, parts."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = encoder(path, pattern)
         number = TaskContext.get().partitionId() << 36
         for part in (p for batch in batches for p in slices(batch, "text")):
             owner, rows = [], []
             for i, text in enumerate(part.column("text").to_pylist()):
-                ids = np.array([*machine.encode(text or "", allowed_special="all"), end], "<u4")
+                ids = np.array([*encode(path, pattern, text or ""), end], "<u4")
                 n = len(ids)
                 for start in range(0, n - size + 1, size):
                     owner.append(i)

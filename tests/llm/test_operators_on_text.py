@@ -98,6 +98,24 @@ def test_packing(spark, corpus, nothing, library):
     assert packing.pack(nothing, PATH, public_tokenizers.PATTERN).count() == 0
 
 
+def test_packing_of_a_long_run_of_blanks(spark, library):
+    texts = ["a" + " " * 2_000_000 + "b", "\n" * 2_000_000, "a" + "\r\n " * 700_000 + "<|endoftext|>" + "\u3000" * 1_100_000]
+    for text, want in zip(texts, encoded(library, texts)):
+        assert same(packing.encode(PATH, public_tokenizers.PATTERN, text), want)
+    df = spark.createDataFrame([(1, texts[0])], "doc_id long, text string")
+    got = packing.pack(df, PATH, public_tokenizers.PATTERN).agg(F.sum("length"), F.max("doc_tokens")).first()
+    assert got[0] == got[1] == len(library.encode(texts[0], add_special_tokens=False).ids) + 1
+
+
+def test_encoding_in_parts(library):
+    rng = np.random.default_rng(6)
+    bits = [*" \n\t\r\x0b\x1c\x1f\x85\xa0\u2003\u2028\u200b\u3000\ufeff", "  ", "   ", "a", "1", "!", "'s", "é", "漢", "<|endoftext|>", "<|end"]
+    texts = ["".join(rng.choice(bits, rng.integers(0, 30))) for _ in range(3000)]
+    for text, want in zip(texts, encoded(library, texts)):
+        for least in (2, 3):
+            assert packing.encode_in_parts(PATH, public_tokenizers.PATTERN, text, least) == want
+
+
 def test_patterns_keep_most_documents_whole():
     rng = np.random.default_rng(5)
     lengths, demand = np.unique(rng.integers(1, 1024, 50_000), return_counts=True)

@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import held_out, lower_ascii, over_batches, slices, stored, text_bytes
+from .shared import held_out, lower_ascii, over_batches, slices, text_bytes
 
 #: Families of closely related languages; a language that is not listed is a family of its own.
 FAMILIES = {
@@ -21,8 +21,8 @@ FAMILIES = {
     "slavic": ("ru", "uk", "pl", "cs", "sk", "bg"),
 }
 FAMILY_OF = {lang: family for family, langs in FAMILIES.items() for lang in langs}
-#: Documents per language to learn from (expected number), code points of each, and dimensions of the hashed n-grams.
-SAMPLE, EXCERPT, WIDTH = 500, 3000, 4096
+#: Documents per language to learn from (expected number; whole texts), and dimensions of the hashed n-grams.
+SAMPLE, WIDTH = 500, 4096
 UNKNOWN = "und"
 
 
@@ -94,11 +94,14 @@ class Model:
 
 
 def train(texts: list[str], langs: list[str]) -> Model:
-    if not texts:
+    return learn(ngrams(*text_bytes(pa.array(texts, pa.string()))), langs)
+
+
+def learn(grams: np.ndarray, langs: list[str]) -> Model:
+    """The model of rows of n-grams and their languages."""
+    if not langs:
         return Model()
-    parts = [ngrams(*text_bytes(pa.array(texts[i : i + 100], pa.string()))) for i in range(0, len(texts), 100)]
-    x = np.column_stack([np.concatenate(parts), np.ones(len(texts), np.float32)])
-    del parts
+    x = np.column_stack([grams, np.ones(len(langs), np.float32)])
     languages = tuple(sorted(set(langs)))
     families = tuple(sorted({FAMILY_OF.get(g, g) for g in languages}))
     lang = np.array([languages.index(g) for g in langs])
@@ -115,17 +118,24 @@ def train(texts: list[str], langs: list[str]) -> Model:
 
 
 def fit(documents: DataFrame, sample: int = SAMPLE) -> Model:
-    """Learn from about `sample` documents per language, none of them held out, drawn by a hash of the doc_id with a rate
-    that follows from the count of the language."""
+    """Learn from the whole texts of about `sample` documents per language, none of them held out, drawn by a hash of the
+    doc_id with a rate that follows from the count of the language. Only their n-grams, 4 * WIDTH bytes each, are collected."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in (p for batch in batches for p in slices(batch, "text", 2_000_000)):
+            grams = [row.tobytes() for row in ngrams(*text_bytes(part.column("text")))]
+            yield pa.RecordBatch.from_arrays([part.column("lang"), pa.array(grams, pa.binary())], names=["lang", "grams"])
+
     rows = documents.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~F.coalesce(held_out(), F.lit(True)))
     counts = rows.groupBy("lang").count().collect()
     if not counts:
         return Model()
     rate = F.create_map(*[F.lit(v) for r in counts for v in (r.lang, min(1.0, sample / r["count"]))])
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / 1_000_003
-    drawn = rows.where(place < rate[F.col("lang")]).select("lang", F.substring("text", 1, EXCERPT).alias("text"))
-    got = sorted((r.lang, r.text) for r in stored(drawn, "language-sample").collect())
-    return train([t for _, t in got], [g for g, _ in got])
+    drawn = over_batches(rows.where(place < rate[F.col("lang")]).select("lang", "text"), work, "lang string, grams binary")
+    got = sorted((r.lang, bytes(r.grams)) for r in drawn.collect())
+    grams = np.frombuffer(b"".join(g for _, g in got), np.float32).reshape(-1, WIDTH)
+    return learn(grams, [lang for lang, _ in got])
 
 
 def identify(documents: DataFrame, model: Model, keep: list[str] | None = None) -> DataFrame:

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,9 +16,9 @@ from .shared import held_out, over_batches, slices, stored
 
 #: Documents per class that the dictionaries, and as many again that the calibration may learn from (expected numbers).
 SAMPLE = 2000
-#: Code points of a sampled text that go into a dictionary.
-EXCERPT = 4000
-#: Bytes of a dictionary, and of the blocks in which texts are compressed: longer blocks would learn from themselves.
+#: Pieces of a sampled text that go into a dictionary, from anywhere in the text.
+PIECES = 4
+#: Bytes of a dictionary, of a piece, and of the blocks in which texts are compressed: longer blocks would learn from themselves.
 DICTIONARY, PIECE, BLOCK, LEVEL = 112_640, 1000, 2000, 3
 THRESHOLD = 0.3
 
@@ -38,8 +39,17 @@ class Model:
         return 1.0 if self.good is not None else 0.0 if self.bad is not None else 0.5
 
 
-def dictionary(texts: list[str]) -> bytes | None:
-    pieces = [t[i : i + PIECE] for t in map(str.encode, texts) for i in range(0, len(t), PIECE)]
+def pieces_of(text: str | None) -> list[bytes]:
+    """The pieces of a text that have the smallest hashes, in their order."""
+    raw = (text or "").encode()
+    found = [raw[i : i + PIECE] for i in range(0, len(raw), PIECE)]
+    if len(found) <= PIECES:
+        return found
+    return [found[k] for k in sorted(sorted(range(len(found)), key=lambda k: xxhash.xxh3_64_intdigest(found[k], k))[:PIECES])]
+
+
+def dictionary(texts: list[list[bytes]]) -> bytes | None:
+    pieces = [piece for text in texts for piece in text]
     if not pieces:
         return None
     try:
@@ -106,10 +116,16 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     )
     drawn = marked.where(place < rate).withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)))
     rows = stored(documents.select("doc_id", "text").join(F.broadcast(drawn), "doc_id"), "quality-sample")
-    first = rows.where("part = 0").select("quality", F.substring(F.coalesce("text", F.lit("")), 1, EXCERPT).alias("text"))
-    texts: dict[int, list[str]] = {0: [], 1: []}
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pieces = [pieces_of(text) for text in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("quality"), pa.array(pieces, pa.list_(pa.binary()))], names=["quality", "pieces"])
+
+    first = over_batches(rows.where("part = 0").select("quality", "text"), cut, "quality int, pieces array<binary>")
+    texts: dict[int, list[list[bytes]]] = {0: [], 1: []}
     for row in first.toLocalIterator():
-        texts[row.quality].append(row.text)
+        texts[row.quality].append([bytes(piece) for piece in row.pieces])
     good, bad = dictionary(sorted(texts[1])), dictionary(sorted(texts[0]))
     if good is None or bad is None:
         return Model(good, bad, ())

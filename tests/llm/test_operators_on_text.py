@@ -155,6 +155,23 @@ def test_language_without_relatives():
     assert [model.languages[i] for i in best] == ["aa", "bb"] and (score > 0.5).all()
 
 
+def test_language_learns_from_whole_texts(spark):
+    blank = "." * 5000  # beyond any prefix; signs do not count
+    rows = [(i, f"a{blank} {'abc def ghi ' * 5 if i % 2 else 'xyz uvw rst ' * 5}", "aa" if i % 2 else "bb") for i in range(80)]
+    model = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    best, _ = model.predict(language.ngrams(*language.text_bytes(pa.array(["abc ghi def", "uvw xyz rst"]))))
+    assert [model.languages[i] for i in best] == ["aa", "bb"]
+
+
+def test_dictionary_pieces_come_from_all_over_the_text():
+    text = "".join(f"{i:04d}" for i in range(10_000))
+    chosen = [quality.pieces_of(f"{seed:04d}{text}") for seed in range(50)]
+    assert all(len(p) == quality.PIECES for p in chosen)
+    places = [int(piece[:4]) for pieces in chosen for piece in pieces]
+    assert min(places) < 1500 and max(places) > 8500 and sum(p > 5000 for p in places) > 60
+    assert quality.pieces_of("abc") == [b"abc"] and quality.pieces_of(None) == []
+
+
 def test_quality(spark, corpus, nothing):
     given, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     model = quality.fit(given, labels)

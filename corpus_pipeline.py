@@ -37,9 +37,13 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def detect_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any letter, and those that no learned language fits, go."""
+    """Documents without any letter, and those that no learned language fits, go. Without a language to learn, all that have
+    a letter stay."""
     rows, names = carried(docs)
-    found = language.identify(rows, language.fit(rows), names)
+    model = language.fit(rows)
+    if not model.languages:
+        return restored(rows.where(F.col("text").rlike(r"\p{L}")), docs, names)
+    found = language.identify(rows, model, names)
     return restored(found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SURE)), docs, names)
 
 

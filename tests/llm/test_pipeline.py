@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tests_llm_shared import SMALL, corpus, nothing  # noqa: F401 - fixtures
 
 from funnelworks.llm import decontaminate, language, neardup
-from funnelworks.llm.shared import stored
+from funnelworks.llm.shared import held_out, stored
 
 
 @pytest.fixture(scope="module")
@@ -32,6 +32,17 @@ def test_language_stage_keeps_all_that_can_be_read(steps):
     assert set(language.fit(before).languages) <= {"en", "de", "fr", "es"}
 
 
+def test_language_stage_without_a_language_to_learn(spark, corpus):
+    _, docs = corpus
+    letters = docs.where(F.col("text").rlike(r"\p{L}")).count()
+    unknown = docs.withColumn("lang", F.lit(None).cast("string"))
+    only_held_out = docs.withColumn("lang", F.when(F.coalesce(held_out(), F.lit(True)), F.col("lang")))
+    for given in (unknown, only_held_out):
+        after = pipeline.detect_language(spark, given, SMALL)
+        assert after.count() == letters and after.dtypes == given.dtypes
+    assert letters < docs.count()
+
+
 def test_line_stage(steps):
     before, after = steps[1], steps[2]
     assert after.count() <= before.count()

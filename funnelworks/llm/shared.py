@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from ..session import work_dir
 
-#: Rows that go to Python at a time; with the longest documents of a corpus a batch stays within some tens of MB.
+#: Rows and bytes that go to Python at a time, whichever is reached first; a row that is larger is a batch of its own.
 BATCH_ROWS = 1000
+ARROW_BYTES = 8_000_000
 #: Bytes of text that a task turns into arrays at a time.
 BATCH_BYTES = 4_000_000
 #: The same where each byte passes through many array operations: their results stay in the processor's cache.
@@ -35,14 +36,29 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dropped(df: DataFrame) -> None:
+    """Removes what `stored` has written for a frame that nothing reads any more; the folder must be one of its own."""
+    spark = df.sparkSession
+    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        if "/llm-" in folder:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def over_batches(
     df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
 ) -> DataFrame:
     """mapInArrow with batches that bound the memory of a Python worker."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    bounded(df.sparkSession)
     return df.mapInArrow(work, schema)
 
 
+def bounded(spark: SparkSession) -> None:
+    """From now on, batches that go to Python have a bounded number of rows and bytes."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """Parts of a batch whose texts have about `limit` bytes together; a longer text is a part of its own."""
     sizes = np.diff(text_bytes(batch.column(column))[1])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import codes, decontaminate, exact, html, language, lines, neardup, packing, quality, substring, tokens
+from . import codes, decontaminate, exact, html, language, lines, neardup, packing, quality, substring, tokens, trie
 from .shared import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -56,6 +56,10 @@ def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(documents, quality.fit(documents, table(spark, sf_dir, "labels")))
 
 
+def conversation_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(trie.rebuilt(table(spark, sf_dir, "conversations")))
+
+
 def vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codes.compress(table(spark, sf_dir, "embeddings"))[0]
 
@@ -71,11 +75,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_text": page_texts,
     "op9_line_dedup": fuzzy_lines,
     "op10_quality": quality_scores,
+    "op11_prefix_trie": conversation_prefixes,
     "op12_vector_codes": vector_codes,
 }
 EXPECTED: dict[str, str] = {
     "op2_substring_dedup": substring.ORACLE,
     "op5_decontamination": decontaminate.ORACLE,
     "op6_exact_dedup": exact.ORACLE,
+    "op11_prefix_trie": trie.ORACLE,
     "op12_vector_codes": codes.ORACLE,
 }

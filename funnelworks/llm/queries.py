@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import codes, decontaminate, exact, html, language, lines, neardup, packing, quality, substring, tokens, trie
+from . import bestfit, codes, decontaminate, exact, html, language, lines, neardup, packing, quality, substring, tokens, trie
 from .shared import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -64,6 +64,10 @@ def vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codes.compress(table(spark, sf_dir, "embeddings"))[0]
 
 
+def fitted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bestfit.pack(table(spark, sf_dir, "documents"), VOCABULARY, public_tokenizers.PATTERN)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": packed,
     "op2_substring_dedup": long_repeats,
@@ -77,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality": quality_scores,
     "op11_prefix_trie": conversation_prefixes,
     "op12_vector_codes": vector_codes,
+    "op13_best_fit_packing": fitted,
 }
 EXPECTED: dict[str, str] = {
     "op2_substring_dedup": substring.ORACLE,

@@ -21,15 +21,16 @@ SHINGLE = 5
 
 
 def carried(docs: DataFrame) -> tuple[DataFrame, list[str]]:
-    """doc_id, text and lang, and all columns under names that no operator uses."""
-    names = [f"_column_{i}" for i in range(len(docs.columns))]
-    return docs.select("doc_id", "text", "lang", *[F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names)]), names
+    """doc_id, text and lang, and all columns but the text under names that no operator uses; the names of all columns."""
+    names = ["text" if c == "text" else f"_column_{i}" for i, c in enumerate(docs.columns)]
+    others = [F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names) if n != "text"]
+    return docs.select("doc_id", "text", "lang", *others), names
 
 
 def restored(df: DataFrame, docs: DataFrame, names: list[str], **changed) -> DataFrame:
     """The columns of docs again, those in `changed` with new values."""
     kinds = dict(docs.dtypes)
-    return df.select(*[changed.get(c, F.col(n)).cast(kinds[c]).alias(c) for c, n in zip(docs.columns, names)])
+    return df.select(*[(changed[c] if c in changed else F.col(n)).cast(kinds[c]).alias(c) for c, n in zip(docs.columns, names)])
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -50,7 +51,7 @@ def detect_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def deduplicate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One line of each group of like lines stays in the corpus; documents that lose all their text go."""
     rows, names = carried(docs)
-    found = lines.remove_lines(rows, names)
+    found = lines.remove_lines(rows, [n for n in names if n != "text"])
     found = found.where((F.col("n_removed") == 0) | F.col("kept_text").rlike(r"\S"))
     return restored(found, docs, names, text=F.col("kept_text"), n_chars=F.length("kept_text"))
 

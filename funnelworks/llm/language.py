@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import held_out, lower_ascii, over_batches, slices, text_bytes
+from .shared import CACHED_BYTES, held_out, lower_ascii, over_batches, slices, text_bytes
 
 #: Families of closely related languages; a language that is not listed is a family of its own.
 FAMILIES = {
@@ -122,7 +122,7 @@ def fit(documents: DataFrame, sample: int = SAMPLE) -> Model:
     doc_id with a rate that follows from the count of the language. Only their n-grams, 4 * WIDTH bytes each, are collected."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in (p for batch in batches for p in slices(batch, "text", 2_000_000)):
+        for part in (p for batch in batches for p in slices(batch, "text", CACHED_BYTES)):
             grams = [row.tobytes() for row in ngrams(*text_bytes(part.column("text")))]
             yield pa.RecordBatch.from_arrays([part.column("lang"), pa.array(grams, pa.binary())], names=["lang", "grams"])
 
@@ -145,14 +145,15 @@ def identify(documents: DataFrame, model: Model, keep: list[str] | None = None)
     from. Whole texts are read. A missing doc_id counts as held out.
     """
     keep = keep or ["doc_id"]
+    text = "text" if "text" in keep else "_text"
     kinds = dict(documents.dtypes)
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in keep) + ", held_out boolean, lang_pred string, score double"
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = np.array([*model.languages, UNKNOWN], object)
         for batch in batches:
-            for part in slices(batch, "_text", 2_000_000):
-                column = part.column("_text")
+            for part in slices(batch, text, CACHED_BYTES):
+                column = part.column(text)
                 readable = pc.fill_null(pc.match_substring_regex(column, r"\p{L}"), False).to_numpy(zero_copy_only=False)
                 best, score = np.full(part.num_rows, len(model.languages)), np.zeros(part.num_rows)
                 if model.languages and readable.any():
@@ -163,7 +164,6 @@ def identify(documents: DataFrame, model: Model, keep: list[str] | None = None)
                     names=[*keep, "held_out", "lang_pred", "score"],
                 )
 
-    rows = documents.select(
-        *[F.col(f"`{c}`") for c in keep], F.col("text").alias("_text"), F.coalesce(held_out(), F.lit(True)).alias("_held")
-    )
+    more = [] if text in keep else [F.col("text").alias(text)]  # a text goes to Python once
+    rows = documents.select(*[F.col(f"`{c}`") for c in keep], *more, F.coalesce(held_out(), F.lit(True)).alias("_held"))
     return over_batches(rows, work, schema)

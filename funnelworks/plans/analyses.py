@@ -137,7 +137,8 @@ def warnings(v: Views) -> DataFrame:
 
 @analysis("q25f", "data quality", "Days with marketing data per month")
 def marketing_coverage(v: Views) -> DataFrame:
-    active = v.star.fact_marketing_daily.select("date_key").distinct().withColumn("active_key", F.col("date_key"))
+    within = v.star.in_months("fact_marketing_daily", *v.star.period)
+    active = within.select("date_key").distinct().withColumn("active_key", F.col("date_key"))
     return (
         v.star.dim_date.where(F.col("date_key").between(*v.star.period))
         .join(active, "date_key", "left")

@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import dbl, mean, n_rows, ratio, rounded, total
-from ..model import Star
+from ..model import Star, month_of
+from ..schemas import MONTH
 from ..session import together
 from ..sources.tables import written
 
@@ -38,15 +39,20 @@ class Views:
 
     def publish(self, folder: str) -> Views:
         """Write the views worth keeping, each from the ones before, and continue from the written tables."""
-        keep = lambda name: self.__dict__.update({name: written(getattr(self, name), f"{folder}/{name}")})
-        keep(self.PUBLISHED[0])
+
+        def keep(name: str, by: str | None = None) -> None:
+            self.__dict__[name] = written(getattr(self, name), f"{folder}/{name}", by)
+
+        keep(self.PUBLISHED[0], "year_month")
         together([partial(keep, name) for name in self.PUBLISHED[1:]])
         return self
 
     @classmethod
     def published(cls, star: Star, folder: str) -> Views:
         views = cls(star)
-        views.__dict__.update({n: star.spark.read.parquet(f"{folder}/{n}") for n in cls.PUBLISHED})
+        for name in cls.PUBLISHED:  # the plans declare the schemas, so no file is opened for them
+            planned = getattr(cls(star), name)
+            views.__dict__[name] = star.spark.read.schema(planned.schema).parquet(f"{folder}/{name}").select(*planned.columns)
         return views
 
     @cached_property
@@ -59,9 +65,8 @@ class Views:
             F.sum(F.when(won, F.col("won_value"))).alias("won_sum"),
             mean(F.when(won, F.col("sales_cycle_days"))).alias("won_cycle_days"),
         )
-        months = self.star.dim_date.select(F.col("date_key").alias("created_date_key"), "year_month")
         return (
-            self.star.fact_leads.join(months, "created_date_key")
+            self.on_calendar("fact_leads", "created_date_key")
             .join(per_lead, "lead_id", "left")
             .select(
                 "lead_id",
@@ -82,6 +87,12 @@ class Views:
             )
         )
 
+    def on_calendar(self, fact: str, key: str) -> DataFrame:
+        """Rows of a fact with the year_month of the date key it is stored by. The join says that the months are equal too, so
+        a condition on the calendar, year_month among it, leaves out months of the fact."""
+        days = self.star.dim_date.select(F.col("date_key").alias(key), month_of("date_key").alias(MONTH), "year_month")
+        return self.star.by_month(fact).join(days, [key, MONTH])
+
     def funnel_totals(self, *by: str) -> DataFrame:
         """Lead outcomes added up per group: the common base of the channel and campaign views."""
         return self.lead_outcomes.groupBy(*by).agg(
@@ -194,28 +205,31 @@ class Views:
         months = star.dim_date.where(F.col("date_key").between(first, last)).select("year_month").distinct()
         day = star.dim_date.select("date_key", "year_month")
         activity = (
-            star.fact_marketing_daily.groupBy("date_key")
+            star.in_months("fact_marketing_daily", first, last)
+            .groupBy("date_key")
             .agg(F.sum("sessions").alias("sessions"), F.sum("spend").alias("spend"))
             .join(day, "date_key")
             .groupBy("year_month")
             .agg(F.sum("sessions").alias("sessions"), total("spend").alias("spend"))
         )
         leads = (
-            star.fact_leads.groupBy(F.col("created_date_key").alias("date_key"))
+            star.in_months("fact_leads", first, last)
+            .groupBy(F.col("created_date_key").alias("date_key"))
             .agg(n_rows().alias("leads"), F.sum("is_mql").alias("mqls"), F.sum("is_sql").alias("sqls"))
             .join(day, "date_key")
             .groupBy("year_month")
             .agg(*[F.sum(c).alias(c) for c in ("leads", "mqls", "sqls")])
         )
         won = (
-            star.fact_opportunities.where("is_won = 1")
+            star.in_months("fact_opportunities", first, last)
+            .where("is_won = 1")
             .groupBy(F.coalesce("close_date_key", "created_date_key").alias("date_key"))
             .agg(n_rows().alias("customers"), F.sum("won_value").alias("won_revenue"))
             .join(day, "date_key")
             .groupBy("year_month")
             .agg(F.sum("customers").alias("customers"), total("won_revenue").alias("won_revenue"))
         )
-        recurring = star.fact_customer_monthly.groupBy("year_month").agg(
+        recurring = star.in_months("fact_customer_monthly", first, last).groupBy("year_month").agg(
             total(F.when(F.col("is_active") == 1, F.col("mrr"))).alias("mrr"),
             F.sum("is_active").alias("active_customers"),
             F.sum("is_churned").alias("churned_customers"),
@@ -249,16 +263,18 @@ class Views:
         created = star.dim_date.select(
             F.col("date_key").alias("created_date_key"), F.col("year_month").alias("created_month")
         )
+        # a closed deal is stored by the month of its close
         closed = star.dim_date.select(
-            F.col("date_key").alias("close_date_key"), F.col("year_month").alias("close_month")
+            F.col("date_key").alias("close_date_key"), month_of("date_key").alias(MONTH), F.col("year_month").alias("close_month")
         )
         expected_when = lambda status: F.when(F.col("status") == status, dbl("expected_value")).otherwise(0.0)
         return (
-            star.fact_opportunities.join(star.dim_channel.select("channel_id", "channel_name"), "channel_id")
+            star.by_month("fact_opportunities")
+            .join(star.dim_channel.select("channel_id", "channel_name"), "channel_id")
             .join(star.dim_campaign.select("campaign_id", "campaign_name"), "campaign_id", "left")
             .join(star.dim_region.select("region_id", "region_name"), "region_id")
             .join(created, "created_date_key")
-            .join(closed, "close_date_key", "left")
+            .join(closed, ["close_date_key", MONTH], "left")
             .select(
                 "opportunity_id",
                 "channel_name",

@@ -7,26 +7,21 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..model import Star
-from ..schemas import STAR_SCHEMAS, ddl
+from ..model import Star, month_of
+from ..schemas import MONTH, PLACED_BY, STAR_SCHEMAS, ddl
 from ..session import together
 
 MARKER = "_published"
 
-# Day or month column by which a fact is partitioned, as 'YYYY-MM'.
-PARTITIONED = {
-    "fact_marketing_daily": "date_key",
-    "fact_leads": "created_date_key",
-    "fact_opportunities": "created_date_key",
-    "fact_customer_monthly": "month_key",
-}
-PARTITION = "part_month"
 
-
-def written(df: DataFrame, path: str) -> DataFrame:
-    """The frame, written as Parquet and read back: cuts the lineage at durable storage."""
-    df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def written(df: DataFrame, path: str, by: str | None = None) -> DataFrame:
+    """The frame, written as Parquet and read back: cuts the lineage at durable storage. ``by`` names the column whose
+    values get folders of their own."""
+    if by is None:
+        df.write.mode("errorifexists").parquet(path)
+    else:
+        df.hint("rebalance", by).write.mode("errorifexists").partitionBy(by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def write_star(star: Star, folder: str) -> None:
@@ -38,10 +33,9 @@ def write_star(star: Star, folder: str) -> None:
 
     def write(name: str) -> None:
         df = star[name].select(*STAR_SCHEMAS[name])
-        if name in PARTITIONED:
-            month = F.floor(F.col(PARTITIONED[name]) / 100).cast("int")
-            df = df.withColumn(PARTITION, month).hint("rebalance", PARTITION)
-            df.write.mode("errorifexists").partitionBy(PARTITION).parquet(f"{folder}/{name}")
+        if name in PLACED_BY:
+            df = df.withColumn(MONTH, month_of(F.expr(PLACED_BY[name]))).hint("rebalance", MONTH)
+            df.write.mode("errorifexists").partitionBy(MONTH).parquet(f"{folder}/{name}")
         else:
             df.write.mode("errorifexists").parquet(f"{folder}/{name}")
 
@@ -52,11 +46,11 @@ def read_star(spark: SparkSession, folder: str, period: tuple[int, int]) -> Star
     """The star written to the folder. The schema is declared, so nothing is scanned to find it out."""
 
     def load(name: str) -> DataFrame:
-        extra = {PARTITION: "int"} if name in PARTITIONED else {}
-        df = spark.read.schema(ddl({**STAR_SCHEMAS[name], **extra})).parquet(f"{folder}/{name}")
-        return df.drop(PARTITION)
+        extra = {MONTH: "int"} if name in PLACED_BY else {}
+        return spark.read.schema(ddl({**STAR_SCHEMAS[name], **extra})).parquet(f"{folder}/{name}")
 
-    return Star({name: partial(load, name) for name in STAR_SCHEMAS}, period)
+    plain = {name: (lambda name=name: load(name).drop(MONTH)) for name in STAR_SCHEMAS}
+    return Star(plain, period, {name: partial(load, name) for name in PLACED_BY})
 
 
 def mark_published(spark: SparkSession, folder: str, period: tuple[int, int]) -> None:

@@ -13,7 +13,8 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import lru_cache
 from typing import TypeVar
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 
 T = TypeVar("T")
 
@@ -53,6 +54,11 @@ def together(jobs: list[Callable[[], T]], workers: int = 4) -> list[T]:
         return [f.result() for f in [pool.submit(job) for job in jobs]]
 
 
+def local_table(spark: SparkSession, **columns: list) -> DataFrame:
+    """A small table from lists. Its size is known to the planner, which lets it decide on a broadcast."""
+    return spark.createDataFrame(pa.table(columns))
+
+
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder path below the shared folder of the cluster (spark.checkpoint.dir).
 

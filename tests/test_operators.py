@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from funnelworks.functions.labels import norm, score_band
 from funnelworks.functions.numeric import ratio, rounded
+from funnelworks.operators import dedupe
 from funnelworks.operators.dedupe import collapse_exact, keep_first, surplus_rows
 from funnelworks.operators.lookup import label_map, map_label, mark_listed
 from funnelworks.operators.median import twice_median
@@ -99,3 +100,36 @@ def test_score_bands(spark):
     df = spark.createDataFrame([(s,) for s in (None, 0, 39, 40, 59, 60, 79, 80, 100)], "s int")
     bands = [r["b"] for r in df.select(score_band("s").alias("b")).collect()]
     assert bands == ["Unknown", "0-39", "0-39", "40-59", "40-59", "60-79", "60-79", "80-100", "80-100"]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_keep_first_with_positions_of_any_type_and_null_keys(spark):
+    """A key with a third of the rows, NULL keys, and positions of fixed and of variable width."""
+    data = [(None if i % 9 == 4 else 0 if i % 3 else i, "k" if i % 2 else None, f"v{i}", (i * 7919) % 1009) for i in range(900)]
+    best, count = {}, {}
+    for a, b, v, p in data:
+        count[a, b] = count.get((a, b), 0) + 1
+        if (a, b) not in best or p < best[a, b][0]:
+            best[a, b] = (p, v)
+    want = {k: (v, count[k]) for k, (_, v) in best.items()}
+    df = spark.createDataFrame(data, "a int, b string, v string, p bigint").repartition(5)
+    pos = F.format_string("%06d", "p")
+    for position in (F.col("p"), F.col("p").cast("decimal(38,0)"), pos, F.struct(pos.alias("x"), "p")):
+        got = keep_first(df.withColumn("_pos", position).drop("p"), ["a", "b"])
+        assert {(r["a"], r["b"]): (r["v"], r["_copies"]) for r in rows(got)} == want
+    assert keep_first(df.withColumnRenamed("p", "_pos").limit(0), ["a"]).count() == 0
+
+
+def test_keep_first_neither_sorts_nor_shuffles_rows(spark, tmp_path):
+    spark.range(1000).selectExpr("id % 990 AS k", "cast(id AS string) AS v", "id AS _pos").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    plan = plan_of(keep_first(df, ["k"]))
+    assert "BroadcastHashJoin" in plan and "SortAggregate" not in plan and "hashpartitioning" not in plan
+    found = plan_of(dedupe._repeats(df, ["k"], "_pos"))
+    assert "HashAggregate" in found and "SortAggregate" not in found and "Sort " not in found
+    wide = plan_of(dedupe._repeats(df.withColumn("_pos", F.struct("v", "_pos")), ["k"], "_pos"))
+    assert "SortAggregate" not in wide
+    assert "SortAggregate" not in plan_of(collapse_exact(df))

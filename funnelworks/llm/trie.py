@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import work_dir
+from ..session import local_table, work_dir
 from .shared import over_batches, stored
 
 #: Bytes of a turn's code: the 128-bit digest of role and text, and the number of UTF-8 bytes of the text.
@@ -158,26 +158,27 @@ def nodes(paths: DataFrame, rows: int = BLOCK_ROWS, size: int = BLOCK_BYTES) ->
     ends = paths.groupBy("path").agg(F.min("conv_id").alias("conv"), F.count("*").alias("n"))
     ends = stored(ends.withColumn("size", (F.octet_length("path") / CODE).cast("long")), "trie-ends")
     alive = paths.groupBy((F.octet_length("path") / CODE).cast("long").alias("size")).count()
-    plan = blocks({r["size"]: r["count"] for r in alive.collect()}, rows, size)
+    lengths = {r["size"]: r["count"] for r in alive.collect()}
+    plan = blocks(lengths, rows, size)
     folder = work_dir(spark, "llm-trie")
     if not plan:
         return spark.createDataFrame([], _NODE).drop("path")
     # the conversations that end in each block lie in a folder of their own
-    numbers = [(number, low, high) for number, (low, high) in enumerate(plan)]
-    table = spark.createDataFrame(numbers, "block int, low long, high long")
-    placed = ends.join(F.broadcast(table), F.col("size").between(F.col("low"), F.col("high"))).drop("low", "high", "size")
+    block_of = {depth: number for number, (low, high) in enumerate(plan) for depth in range(low, high + 1)}
+    table = local_table(spark, size=[*lengths], block=[block_of[length] for length in lengths])
+    placed = ends.join(table, "size").drop("size")
     endings = work_dir(spark, "llm-trie-blocks")
     placed.repartitionByRange("block", "conv").write.partitionBy("block").parquet(endings)
-    placed = spark.read.schema("path binary, conv long, n long, block int").parquet(endings)
+    placed = spark.read.schema("path binary, conv long, n long, block long").parquet(endings)
     zero = F.lit(0).cast("long")
     above = None
-    for number, low, _ in numbers:
+    for number, (low, high) in enumerate(plan):
         items = placed.where(F.col("block") == number).select(
             "path", "conv", "n", zero.alias("children"), zero.alias("leaves"), zero.alias("saved"), F.col("n").alias("ended"),
             F.col("conv").alias("ender"),
         )
         items = items if above is None else items.unionByName(above)
-        made = one_level(items, low) if plan[number] == (low, low) else one_block(items, low)
+        made = one_level(items, low) if low == high else one_block(items, low)
         made.write.parquet(f"{folder}/block={number}")
         above = handed_up(spark.read.schema(_NODE).parquet(f"{folder}/block={number}"), low)
     return spark.read.schema(f"{_NODE}, block int").parquet(folder).drop("path", "block")

@@ -6,6 +6,7 @@ a partition run only on such reduced frames: at most one row per channel, campai
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, Window
@@ -15,7 +16,6 @@ from ..functions.numeric import dbl, mean, n_rows, ratio, rounded, total
 from ..model import Star, month_of
 from ..schemas import MONTH
 from ..session import together
-from ..sources.tables import written
 
 
 
@@ -37,11 +37,12 @@ class Views:
     def __init__(self, star: Star):
         self.star = star
 
-    def publish(self, folder: str) -> Views:
-        """Write the views worth keeping, each from the ones before, and continue from the written tables."""
+    def publish(self, table: Callable[..., DataFrame]) -> Views:
+        """Write the views worth keeping, each from the ones before, and continue from the written tables; ``table`` writes a
+        frame under a name, or knows that it was written before, and gives the table."""
 
         def keep(name: str, by: str | None = None) -> None:
-            self.__dict__[name] = written(getattr(self, name), f"{folder}/{name}", by)
+            self.__dict__[name] = table(name, lambda: getattr(self, name), by)
 
         keep(self.PUBLISHED[0], "year_month")
         together([partial(keep, name) for name in self.PUBLISHED[1:]])

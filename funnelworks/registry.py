@@ -8,19 +8,20 @@ from functools import lru_cache, partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions.numeric import MONEY, dbl
-from .model import Exports, Reference
+from .functions.numeric import MONEY, dbl, n_rows
+from .model import STAR_TABLES, Exports, Reference
 from .operators.constraints import check_constraints
 from .operators.dedupe import COPIES, POSITION, collapse_exact, keep_first
 from .operators.median import twice_median
+from .operators.rows import union_all
 from .plans import quality
 from .plans.analyses import ANALYSES
-from .plans.build import Build, build
+from .plans.build import EXPORTS, Build, build, read_published_views
 from .plans.cleaning import Cleaning
 from .plans.delivered import star_as_delivered
 from .plans.integrity import integrity_tests
 from .plans.measures import MEASURES
-from .plans.model import ReportModel, report_model
+from .plans.model import ReportModel
 from .plans.reconcile import kpi_summary, reconciliation, reconciliation_summary
 from .plans.reports import DATASETS, Reports
 from .plans.suite import run_log
@@ -32,15 +33,13 @@ from .sources.exports import (
     read_exports,
     read_json,
     read_model,
+    read_sample,
     read_view,
     sample,
     write_exports,
-    write_json,
-    write_model,
-    write_views,
 )
 from .sources.messy import MessyExports
-from .sources.tables import read_star, write_star, written
+from .sources.tables import read_published, read_star, write_star, written
 from .sources.warehouse import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,8 +89,7 @@ def built(spark: SparkSession, folder: str) -> Build:
 @lru_cache(maxsize=8)
 def _reports(spark: SparkSession, folder: str) -> Reports:
     b = built(spark, folder)
-    model = report_model(b.star, b.checks, b.row_counts, b.log).publish(work_dir(spark, "model"))
-    return Reports(model, b.views)
+    return Reports(b.model, b.views)
 
 
 def _on_reports(name: str, plan: Callable[[Reports], DataFrame]) -> None:
@@ -232,14 +230,9 @@ def _csv_folder(spark: SparkSession, folder: str) -> str:
 QUERIES["csv_corrupt_rows"] = lambda spark, folder: corrupt_rows(spark, _csv_folder(spark, folder))
 
 
-@lru_cache(maxsize=8)
 def _exported(spark: SparkSession, folder: str) -> str:
-    """Everything that a build hands to other tools, written once."""
-    target, reports = work_dir(spark, "exported"), _reports(spark, folder)
-    write_views(reports.views, f"{target}/views")
-    write_model(reports.model, f"{target}/model")
-    write_json(kpi_summary(reports.views), f"{target}/kpi")
-    return target
+    """Everything that a build hands to other tools, as it was published."""
+    return f"{built(spark, folder).folder}/{EXPORTS}"
 
 
 def _on_exported(name: str, plan: Callable[[SparkSession, str, Reports], DataFrame]) -> None:
@@ -258,6 +251,25 @@ _on_exported(
 )
 
 
+def published_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """(kind, name, rows) of everything that a build publishes, read back from where it was published."""
+    b = built(spark, folder)
+    star, views, exported = read_published(spark, b.folder), read_published_views(spark, b.folder), _exported(spark, folder)
+    kinds = lambda n: dict(getattr(views, n).dtypes)
+    read = {
+        **{("star", n): star[n] for n in STAR_TABLES},
+        **{("view", n): read_view(spark, f"{exported}/views", n, kinds(n)) for n in VIEW_NAMES},
+        **{("model", n): read_model(spark, f"{exported}/model")[n] for n in ReportModel.names},
+        **{("sample", n): read_sample(spark, f"{exported}/samples/{n}", n) for n in Exports.names},
+    }
+    return union_all(
+        [df.agg(n_rows().alias("rows")).select(F.lit(k).alias("kind"), F.lit(n).alias("name"), "rows") for (k, n), df in read.items()]
+    )
+
+
+QUERIES["published"] = published_rows
+
+
 # ---- audits on rows that were not cleaned: they have to find the faults
 @lru_cache(maxsize=8)
 def _as_delivered(spark: SparkSession, folder: str) -> Views:

@@ -125,9 +125,19 @@ def sample(df: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
     return df.orderBy(POSITION).limit(rows).drop(POSITION)
 
 
+def write_sample(exports: Exports, name: str, folder: str) -> None:
+    write_csv(sample(exports[name]).coalesce(1), f"{folder}/sample_{EXPORT_FILES[name]}")
+
+
 def write_samples(exports: Exports, folder: str) -> None:
     for name in Exports.names:
-        write_csv(sample(exports[name]).coalesce(1), f"{folder}/sample_{EXPORT_FILES[name]}")
+        write_sample(exports, name, folder)
+
+
+def read_sample(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    columns = EXPORT_SCHEMAS[name]
+    rows = read_csv(spark, f"{folder}/sample_{EXPORT_FILES[name]}", columns)
+    return rows.select(*[_typed(c, kind) for c, kind in columns.items()])
 
 
 def write_views(views: Views, folder: str) -> None:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,22 +26,23 @@ def written(df: DataFrame, path: str, by: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
-def write_star(star: Star, folder: str) -> None:
-    """One folder per table, facts partitioned by month.
+def write_star(star: Star, folder: str, step: Callable[[str, Callable[[str], None]], object] | None = None) -> None:
+    """One folder per table, facts partitioned by month; ``step`` decides for each table whether its write is due.
 
     The rebalance hint brings the rows of a month together before the write and lets adaptive execution merge small
     months and split a month that holds too much, so files have a sensible size at any volume.
     """
 
-    def write(name: str) -> None:
+    def write(name: str, path: str) -> None:
         df = star[name].select(*STAR_SCHEMAS[name])
         if name in PLACED_BY:
             df = df.withColumn(MONTH, month_of(F.expr(PLACED_BY[name]))).hint("rebalance", MONTH)
-            df.write.mode("errorifexists").partitionBy(MONTH).parquet(f"{folder}/{name}")
+            df.write.mode("errorifexists").partitionBy(MONTH).parquet(path)
         else:
-            df.write.mode("errorifexists").parquet(f"{folder}/{name}")
+            df.write.mode("errorifexists").parquet(path)
 
-    together([partial(write, name) for name in STAR_SCHEMAS])
+    step = step or (lambda name, work: work(f"{folder}/{name}"))
+    together([partial(step, name, partial(write, name)) for name in STAR_SCHEMAS])
 
 
 def read_star(spark: SparkSession, folder: str, period: tuple[int, int]) -> Star:
@@ -54,9 +57,14 @@ def read_star(spark: SparkSession, folder: str, period: tuple[int, int]) -> Star
 
 
 def mark_published(spark: SparkSession, folder: str, period: tuple[int, int]) -> None:
-    spark.range(1).select(F.lit(period[0]).alias("first"), F.lit(period[1]).alias("last")).write.json(
-        f"{folder}/{MARKER}"
-    )
+    """The marker is written beside its place and then renamed, so that it is there as a whole or not at all."""
+    beside = f"{folder}/.{uuid.uuid4().hex}"
+    spark.range(1).select(F.lit(period[0]).alias("first"), F.lit(period[1]).alias("last")).write.json(beside)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(path(f"{folder}/{MARKER}"), True)
+    if not files.rename(path(beside), path(f"{folder}/{MARKER}")):
+        raise OSError(f"could not publish {folder}")
 
 
 def read_published(spark: SparkSession, folder: str) -> Star:

@@ -129,6 +129,22 @@ _EXPORTED = {
 }
 EXPECTED.update({n: EXPECTED[of] for n, of in _EXPORTED.items()})
 
+# rows of everything that is published
+_VIEW_STEPS = {
+    "channel_performance": "v1", "campaign_performance": "v2", "funnel": "v3", "monthly_management": "v4", "opportunity_detail": "v5",
+    "customer_value": "v6",
+}
+_PUBLISHED = [
+    *[("star", t, t) for t in STAR_SCHEMAS],
+    *[("view", n, step) for n, step in _VIEW_STEPS.items()],
+    *[("model", n.removeprefix("model_"), f"({sql})") for n, sql in REPORT_QUERIES.items() if n.startswith("model_")],
+    *[("sample", n, f"(SELECT 1 FROM raw_{n} LIMIT 200)") for n in EXPORT_SCHEMAS],
+]
+EXPECTED["published"] = compose(
+    REPORT_MODEL_STEPS,
+    union([f"SELECT '{kind}' AS kind, '{name}' AS name, count(*) AS rows FROM {of}" for kind, name, of in _PUBLISHED]),
+)
+
 _DELIVERED = {
     "delivered_constraints": CONSTRAINT_ROWS,
     "delivered_integrity_tests": INTEGRITY,

@@ -9,7 +9,9 @@ from conftest import rows
 
 from funnelworks.model import Exports
 from funnelworks.operators.dedupe import keep_first
-from funnelworks.plans.build import build, read_published_views
+from funnelworks import registry
+from funnelworks.plans.analyses import ANALYSES
+from funnelworks.plans.build import EXPORTS, build, current_build, read_published_views
 from funnelworks.plans.cleaning import Cleaning
 from funnelworks.plans.model import report_model
 from funnelworks.plans.quality import GateError, Quality, totals
@@ -20,6 +22,7 @@ from funnelworks.schemas import EXPORT_SCHEMAS
 from funnelworks.session import together, work_dir
 from funnelworks.sources import exports as io
 from funnelworks.sources.messy import MessyExports
+from funnelworks.sources.stages import Stages, get, put, version_of
 from funnelworks.sources.tables import MARKER, read_published
 from funnelworks.sources.warehouse import Warehouse
 
@@ -212,3 +215,101 @@ def test_quality_on_hand_made_rows(make_exports, reference, make_star):
 
 def test_jobs_run_together_in_order():
     assert together([lambda i=i: i * i for i in range(9)]) == [i * i for i in range(9)]
+
+
+def test_everything_is_exported_before_it_is_published(spark, built):
+    """What other tools get is in the folder of the build, read back as it was computed."""
+    folder = f"{built.folder}/{EXPORTS}"
+    assert built.run_log.count() == 38 + 14 and built.run_log.where("status NOT IN ('PASS', 'EMPTY')").count() == 0
+    for name in io.VIEW_NAMES:
+        kinds = dict(getattr(built.views, name).dtypes)
+        assert sorted(map(str, io.read_view(spark, f"{folder}/views", name, kinds).collect())) == sorted(
+            map(str, getattr(built.views, name).collect())
+        ), name
+    assert io.read_model(spark, f"{folder}/model")["FactLeads"].count() == built.star.fact_leads.count()
+    assert io.read_sample(spark, f"{folder}/samples/leads", "leads").count() == 200
+
+
+class Killed(Exception):
+    pass
+
+
+def test_a_build_that_was_killed_goes_on(spark, tmp_path, monkeypatch):
+    """Stopped in the views, then in an export: nothing is published until all is done, and no stage is done twice."""
+    raw, reference = registry.delivered(spark, SMALL)
+    make = lambda: Cleaning(raw, reference, *spans(spark, SMALL))
+    folder, pointer = str(tmp_path / "build"), str(tmp_path / "current.json")
+    seen = []
+
+    def stop_at(name):
+        plain = Stages.step
+
+        def step(self, stage, work):
+            if stage == name:
+                work(f"{self.folder}/{stage}")  # written, but not recorded
+                raise Killed(stage)
+            return plain(self, stage, work)
+
+        with monkeypatch.context() as m:
+            m.setattr(Stages, "step", step)
+            with pytest.raises(Killed):
+                build(spark, make(), folder, pointer)
+        seen.append({p.name for p in (tmp_path / "build" / "_stages").iterdir() if p.suffix == ".json"})
+        with pytest.raises(Exception, match=MARKER):
+            read_published(spark, folder)
+        with pytest.raises(FileNotFoundError):
+            current_build(spark, pointer)
+
+    for name in ("views/campaign_performance", "exports/model/FactLeads"):
+        stop_at(name)
+    assert seen[0] < seen[1] and "work.lead_steps.json" in seen[0]
+    stamps = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "build" / "_stages").iterdir()}
+    done = build(spark, make(), folder, pointer)
+    assert "exports.model.FactLeads.json" not in stamps and "exports/model/FactLeads" in done.stages
+    assert not {n.replace("/", ".") + ".json" for n in done.stages} & set(stamps)
+    assert all((tmp_path / "build" / "_stages" / n).stat().st_mtime_ns == t for n, t in stamps.items())
+    assert current_build(spark, pointer) == folder
+    whole = registry.built(spark, SMALL)
+    for name in ("fact_leads", "dim_customer"):
+        assert sorted(map(str, read_published(spark, folder)[name].collect())) == sorted(map(str, whole.star[name].collect()))
+    again = build(spark, make(), folder, pointer)
+    assert again.stages == () and again.log.count() == 22
+
+
+def test_a_statement_that_fails_stops_the_build(spark, tmp_path, monkeypatch):
+    raw, reference = registry.delivered(spark, SMALL)
+    cleaning = lambda: Cleaning(raw, reference, *spans(spark, SMALL))
+    folder = str(tmp_path / "build")
+    broken = ("kpi", "broken", lambda v: v.channel_performance.selectExpr("raise_error('no') AS x"))
+    with monkeypatch.context() as m:
+        m.setitem(ANALYSES, "q99", broken)
+        with pytest.raises(RuntimeError, match="q99: ERROR"):
+            build(spark, cleaning(), folder)
+    with pytest.raises(Exception, match=MARKER):
+        read_published(spark, folder)
+    log = spark.createDataFrame([("funnel", 1, "q19", 0, 5, "EMPTY")], "suite string, number int, label string, rows_returned bigint, ms bigint, status string")
+    require_success(log, frozenset({"q19"}))
+    with pytest.raises(RuntimeError, match="q19: EMPTY"):
+        require_success(log)
+    done = build(spark, cleaning(), folder)
+    assert "run_log" in done.stages and "cleaning_log" not in done.stages
+
+
+def test_versions_follow_the_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(3).write.parquet(path)
+    first = version_of(spark, [spark.read.parquet(path)], "a")
+    assert first == version_of(spark, [spark.read.parquet(path)], "a") != version_of(spark, [spark.read.parquet(path)], "b")
+    spark.range(4).write.mode("overwrite").parquet(path)
+    assert first != version_of(spark, [spark.read.parquet(path)], "a")
+    assert version_of(spark, [spark.range(3)]) == version_of(spark, [spark.range(3)]) != version_of(spark, [spark.range(4)])
+    rows = [spark.createDataFrame([(i,)], "i int") for i in range(2)]
+    assert version_of(spark, rows[:1]) != version_of(spark, rows[1:])
+
+
+def test_small_files_are_replaced_as_a_whole(spark, tmp_path):
+    path = str(tmp_path / "a" / "x.json")
+    assert get(spark, path) is None
+    put(spark, path, {"a": "é"})
+    put(spark, path, {"a": 2})
+    assert get(spark, path) == {"a": 2} and [p.name for p in (tmp_path / "a").iterdir() if not p.name.endswith(".crc")] == ["x.json"]

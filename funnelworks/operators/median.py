@@ -36,12 +36,15 @@ def twice_median(
     ``members`` is the reference table the keys come from, if there is one: when it is small, the buckets with the
     middle ranks (two per key at most) are broadcast and the counts are not shuffled again.
     """
-    counts = (
-        df.where(F.col(key).isNotNull() & F.col(value).isNotNull())
-        .groupBy(key, value)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_bucket", _bucket(F.col(value)))
-    )
+    counts = df.where(F.col(key).isNotNull() & F.col(value).isNotNull()).groupBy(key, value).agg(F.count(F.lit(1)).alias("_n"))
+    return twice_median_of_counts(counts, key, value, members, out)
+
+
+def twice_median_of_counts(
+    counts: DataFrame, key: str, value: str, members: DataFrame | None = None, out: str = "twice_median"
+) -> DataFrame:
+    """The same of values that have been counted: one row per key and value, with the count ``_n``."""
+    counts = counts.select(key, value, "_n").withColumn("_bucket", _bucket(F.col(value)))
     along = Window.partitionBy(key).orderBy("_bucket")
     whole = Window.partitionBy(key)
     middle = (

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.labels import score_band
 from ..functions.numeric import n_rows, ratio
 from .measures import Evaluator, Predicate
-from .model import ReportModel
+from .model import UNASSIGNED, ReportModel
 from .views import Views
 
 MONTH, CHANNEL, CAMPAIGN = "DimDate.year_month", "DimChannel.channel_name", "DimCampaign.campaign_name"
@@ -139,10 +139,45 @@ class Reports:
             .orderBy("stage_order")
         )
 
-    def conversion_by_band(self) -> DataFrame:
+    def _sliced(self, rows: DataFrame, filters: dict[str, Predicate] | None, keys: dict[str, tuple[str, str]]) -> DataFrame:
+        """The rows that the filters leave; keys: dimension -> (column of the rows, key of the dimension). Filters of other
+        tables do not reach the rows."""
+        for column, test in (filters or {}).items():
+            table, name = column.split(".")
+            if name not in self.model[table].columns:
+                raise ValueError(f"no column {column!r} in the model")
+            if table in keys:
+                own, key = keys[table]
+                members = self.model[table].where(test(F.col(name))).select(F.col(key).alias("_member")).distinct()
+                own = F.coalesce(own, F.lit(UNASSIGNED)) if table == "DimCampaign" else F.col(own)
+                rows = rows.join(members, own == F.col("_member"), "left_semi")
+        return rows
+
+    def table(self, name: str, filters: dict[str, Predicate] | None = None) -> DataFrame:
+        """RD62, RD63: a table of the model as it is, with the filters on its own columns."""
+        rows = self.model[name]
+        for column, test in (filters or {}).items():
+            table, own = column.split(".")
+            if own not in self.model[table].columns:
+                raise ValueError(f"no column {column!r} in the model")
+            rows = rows.where(test(F.col(own))) if table == name else rows
+        return rows
+
+    def conversion_by_band(self, filters: dict[str, Predicate] | None = None) -> DataFrame:
         """RD23: customers among the leads of a score band. Counted on leads: a band says nothing about deals."""
+        keys = {
+            "DimDate": ("created_date_key", "date_key"),
+            "DimChannel": ("channel_id", "channel_id"),
+            "DimCampaign": ("campaign_id", "campaign_id"),
+            "DimRegion": ("region_id", "region_id"),
+        }
+        months = {c: f for c, f in (filters or {}).items() if c == MONTH}
+        rows = self.views.lead_outcomes  # stored by month
+        for test in months.values():
+            rows = rows.where(test(F.col("year_month")))
+        rest = {c: f for c, f in (filters or {}).items() if c not in months}
         return (
-            self.views.lead_outcomes.groupBy(score_band("lead_score").alias("score_band"))
+            self._sliced(rows, rest, keys).groupBy(score_band("lead_score").alias("score_band"))
             .agg(ratio(F.sum("is_customer"), n_rows()).alias("lead_to_customer_rate"))
             .orderBy("score_band")
         )

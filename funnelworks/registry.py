@@ -26,6 +26,7 @@ from .plans.reconcile import kpi_summary, reconciliation, reconciliation_summary
 from .plans.reports import DATASETS, Reports
 from .plans.suite import run_log
 from .plans.views import Views
+from .schemas import REFERENCE_SCHEMAS
 from .session import together, work_dir
 from .sources.exports import (
     VIEW_NAMES,
@@ -35,8 +36,10 @@ from .sources.exports import (
     read_model,
     read_sample,
     read_view,
+    read_reference,
     sample,
     write_exports,
+    write_reference,
 )
 from .sources.messy import MessyExports
 from .sources.tables import read_published, read_star, write_star, written
@@ -187,8 +190,14 @@ for _ident in DATASETS:
 _on_reports("rd13", lambda r: r.evaluator.evaluate(["leads", "mqls", "sqls", "opportunities", "customers"]))
 _on_reports("rd21", lambda r: r.funnel())
 _on_reports("rd23", lambda r: r.conversion_by_band())
-_on_reports("rd62", lambda r: r.model["DataQualityRowCounts"])
-_on_reports("rd63", lambda r: r.model["CleaningLog"])
+_on_reports("rd62", lambda r: r.table("DataQualityRowCounts"))
+_on_reports("rd63", lambda r: r.table("CleaningLog"))
+_on_reports(
+    "rd23_sliced",
+    lambda r: r.conversion_by_band(
+        {"DimDate.year_month": lambda c: c.between("1996-01", "1996-12"), "DimChannel.is_paid": lambda c: c == 1}
+    ),
+)
 _on_reports("rd_channel_rank", lambda r: r.channel_rank())
 _on_reports("rd_revenue_trend", lambda r: r.revenue_trend())
 _on_reports("rd_biggest_open", lambda r: r.biggest_open())
@@ -227,6 +236,15 @@ def _csv_folder(spark: SparkSession, folder: str) -> str:
     return target
 
 
+@lru_cache(maxsize=8)
+def _reference_folder(spark: SparkSession, folder: str) -> str:
+    target = work_dir(spark, "reference")
+    write_reference(delivered(spark, folder)[1], target)
+    return target
+
+
+for _name in REFERENCE_SCHEMAS:
+    QUERIES[f"csv_{_name}"] = lambda spark, folder, n=_name: _plain(read_reference(spark, _reference_folder(spark, folder))[n])
 QUERIES["csv_corrupt_rows"] = lambda spark, folder: corrupt_rows(spark, _csv_folder(spark, folder))
 
 

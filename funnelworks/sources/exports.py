@@ -120,6 +120,12 @@ def write_exports(exports: Exports, folder: str) -> None:
         write_csv(exports[name].orderBy(POSITION).drop(POSITION), f"{folder}/{EXPORT_FILES[name]}")
 
 
+def write_reference(reference: Reference, folder: str) -> None:
+    """Reference data as CSV, one table per file name; synonyms are not a file."""
+    for name in REFERENCE_SCHEMAS:
+        write_csv(reference[name], f"{folder}/{name}.csv")
+
+
 def sample(df: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
     """The first rows of an export in ingest order."""
     return df.orderBy(POSITION).limit(rows).drop(POSITION)

@@ -349,21 +349,90 @@ DQ_TOTALS = """
 
 
 # ------------------------------------------------------------------ constraints
-def _declared() -> list[tuple[str, str, str, str]]:
-    """(table, constraint, kind, count of failures) for every declared rule, from the declared text itself."""
-    from funnelworks.schemas import CONSTRAINTS, STAR_SCHEMAS
+# The declared rules of the nine tables. Per table: required columns, primary key, unique columns, checks
+# (name: test) and foreign keys (column: table.key).
+_RULES = {
+    "dim_date": (
+        "date_key date year quarter month month_name year_month week day_of_week is_weekend", "date_key", "date",
+        {"month_1_12": "month BETWEEN 1 AND 12", "is_weekend_flag": "is_weekend IN (0, 1)"}, {},
+    ),
+    "dim_channel": (
+        "channel_id channel_name channel_group is_paid", "channel_id", "channel_name", {"is_paid_flag": "is_paid IN (0, 1)"}, {},
+    ),
+    "dim_campaign": (
+        "campaign_id campaign_name channel_id objective start_date", "campaign_id", "campaign_name", {},
+        {"channel_id": "dim_channel.channel_id"},
+    ),
+    "dim_region": ("region_id region_name region_group", "region_id", "region_name", {}, {}),
+    "dim_customer": (
+        "customer_id opportunity_id lead_id acquisition_date_key channel_id region_id company_size business_type plan starting_mrr",
+        "customer_id", "opportunity_id",
+        {
+            "company_size_member": "company_size IN ('1-9', '10-49', '50+')", "plan_member": "plan IN ('Starter', 'Pro', 'Group')",
+            "starting_mrr_positive": "starting_mrr > 0",
+        },
+        {
+            "opportunity_id": "fact_opportunities.opportunity_id", "lead_id": "fact_leads.lead_id",
+            "acquisition_date_key": "dim_date.date_key", "channel_id": "dim_channel.channel_id",
+            "campaign_id": "dim_campaign.campaign_id", "region_id": "dim_region.region_id",
+        },
+    ),
+    "fact_marketing_daily": (
+        "date_key campaign_id channel_id impressions clicks sessions spend", "date_key campaign_id", "",
+        {
+            "impressions_not_negative": "impressions >= 0", "clicks_not_negative": "clicks >= 0",
+            "sessions_not_negative": "sessions >= 0", "spend_not_negative": "spend >= 0",
+            "clicks_within_impressions": "clicks <= impressions",
+        },
+        {"date_key": "dim_date.date_key", "campaign_id": "dim_campaign.campaign_id", "channel_id": "dim_channel.channel_id"},
+    ),
+    "fact_leads": (
+        "lead_id created_date_key channel_id region_id company_size business_type is_mql is_sql", "lead_id", "",
+        {
+            "company_size_member": "company_size IN ('1-9', '10-49', '50+')", "lead_score_0_100": "lead_score BETWEEN 0 AND 100",
+            "is_mql_flag": "is_mql IN (0, 1)", "is_sql_flag": "is_sql IN (0, 1)", "sql_implies_mql": "is_sql <= is_mql",
+        },
+        {
+            "created_date_key": "dim_date.date_key", "channel_id": "dim_channel.channel_id",
+            "campaign_id": "dim_campaign.campaign_id", "region_id": "dim_region.region_id",
+        },
+    ),
+    "fact_opportunities": (
+        "opportunity_id lead_id created_date_key channel_id region_id company_size plan sites status is_won expected_value "
+        "won_value value_imputed",
+        "opportunity_id", "",
+        {
+            "plan_member": "plan IN ('Starter', 'Pro', 'Group')", "sites_at_least_one": "sites >= 1",
+            "status_member": "status IN ('Won', 'Lost', 'Open')", "is_won_flag": "is_won IN (0, 1)",
+            "expected_value_positive": "expected_value > 0", "won_value_not_negative": "won_value >= 0",
+            "sales_cycle_not_negative": "sales_cycle_days >= 0", "value_imputed_flag": "value_imputed IN (0, 1)",
+            "won_deal_has_value": "status <> 'Won' OR won_value > 0",
+        },
+        {
+            "lead_id": "fact_leads.lead_id", "created_date_key": "dim_date.date_key", "close_date_key": "dim_date.date_key",
+            "channel_id": "dim_channel.channel_id", "campaign_id": "dim_campaign.campaign_id", "region_id": "dim_region.region_id",
+        },
+    ),
+    "fact_customer_monthly": (
+        "customer_id year_month month_key mrr is_active is_churned", "customer_id year_month", "",
+        {"mrr_not_negative": "mrr >= 0", "is_active_flag": "is_active IN (0, 1)", "is_churned_flag": "is_churned IN (0, 1)"},
+        {"customer_id": "dim_customer.customer_id", "month_key": "dim_date.date_key"},
+    ),
+}
+
 
+def _declared() -> list[tuple[str, str, str, str]]:
+    """(table, constraint, kind, count of failures) for every declared rule."""
     rows = []
-    for t, r in CONSTRAINTS.items():
-        for c in STAR_SCHEMAS[t]:
-            if c not in r.nullable:
-                rows.append((t, f"{c} not null", "NOT NULL", _where(t, f'"{c}" IS NULL')))
-        rows += [(t, n, "CHECK", _where(t, f"NOT ({test})")) for n, test in r.checks.items()]
-        for keys, kind in [(r.primary_key, "PRIMARY KEY"), *[(u, "UNIQUE") for u in r.unique]]:
+    for t, (required, key, unique, checks, foreign) in _RULES.items():
+        rows += [(t, f"{c} not null", "NOT NULL", _where(t, f'"{c}" IS NULL')) for c in required.split()]
+        rows += [(t, n, "CHECK", _where(t, f"NOT ({test})")) for n, test in checks.items()]
+        for keys, kind in [(key.split(), "PRIMARY KEY"), *[([u], "UNIQUE") for u in unique.split()]]:
             quoted = ", ".join(f'"{k}"' for k in keys)
             rows.append((t, ", ".join(keys), kind, _repeats(t, quoted)))
-        for c, (parent, key) in r.foreign.items():
-            orphan = f"{c} IS NOT NULL AND {c} NOT IN (SELECT {key} FROM {parent} WHERE {key} IS NOT NULL)"
+        for c, target in foreign.items():
+            parent, column = target.split(".")
+            orphan = f"{c} IS NOT NULL AND {c} NOT IN (SELECT {column} FROM {parent} WHERE {column} IS NOT NULL)"
             rows.append((t, f"{c} -> {parent}", "FOREIGN KEY", _where(t, orphan)))
     return rows
 

@@ -259,6 +259,11 @@ REPORT_QUERIES = {
                     WHEN lead_score >= 80 THEN '80-100' ELSE 'Unknown' END AS score_band,
                {div("sum(is_customer)", "count(*)")} AS lead_to_customer_rate
         FROM v0 GROUP BY 1""",
+    "rd23_sliced": f"""
+        SELECT CASE WHEN lead_score < 40 THEN '0-39' WHEN lead_score < 60 THEN '40-59' WHEN lead_score < 80 THEN '60-79'
+                    WHEN lead_score >= 80 THEN '80-100' ELSE 'Unknown' END AS score_band,
+               {div("sum(is_customer)", "count(*)")} AS lead_to_customer_rate
+        FROM v0 JOIN dim_channel USING (channel_id) WHERE is_paid = 1 AND year_month BETWEEN '1996-01' AND '1996-12' GROUP BY 1""",
     "rd61": """
         SELECT description, sum(raw)::BIGINT AS issues_found_raw, sum(clean)::BIGINT AS issues_after_cleaning
         FROM dq_results GROUP BY description""",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from .analyses import ANALYSIS_QUERIES
 from funnelworks.plans.analyses import ANALYSES
 from funnelworks.registry import BY_REGION, FACT_MEASURES, MONTHLY_CHANGE, TOTAL_MEASURES
-from funnelworks.schemas import EXPORT_SCHEMAS, STAR_SCHEMAS
+from funnelworks.schemas import EXPORT_SCHEMAS, REFERENCE_SCHEMAS, STAR_SCHEMAS
 
 from .clean import (
     CLEAN_STAR_STEPS,
@@ -129,6 +129,14 @@ _EXPORTED = {
 }
 EXPECTED.update({n: EXPECTED[of] for n, of in _EXPORTED.items()})
 
+# reference data that was written as CSV and read back
+EXPECTED.update(
+    {
+        f"csv_{n}": compose(CLEAN_STEPS, plain(REFERENCE_SCHEMAS[n], t))
+        for n, t in {"channels": "dim_channel", "campaigns": "dim_campaign", "regions": "dim_region"}.items()
+    }
+)
+
 # rows of everything that is published
 _VIEW_STEPS = {
     "channel_performance": "v1", "campaign_performance": "v2", "funnel": "v3", "monthly_management": "v4", "opportunity_detail": "v5",

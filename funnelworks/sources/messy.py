@@ -47,7 +47,7 @@ class MessyExports:
         campaigns = self.w.dim_campaign().select("campaign_id", "campaign_name")
         channels = self.w.dim_channel().select("channel_id", "channel_name")
         date = (
-            F.when(_every(k, 211, 5), F.concat(F.year("day").cast("string"), F.lit("-02-30")))
+            F.when(_every(k, 211, 5), F.concat(F.year("day").cast("string"), F.lit("-06-31")))
             .when(_every(k, 211, 9), None)
             .when(_every(k, 211, 17), F.date_format("day", "yyyy-M-d"))
             .otherwise(_iso("day"))
@@ -59,7 +59,7 @@ class MessyExports:
         )
         spend = (
             F.when(_every(k, 101, 2), -F.col("spend"))
-            .when(_every(k, 307, 4), F.col("spend") * 100)
+            .when(_every(k, 307, 4), F.col("spend") * 64)
             .otherwise(F.col("spend"))
         )
         rows = _copies(
@@ -70,7 +70,7 @@ class MessyExports:
             channel.alias("channel"),
             F.col("campaign_name").alias("campaign"),
             "impressions",
-            F.when(_every(k, 89, 6), F.col("impressions") + 40).otherwise(F.col("clicks")).alias("clicks"),
+            F.when(_every(k, 89, 6), F.col("impressions") + 25).otherwise(F.col("clicks")).alias("clicks"),
             "sessions",
             (spend + F.when(F.col("copy") == 2, 1).otherwise(0)).cast(MONEY).alias("spend"),
             (date_key("day").cast("bigint") * 1000 + F.col("campaign_id") * 10 + F.col("copy")).alias(POSITION),
@@ -103,7 +103,7 @@ class MessyExports:
         ).otherwise(F.col("company_size"))
         score = (
             F.when(_every(k, 500, 9), None)
-            .when(_every(k, 500, 11), F.lit(999.0))
+            .when(_every(k, 500, 11), F.lit(4321.0))
             .otherwise(F.col("lead_score").cast("double"))
         )
         rows = _copies(
@@ -113,7 +113,7 @@ class MessyExports:
             F.when(~_every(k, 331, 7), k).alias("lead_id"),
             F.concat(_iso("created"), F.lit(" "), clock).alias("created_at"),
             channel.alias("channel"),
-            F.coalesce(campaign, F.lit("Summer Promo TEST")).alias("campaign"),
+            F.coalesce(campaign, F.lit("Untracked push")).alias("campaign"),
             region.alias("region"),
             size.alias("company_size"),
             "business_type",

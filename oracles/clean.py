@@ -16,14 +16,14 @@ RAW = {
                                   lambda x: x IS NOT NULL)) AS copy
         FROM marketing_base""",
     "raw_marketing": f"""
-        SELECT CASE WHEN k % 211 = 5 THEN year("day")::VARCHAR || '-02-30' WHEN k % 211 = 9 THEN NULL
+        SELECT CASE WHEN k % 211 = 5 THEN year("day")::VARCHAR || '-06-31' WHEN k % 211 = 9 THEN NULL
                     WHEN k % 211 = 17 THEN year("day") || '-' || month("day") || '-' || day("day")
                     ELSE strftime("day", {ISO}) END AS "date",
                CASE k % 50 WHEN 7 THEN lower(channel_name) || ' ' WHEN 11 THEN {NB} || channel_name
                            ELSE channel_name END AS channel,
                campaign_name AS campaign, impressions,
-               CASE WHEN k % 89 = 6 THEN impressions + 40 ELSE clicks END AS clicks, sessions,
-               (spend * CASE WHEN k % 101 = 2 THEN -1 WHEN k % 307 = 4 THEN 100 ELSE 1 END
+               CASE WHEN k % 89 = 6 THEN impressions + 25 ELSE clicks END AS clicks, sessions,
+               (spend * CASE WHEN k % 101 = 2 THEN -1 WHEN k % 307 = 4 THEN 64 ELSE 1 END
                 + (copy = 2)::INTEGER)::DECIMAL(18,2) AS spend,
                dk * 1000 + campaign_id * 10 + copy AS _pos
         FROM raw_marketing_rows JOIN dim_channel USING (channel_id) JOIN dim_campaign USING (campaign_id)""",
@@ -34,12 +34,12 @@ RAW = {
                CASE k % 50 WHEN 7 THEN lower(channel_name) || ' ' WHEN 11 THEN '  ' || channel_name
                            ELSE channel_name END AS channel,
                coalesce(CASE WHEN k % 45 = 4 THEN replace(upper(campaign_name), ' ', {NB} || ' ') ELSE campaign_name END,
-                        'Summer Promo TEST') AS campaign,
+                        'Untracked push') AS campaign,
                CASE k % 40 WHEN 3 THEN lower(region_name) || ' ' WHEN 5 THEN 'Land ' || region_id ELSE region_name END AS region,
                CASE WHEN k % 30 = 4 THEN replace(replace(company_size, '-', ' - '), '+', ' +') ELSE company_size END
                    AS company_size,
                business_type,
-               CASE WHEN k % 500 = 9 THEN NULL WHEN k % 500 = 11 THEN 999 ELSE lead_score END::DOUBLE + copy AS lead_score,
+               CASE WHEN k % 500 = 9 THEN NULL WHEN k % 500 = 11 THEN 4321 ELSE lead_score END::DOUBLE + copy AS lead_score,
                is_mql, is_sql, k * 10 + copy AS _pos
         FROM (SELECT * RENAME (lead_id AS k), unnest(if(lead_id % 61 = 2, [0, 1], [0])) AS copy FROM lead_base)
              LEFT JOIN dim_campaign USING (campaign_id) JOIN dim_region USING (region_id)""",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,11 +16,9 @@ from .shared import over_batches, slices
 #: Lines of a window, and the characters that a window must have where the text surges.
 WINDOW, SURGE = 3, 60
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)"
-    r"|</?(?P<tag>[a-z][^\s/>\"'<=]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
-    re.S | re.I,
-)
+_DECLARED = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)", re.S)
+_NAME = re.compile(r"</?([a-z][^\s/>\"'<=]*)", re.I)
+_STOP = re.compile(r">|=\s*([\"'])")
 _NAMES = re.compile(r"\b(?:class|id|role|aria-label|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 #: Elements that never hold main text, elements that do not break a line, elements without content.
 ASIDE = frozenset("nav header footer aside form menu button select dialog fieldset head".split())
@@ -53,6 +52,39 @@ _MARKS = re.compile(
 _TOP = re.compile(r"(?:^|[\s_-])(?:header|masthead|topbar)(?:$|[\s_-])", re.I)
 
 
+def tokens(page: str) -> Iterator[tuple[int, int, str, str]]:
+    """(start, end, name, attributes) of the tags of a page; comments and declarations have no name. A quoted value hides
+    what it encloses. Where a quoted tag does not end, from there on tags end at the next >, quotes or not, so a page is read once;
+    a tag without any > is text. After each tag, the caller may send the place to go on from."""
+    at, quoted = 0, True
+    while (start := page.find("<", at)) >= 0:
+        if page.startswith(("<!", "<?"), start):
+            end = _DECLARED.match(page, start).end()
+            at = (yield start, end, "", "") or end
+            continue
+        name = _NAME.match(page, start)
+        if not name:
+            at = start + 1
+            continue
+        end = name.end()
+        while quoted and (stop := _STOP.search(page, end)):
+            if stop[0] == ">":
+                end = stop.end()
+                break
+            close = page.find(stop[1], stop.end())
+            if close < 0:
+                quoted = False
+                break
+            end = close + 1
+        else:
+            quoted = False
+        if not quoted:
+            end = page.find(">", name.end()) + 1
+            if not end:
+                return
+        at = (yield start, end, name[1], page[name.end() : end - 1]) or end
+
+
 def lines(page: str, marked: bool = True) -> list[tuple[str, int, bool, bool]]:
     """The lines of a page without markup: text, characters within links, whether boilerplate markup holds the line (by
     elements, and by class, id and role if `marked`), and whether an article or main element does. A block element starts and ends a line; references are decoded."""
@@ -60,6 +92,9 @@ def lines(page: str, marked: bool = True) -> list[tuple[str, int, bool, bool]]:
     parts: list[str] = []
     linked = 0
     stack: list[tuple[str, bool, bool]] = []  # open elements: name, boilerplate, main
+    opened: Counter[str] = Counter()  # how many are open of each name
+    aside_at: list[int] = []  # where boilerplate is open in the stack,
+    foreign_at: list[int] = []  # and elements that are foreign or hold what is not
     aside = main = links = hidden = foreign = 0
     last: dict[str, int] = {}  # where the last end tag of a hidden element starts
 
@@ -74,12 +109,16 @@ def lines(page: str, marked: bool = True) -> list[tuple[str, int, bool, bool]]:
     def close(upto: int) -> None:
         nonlocal aside, main, links, hidden, foreign
         for name, is_aside, is_main in stack[upto:]:
+            opened[name] -= 1
             aside -= is_aside
             main -= is_main
             links -= name == "a"
             hidden -= name in HIDDEN
             foreign -= name in FOREIGN
         del stack[upto:]
+        for places in (aside_at, foreign_at):
+            while places and places[-1] >= upto:
+                places.pop()
 
     def add(start: int, end: int) -> None:
         nonlocal linked
@@ -88,35 +127,37 @@ def lines(page: str, marked: bool = True) -> list[tuple[str, int, bool, bool]]:
             linked += (end - start) if links else 0
 
     at = 0
-    while m := _TOKEN.search(page, at):
-        add(at, m.start())
-        at = m.end()
-        if not m["tag"]:
+    found = tokens(page)
+    onward = None
+    while True:
+        try:
+            start, end, name, attrs = found.send(onward)
+        except StopIteration:
+            break
+        onward = None
+        add(at, start)
+        at = end
+        if not name:
             continue
-        name, ends = m["tag"].lower(), m.group().startswith("</")
+        name, ends = name.lower(), page.startswith("</", start)
         if foreign and not ends and name in BREAKOUT:
-            while foreign:
-                i = next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] in FOREIGN or stack[i][0] in HOLDING)
-                if stack[i][0] in HOLDING:
-                    break
-                close(i)
-        if not ends and name in RAW and m["attrs"][:1] in ("", "/", *" \t\n\f\r"):
-            if foreign and m["attrs"].endswith("/"):
+            while foreign and stack[foreign_at[-1]][0] not in HOLDING:
+                close(foreign_at[-1])
+        if not ends and name in RAW and attrs[:1] in ("", "/", *" \t\n\f\r"):
+            if foreign and attrs.endswith("/"):
                 continue
             if name in ("title", "textarea", "iframe") and not hidden and not foreign:
                 flush()
             over = RAW[name].search(page, at)
-            at = over.end() if over else len(page)
+            at = onward = over.end() if over else len(page)
             continue
         if name not in INLINE and not hidden and not foreign:
             flush()
         if ends:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    close(i)
-                    break
+            if opened[name]:
+                close(next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name))
             continue
-        if name in VOID or m["attrs"].endswith("/"):
+        if name in VOID or attrs.endswith("/"):
             continue
         if name in HIDDEN:
             if name not in last:
@@ -125,16 +166,21 @@ def lines(page: str, marked: bool = True) -> list[tuple[str, int, bool, bool]]:
                 continue
         if name == "body":
             close(0)  # a head that is not closed ends here
-        marks = " ".join(a or b or c for a, b, c in _NAMES.findall(m["attrs"])) if "=" in m["attrs"] else ""
+        marks = " ".join(a or b or c for a, b, c in _NAMES.findall(attrs)) if "=" in attrs else ""
         is_main = name in MAIN or marks == "main"
         is_aside = name in ASIDE and not (name == "header" and main)
         if marked and marks and name != "body":
             is_aside |= bool(_MARKS.search(marks)) or bool(not main and _TOP.search(marks))
         if is_main and not is_aside and aside and not main and not hidden:
-            close(next(i for i, s in enumerate(stack) if s[1]))  # a menu that is not closed ends where the article starts
+            close(aside_at[0])  # a menu that is not closed ends where the article starts
         if name in ("p", "li") and stack and stack[-1][0] == name:
             close(len(stack) - 1)
+        if is_aside:
+            aside_at.append(len(stack))
+        if name in FOREIGN or name in HOLDING:
+            foreign_at.append(len(stack))
         stack.append((name, is_aside, is_main and not is_aside))
+        opened[name] += 1
         aside += is_aside
         main += is_main and not is_aside
         links += name == "a"
@@ -148,12 +194,11 @@ def lines(page: str, marked: bool = True) -> list[tuple[str, int, bool, bool]]:
 def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str:
     """Text between the first surge and the last dive of the distribution, without what markup says is boilerplate.
 
-    Where article or main elements hold more than half of the text that is not boilerplate by markup, it is all of theirs.
-    Else boilerplate lines are left out beforehand, so no text ends at them, and a line weighs its characters outside links,
-    or all within an article. Weights are summed over sliding windows. Text surges where a window that starts with a line of
-    weight reaches `surge` characters, and at any line of an article; it dives where a whole window has none. All lines from
-    the first surge to the dive after the last one stay, links too. If classes mark the whole page as boilerplate, they are
-    not heeded.
+    Boilerplate lines are left out beforehand, so no text ends at them. A line weighs its characters outside links, or all
+    within an article or main element; where such elements hold more than half of the weight, lines outside of them weigh
+    nothing. Weights are summed over sliding windows, which decide where text surges and where it dives (see `between`).
+    All lines in between stay, links too, except those that weigh nothing because they stand outside of the article. If classes
+    mark the whole page as boilerplate, they are not heeded.
     """
     rows = lines(page or "")
     if rows and all(aside for _, _, aside, _ in rows):
@@ -162,15 +207,26 @@ def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str
     texts = [text for text, _, _ in rows]
     weight = np.array([w for _, w, _ in rows], np.int64)
     main = np.array([m for _, _, m in rows], bool)
-    if not weight.any():
-        return ""
+    stays = np.ones(len(rows), bool)
     if 2 * weight[main].sum() > weight.sum():
-        return " ".join(text for text, _, is_main in rows if is_main)
-    ahead = np.convolve(weight, np.ones(window, np.int64))[window - 1 :]  # from each line on
-    surges = np.flatnonzero(main | ((weight > 0) & (ahead >= min(surge, int(ahead.max())))))
+        weight[~main], stays = 0, main
+    start, end = between(weight, main, window, surge)
+    return " ".join(texts[i] for i in range(start, end) if stays[i])
+
+
+def between(weight: np.ndarray, main: np.ndarray, window: int, surge: int) -> tuple[int, int]:
+    """The lines from the first surge to the dive after the last one. The window of a line starts with it; beyond the last line
+    there is no weight. Text surges at a line of weight whose window reaches `surge`, or the most that any window has,
+    and at every line of an article that has weight. It dives at a line whose whole window has none."""
+    if not weight.any():
+        return 0, 0
+    ahead = np.convolve(weight, np.ones(window, np.int64))[window - 1 :]
+    surges = np.flatnonzero((weight > 0) & (main | (ahead >= min(surge, int(ahead.max())))))
+    if not len(surges):
+        return 0, 0
     dives = np.flatnonzero(ahead == 0)
     dives = dives[dives > surges[-1]]
-    return " ".join(texts[surges[0] : dives[0] if len(dives) else len(texts)])
+    return int(surges[0]), int(dives[0]) if len(dives) else len(weight)
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -273,3 +273,66 @@ def test_text_outside_of_articles(page, want):
 def test_very_long_page():
     page = "<body><article>" + "<p>" + "word " * 400 + "</p>" * 1 + "<p>x</p>" * 20_000 + "</article>"
     assert len(html.main_text(page)) == 400 * 5 - 1 + 20_000 * 2
+
+
+def windows_by_hand(weight, main, window, surge):
+    ahead = [sum(weight[i : i + window]) for i in range(len(weight))]
+    most = max(ahead, default=0)
+    up = [i for i, w in enumerate(weight) if w > 0 and (main[i] or ahead[i] >= min(surge, most))]
+    if not up:
+        return 0, 0
+    down = [i for i in range(up[-1] + 1, len(weight)) if ahead[i] == 0]
+    return up[0], down[0] if down else len(weight)
+
+
+def test_surges_and_dives_of_random_lines():
+    rng = np.random.default_rng(8)
+    for _ in range(2000):
+        n = int(rng.integers(0, 30))
+        weight = np.where(rng.random(n) < 0.5, 0, rng.integers(1, 60, n))
+        main = rng.random(n) < rng.choice([0, 0.3])
+        window, surge = int(rng.integers(1, 6)), int(rng.integers(1, 120))
+        assert html.between(weight, main, window, surge) == windows_by_hand(weight.tolist(), main.tolist(), window, surge)
+
+
+def test_windows_decide_every_page(spark, monkeypatch):
+    """The text of each given page is what the surge and the dive leave, also where nothing marks an article."""
+    calls = []
+    plain = html.between
+    monkeypatch.setattr(html, "between", lambda *a: calls.append(plain(*a)) or calls[-1])
+    pages = [r.html for r in spark.read.parquet(f"{SMALL}/pages.parquet").collect()]
+    for page in pages:
+        body = re.search(r"<article>(.*?)</article>", page, re.S)[1]
+        text = html.main_text(page)
+        without = html.main_text(page.replace("<article>", "<div>").replace("</article>", "</div>"))
+        assert text and (without == text or without in text and len(without) > 0.8 * len(text)), body
+    assert len(calls) == 2 * len(pages) and all(a < b for a, b in calls)
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        '<a "' * 1_250_000,
+        '<a href="' * 550_000,
+        "<a href='x\" " * 400_000,
+        "<div>x" * 100_000 + "</span>y" * 100_000,
+        "<svg><foreignobject>" + "<div><p>x" * 100_000,
+        "<div>" * 50_000 + "<nav>a<article>b</article>" * 20_000,
+        "<" * 3_000_000,
+        "</p>" * 500_000 + "<!-- " * 300_000,
+    ],
+)
+def test_large_broken_pages_take_seconds(page):
+    import time
+
+    start = time.perf_counter()
+    html.main_text(f"<body>{page}")
+    assert time.perf_counter() - start < 15
+
+
+def test_quotes_in_tags():
+    long = "a sentence that is long enough to be taken for text by the windows of the page"
+    assert html.main_text(f"<p don't>{long}, it's true</p>") == f"{long}, it's true"
+    assert html.main_text(f'<p title="a > b">{long}</p>') == long
+    assert html.main_text(f"<p title = 'a \" > b'>{long}</p><p class=x\"y>{long}</p>") == f"{long} {long}"
+    assert html.main_text(f'<p title="never closed>{long}</p><p>{long}</p>').endswith(long)

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from .shared import stored
 
-#: Runs that the rows are dealt to, and how many of them meet in one merge.
-RUNS, FAN_IN = 64, 8
+#: Rows of a run and of a range of digests (about, at most), and the fewest runs that rows are dealt to.
+RUN_ROWS, LEAST_RUNS = 1 << 20, 16
 _WHITE = " \t\n\x0b\x0c\r"
 
 
@@ -20,14 +20,29 @@ def normalised(text: Column) -> Column:
     return out
 
 
-def keep_one(documents: DataFrame, runs: int = RUNS, fan_in: int = FAN_IN) -> DataFrame:
+def runs_for(rows: int) -> int:
+    """A power of two, so that rounds of pairs end with one run."""
+    return max(LEAST_RUNS, 1 << max(rows // RUN_ROWS, 1).bit_length())
+
+
+def merged(runs: DataFrame, fan_in: int) -> DataFrame:
+    """One round: of each `fan_in` neighbouring runs, the others go to the first, and all are merged by one pass over their
+    rows in order of digest. Of each digest, the best candidate stays and the members add up. Runs of one range of digests
+    meet in one task, those of different ranges do not."""
+    together = runs.withColumn("run", F.expr(f"run div {fan_in}").cast("int"))
+    sorted_runs = together.repartition("range", "run").sortWithinPartitions("range", "run", "digest", "bytes")
+    return sorted_runs.groupBy("range", "run", "digest", "bytes").agg(F.min("best").alias("best"), F.sum("members").alias("members"))
+
+
+def keep_one(documents: DataFrame, runs: int | None = None, fan_in: int = 2) -> DataFrame:
     """Per document: doc_id, keep_id, group_size, kept and text_sha256.
 
-    Every row gets the digest of its normalised text and a run. Within a run, rows of equal digest are reduced to the best
-    candidate; then `fan_in` runs are merged at a time, level by level, until one is left. A merge sorts the rows of its
-    runs by digest and keeps, of each digest, the candidate with the most code points, then the smallest doc_id. Digests
-    only meet if the normalised texts are of equal length too. The verdict goes down the same tree, from a merged run
-    to the runs it was made of: a text that a third of all rows share is dealt to `runs` tasks on the way up and down.
+    Every row gets the digest of its normalised text, the range that the digest lies in, and a run; the number of ranges and of
+    runs follow from the number of rows. Within a run, rows of equal digest are reduced to the best candidate, the one with
+    the most code points, then the smallest doc_id. Then the runs of a range are exchanged and merged in rounds, in each of
+    which run 2i + 1 goes to run 2i (or `fan_in` runs to the first of them), until every range has one run. Digests only meet if the
+    normalised texts are of equal length too. The verdict goes back to the first runs, and from these to their rows: a
+    text that a third of all rows share is dealt to all runs on the way up and down.
 
     Missing and empty texts are one group. A missing doc_id counts as the largest; of repeated rows, one stays. Other
     columns are ignored.
@@ -37,34 +52,31 @@ def keep_one(documents: DataFrame, runs: int = RUNS, fan_in: int = FAN_IN) -> Da
         "doc_id", "chars", F.sha2("clean", 256).alias("digest"), F.octet_length("clean").alias("bytes"),
         F.monotonically_increasing_id().alias("row"),
     )
-    rows = stored(rows, "digests").withColumn("run", F.pmod(F.xxhash64("row"), F.lit(runs)).cast("int"))
+    rows = stored(rows, "digests")
+    number = rows.count()
+    left = runs_for(number) if runs is None else runs
+    ranges = max(number // RUN_ROWS, 1)
+    lead = F.conv(F.substring("digest", 1, 8), 16, 10).cast("long")
+    rows = rows.withColumns({
+        "run": F.pmod(F.xxhash64("row"), F.lit(left)).cast("int"),
+        "range": F.floor(lead * ranges / 2**32).cast("int"),
+    })
     rank = F.struct((-F.col("chars")).alias("less"), F.col("doc_id").isNull().alias("unknown"), "doc_id", "row")
-    key = ["digest", "bytes", "run"]
-    levels = [rows.groupBy(*key).agg(F.min(rank).alias("best"), F.count("*").alias("members"))]
-    left = runs
+    key = ["range", "run", "digest", "bytes"]
+    first = stored(rows.groupBy(*key).agg(F.min(rank).alias("best"), F.count("*").alias("members")), "runs")
+    verdict = first
     while left > 1:
-        merged = levels[-1].withColumn("run", F.expr(f"run div {fan_in}").cast("int"))
-        levels.append(merged.groupBy(*key).agg(F.min("best").alias("best"), F.sum("members").alias("members")))
+        verdict = stored(merged(verdict, fan_in), "merge-round")
         left = -(-left // fan_in)
-    verdict = levels.pop()
-    for below in [*reversed(levels), rows]:
-        if below is rows:
-            keys = below.select("doc_id", "row", *key)
-            break
-        verdict = _down(below.select(*key), verdict, fan_in)
-    found = keys.join(verdict, key)
+    verdict = verdict.select("digest", "bytes", F.col("best").alias("stays"), F.col("members").alias("group_size"))
+    back = stored(first.drop("best", "members").join(verdict, ["digest", "bytes"]), "verdicts")
+    found = rows.select("doc_id", "row", *key).join(back, key)
     return found.select(
-        "doc_id", F.col("best.doc_id").alias("keep_id"), F.col("members").alias("group_size"),
-        (F.col("row") == F.col("best.row")).alias("kept"), F.col("digest").alias("text_sha256"),
+        "doc_id", F.col("stays.doc_id").alias("keep_id"), "group_size", (F.col("row") == F.col("stays.row")).alias("kept"),
+        F.col("digest").alias("text_sha256"),
     )
 
 
-def _down(runs: DataFrame, verdict: DataFrame, fan_in: int) -> DataFrame:
-    """The verdict of the merged runs for each of the runs below."""
-    above = verdict.withColumnRenamed("run", "above")
-    return runs.withColumn("above", F.expr(f"run div {fan_in}").cast("int")).join(above, ["digest", "bytes", "above"]).drop("above")
-
-
 ORACLE = r"""
 WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS chars,
                   sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256 FROM documents),

@@ -203,14 +203,19 @@ def test_benchmark_items(spark, corpus, nothing):
     bench = spark.createDataFrame(items, "item_id long, text string").withColumn("doc_id", F.lit("extra")).withColumn("hash", F.lit(1))
     found = decontaminate.contained(df, bench).collect()
     want = set()
-    docs = {(d, t): shingled(t, 5) for d, t in rows}
+    short = lambda t: min(len((t or "").split()), 5)
+    docs = {(d, t): {k: frozenset() if short(t) < k else shingled(t, k) for k in range(1, 6)} for d, t in rows}
     for item, text in set(items):
         s = shingled(text, 5)
-        for (d, t), have in docs.items():
+        for (d, t), runs in docs.items():
+            have = runs[max(short(text), 1)]
             if s and len(s & have) >= 0.8 * len(s) - 1e-9:
                 want.add((d, item, len(s), len(s & have)))
     assert {(r.doc_id, r.item_id, r.item_shingles, r.shared) for r in found} == want and len(want) > 5
     assert all(r.containment == r.shared / r.item_shingles for r in found)
+    assert {(r.doc_id, r.item_id) for r in found} >= {(9003, 2), (9011, 2)}  # short items within longer documents
+    passes = decontaminate.contained(df, bench, broadcast_rows=40).collect()
+    assert sorted(map(str, passes)) == sorted(map(str, found))
     assert decontaminate.contained(nothing, bench).count() == 0
     assert decontaminate.contained(df, bench.limit(0)).count() == 0
 
@@ -227,3 +232,55 @@ def test_signatures_cannot_miss(spark):
         docs.append((i, " ".join(["before"] * 3 + w[at : at + keep] + ["after"] * 3)))
     found = decontaminate.contained(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
     assert {(r.doc_id, r.item_id) for r in found.collect()} >= {(i, i) for i in range(55)}
+
+
+def test_short_items_are_found_wherever_they_stand(spark):
+    text = "zero one two three four five six seven eight nine"
+    docs = spark.createDataFrame([(1, text), (2, "three four"), (3, "four three"), (4, "")], "doc_id long, text string")
+    items = [(k, " ".join(text.split()[3 : 3 + k])) for k in range(1, 6)] + [(9, "three five"), (10, " ")]
+    found = decontaminate.contained(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(1, k) for k in range(1, 6)} | {(2, 1), (2, 2), (3, 1)}
+    assert all(r.item_shingles == r.shared == 1 for r in found)
+
+
+def test_many_signatures_never_shuffle_shingles(spark, tmp_path):
+    docs = spark.range(30).selectExpr("id AS doc_id", "concat_ws(' ', transform(sequence(0, 30), i -> concat('w', id, 'x', i))) AS text")
+    items = docs.where("doc_id % 3 = 0").selectExpr("doc_id AS item_id", "text")
+    tokens = docs.select("doc_id", F.xxhash64("text").alias("row_key"), decontaminate.words(F.col("text")).alias("words"))
+    signature = items.select("item_id", F.col("item_id").alias("item_key"), F.lit(5).alias("run"), F.xxhash64("text").alias("hash"))
+    plan = decontaminate._hits(tokens, signature, 5, F.col("run") == 5)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    found = decontaminate.contained(docs, items, broadcast_rows=10)
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == {(i, i) for i in range(0, 30, 3)}
+
+
+@pytest.mark.parametrize("runs,fan_in,rounds", [(16, 2, 4), (1, 2, 0), (7, 2, 3), (27, 3, 3), (64, 8, 2)])
+def test_runs_are_merged_in_rounds(spark, monkeypatch, runs, fan_in, rounds):
+    """Each round leaves a run of every `fan_in`, sorted by digest, each digest once; the last round leaves one per range."""
+    monkeypatch.setattr(exact, "RUN_ROWS", 500)
+    written = []
+    plain = exact.stored
+    monkeypatch.setattr(exact, "stored", lambda df, purpose: written.append((purpose, plain(df, purpose))) or written[-1][1])
+    df = spark.range(2000).selectExpr("id AS doc_id", "concat('text ', id % 700) AS text")
+    got = exact.keep_one(df, runs=runs, fan_in=fan_in).collect()
+    assert all(r.keep_id == r.doc_id % 700 and r.group_size == len(range(r.keep_id, 2000, 700)) for r in got) and len(got) == 2000
+    levels = [frame for purpose, frame in written if purpose == "merge-round"]
+    assert len(levels) == rounds
+    left = runs
+    for level in levels:
+        left = -(-left // fan_in)
+        rows = level.collect()
+        assert {r.run for r in rows} <= set(range(left)) and len({(r.run, r.digest) for r in rows}) == len(rows)
+        assert sum(r.members for r in rows) == 2000
+    if levels:
+        assert {r.range for r in levels[-1].collect()} == {0, 1, 2, 3}
+
+
+def test_a_merge_is_one_pass_over_sorted_runs(spark):
+    runs = spark.createDataFrame([], "range int, run int, digest string, bytes int, best struct<less:int,doc_id:bigint>, members bigint")
+    plan = exact.merged(runs, 2)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("Sort [") == 1 and "SortAggregate" in plan and "Python" not in plan
+
+
+def test_runs_grow_with_the_rows():
+    assert [exact.runs_for(n) for n in (0, 10, 1 << 24, 1 << 30)] == [16, 16, 32, 2048]

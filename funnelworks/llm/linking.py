@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import CACHED_BYTES, over_batches, slices, stored
+from .shared import CACHED_BYTES, dropped, over_batches, slices, stored
 
 #: Bits of a sieve (8 MB at any scale).
 SIEVE_BITS = 1 << 26
@@ -56,18 +56,29 @@ def sifted(df: DataFrame, column: str, bits: np.ndarray) -> DataFrame:
     return over_batches(df, work, ", ".join(f"`{c}` {k}" for c, k in df.dtypes))
 
 
+def met(rows: DataFrame, of: DataFrame, key: str) -> DataFrame:
+    """Rows with the columns that `of` has for their key. `of` comes from an aggregation by the key, whose partitioning a
+    plain join would take over, and a hot key with it; on the key and its hash, both sides are dealt anew, and adaptive
+    execution can split what is too much for a task."""
+    of = of.withColumnRenamed(key, "_key")
+    same = (F.col(key) == F.col("_key")) & (F.xxhash64(key) == F.xxhash64("_key"))
+    return rows.join(of, same).drop("_key")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component): the smallest node that each end of a link (a, b) can reach. Alternates large and small stars:
-    every node is linked to the smallest of its neighbours instead, until nothing changes."""
+    every node is linked to the smallest of its neighbours instead, until nothing changes. A round's links are removed
+    once the next ones are written."""
     edges = stored(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
     seen = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("low"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("low").alias("v"))
+        large = met(both.where("v > u"), low, "u").select(F.col("v").alias("u"), F.col("low").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("low"))
-        small = large.join(least, "u").where("v <> low").select(F.col("v").alias("u"), F.col("low").alias("v"))
-        edges = stored(small.unionByName(least.withColumnRenamed("low", "v")).distinct(), "edges")
+        small = met(large, least, "u").where("v <> low").select(F.col("v").alias("u"), F.col("low").alias("v"))
+        before, edges = edges, stored(small.unionByName(least.withColumnRenamed("low", "v")).distinct(), "edges")
+        dropped(before)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == seen:
             break

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .linking import Sets, linked, members_of, sieve, sifted
+from .linking import Sets, linked, members_of, met, sieve, sifted
 from .shared import CACHED_BYTES, LAST, distinct, lower_ascii, mixed, over_batches, run_hashes, slices, stored, text_bytes, word_bounds, word_hashes
 
 SHARE, HALVES, ROWS = (4, 5), 14, 3
@@ -136,7 +136,7 @@ def groups(documents: DataFrame, size: int = 2, share: tuple[int, int] = SHARE)
     component = linked(buckets, fetch, shingle_sets(size), share)
     place = best.join(component, "node", "left").select("node", "best", F.coalesce("component", "node").alias("component"))
     root = place.groupBy("component").agg(F.min("best").alias("root"))
-    verdict = place.join(root, "component").select("node", "root")
+    verdict = met(place, root, "component").select("node", "root")
     out = signatures.drop("keys").join(verdict, "node", "left")
     out = out.withColumn("component_id", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("root.doc_id")))
     return out.select(

@@ -25,12 +25,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import local_table
 from .shared import over_batches, slices, stored
 from .tokens import byte_letters
 
 SEQUENCE = 1024
 #: Padding that one avoided cut of a document is worth, and the price of a sequence that is short but needs no padding.
 CUT_PRICE, SHORT_PRICE = 1.0, 0.25
+#: Documents of one length that a task ranks (about, at most).
+RANKED = 1 << 18
 #: Pivots after which the linear program is taken as good enough; any of its states is a valid packing.
 PIVOTS = 500
 #: White-space characters in a row from which a run is encoded by itself, in a text that the library refuses; and what is
@@ -89,8 +92,8 @@ def checksum(ids: np.ndarray) -> int:
 
 
 def tokenized(documents: DataFrame, path: str, pattern: str, size: int, end: int = 0) -> DataFrame:
-    """A row per whole sequence, with its sequence_id (odd), and one per remainder, with the checksums of its cut in powers
-    of two: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, parts."""
+    """A row per whole sequence, with its sequence_id (odd), and one per remainder, with a number of its own (even) instead and
+    the checksums of its cut in powers of two: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, parts."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 36
@@ -107,7 +110,8 @@ def tokenized(documents: DataFrame, path: str, pattern: str, size: int, end: int
                     owner.append(i)
                     cuts = np.cumsum([n - rest, *powers_of_two(rest)])
                     parts = [checksum(ids[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
-                    rows.append((n - rest, rest, checksum(ids[n - rest :]), n, None, parts))
+                    rows.append((n - rest, rest, checksum(ids[n - rest :]), n, 2 * number, parts))
+                    number += 1
             columns = [pa.array(c, t) for c, t in zip(zip(*rows), [*[pa.int64()] * 5, pa.list_(pa.int64())])]
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id").take(pa.array(owner, pa.int64())), *columns],
@@ -247,7 +251,7 @@ def layout(lengths: np.ndarray, demand: np.ndarray, size: int, pivots: int = PIV
     return places, rest, sequences, position
 
 
-def pack(documents: DataFrame, path: str, pattern: str, size: int = SEQUENCE, buckets: int = 64) -> DataFrame:
+def pack(documents: DataFrame, path: str, pattern: str, size: int = SEQUENCE, most: int = RANKED) -> DataFrame:
     """Per piece of a document: doc_id, start, length, ids_crc32, doc_tokens, sequence_id and offset.
 
     A document's ids are those of the vocabulary in `path`, with id 0 at the end; a missing text is empty and has this id
@@ -257,11 +261,15 @@ def pack(documents: DataFrame, path: str, pattern: str, size: int = SEQUENCE, bu
     spark = documents.sparkSession
     pieces = stored(tokenized(documents, path, pattern, size), "pieces")
     whole = pieces.where("parts IS NULL").drop("parts").withColumn("offset", F.lit(0).cast("long"))
-    # ranks within a length: dealt to buckets, so that a length that a third of the documents have is no single task
-    bucket = F.pmod(F.xxhash64("doc_id", "ids_crc32", "start"), F.lit(buckets)).cast("int")
-    rest = pieces.where("parts IS NOT NULL").drop("sequence_id").withColumn("bucket", bucket)
+    rest = pieces.where("parts IS NOT NULL").withColumnRenamed("sequence_id", "piece")
+    histogram = rest.groupBy("length").count().orderBy("length").collect()
+    # ranks within a length: dealt to as many buckets as its number of documents needs, so that a length that a third of them
+    # have is no single task
+    column = lambda values: pa.array(values, pa.int64())
+    dealt = local_table(spark, length=column([r[0] for r in histogram]), buckets=column([-(-r[1] // most) for r in histogram]))
+    bucket = F.pmod(F.xxhash64("piece"), F.col("buckets")).cast("int")
+    rest = rest.join(F.broadcast(dealt), "length").withColumn("bucket", bucket).drop("buckets", "piece")
     counts = stored(rest.groupBy("length", "bucket").count(), "lengths")
-    histogram = counts.groupBy("length").agg(F.sum("count").alias("n")).orderBy("length").collect()
     lengths, demand = (np.array([r[k] for r in histogram], np.int64) for k in (0, 1))
     places, cuts, sequences, tokens = layout(lengths, demand, size)
 

@@ -336,3 +336,24 @@ def test_quotes_in_tags():
     assert html.main_text(f'<p title="a > b">{long}</p>') == long
     assert html.main_text(f"<p title = 'a \" > b'>{long}</p><p class=x\"y>{long}</p>") == f"{long} {long}"
     assert html.main_text(f'<p title="never closed>{long}</p><p>{long}</p>').endswith(long)
+
+
+def test_a_hot_length_is_ranked_in_buckets(spark):
+    """A third of all rows are one text without an id; lengths are ranked in buckets of a few rows."""
+    df = spark.range(1500).select(
+        F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"),
+        F.when(F.col("id") % 3 > 0, F.expr("repeat('word ', cast(1 + id * 7919 % 90 as int))")).otherwise("the same text").alias("text"),
+    )
+    got = packing.pack(df, PATH, public_tokenizers.PATTERN, size=64, most=16).collect()
+    held = {}
+    for r in got:
+        held.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for spans in held.values():
+        at = 0
+        for offset, length in sorted(spans):
+            assert offset == at
+            at += length
+        assert at <= 64
+    tokens = {r.doc_id: r.doc_tokens for r in got if r.doc_id is not None}
+    assert len(tokens) == 1000 and sum(r.length for r in got) == sum(tokens.values()) + 500 * next(r.doc_tokens for r in got if r.doc_id is None)
+    assert 64 * len(held) <= 1.02 * sum(r.length for r in got) + 128

@@ -54,7 +54,7 @@ def together(jobs: list[Callable[[], T]], workers: int = 4) -> list[T]:
         return [f.result() for f in [pool.submit(job) for job in jobs]]
 
 
-def local_table(spark: SparkSession, **columns: list) -> DataFrame:
+def local_table(spark: SparkSession, **columns: list | pa.Array) -> DataFrame:
     """A small table from lists. Its size is known to the planner, which lets it decide on a broadcast."""
     return spark.createDataFrame(pa.table(columns))
 

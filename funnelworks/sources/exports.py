@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.labels import REGION_SYNONYMS
@@ -26,6 +26,8 @@ VIEW_NAMES = [
 ]
 SAMPLE_ROWS = 200
 CORRUPT = "_corrupt"
+#: How text is quoted in deliveries: quotes within quotes are doubled, empty text is missing.
+QUOTING = {"quote": '"', "escape": '"', "nullValue": ""}
 
 
 def _typed(name: str, kind: str) -> Column:
@@ -42,17 +44,63 @@ def read_csv(spark: SparkSession, path: str, columns: dict[str, str], multi_line
     """The given columns of a CSV file (or folder of parts), as text, and CORRUPT.
 
     Columns are found by their names in the header, whatever their order and whatever else there is; a missing one is an
-    error. A quote within quotes is doubled; empty text is NULL. Line breaks within quotes need ``multi_line``, which reads
-    each file as a whole instead of in splits. CORRUPT is the text of a row that does not fit the header, else NULL.
+    error. A quote within quotes is doubled; empty text is NULL. Line breaks within quotes need ``multi_line``. CORRUPT is
+    the text of a row that does not fit the header, else NULL.
     """
-    options = {"header": True, "quote": '"', "escape": '"', "nullValue": "", "multiLine": multi_line}
-    found = spark.read.options(**options).csv(path).columns
+    if multi_line:
+        return broken_csv(spark, path, columns).drop(POSITION)
+    text = _header(spark, path, columns)
+    strict = {"enforceSchema": False, "columnNameOfCorruptRecord": CORRUPT}
+    return spark.read.schema(text).options(header=True, **QUOTING, **strict).csv(path)
+
+
+def _header(spark: SparkSession, path: str, columns: dict[str, str]) -> str:
+    """The columns of the files and CORRUPT, all text, as a schema."""
+    found = spark.read.options(header=True, **QUOTING).csv(path).columns
     lacking = [c for c in columns if c not in found]
     if lacking:
         raise ValueError(f"{path} has no column {', '.join(lacking)}")
-    text = ", ".join(f"`{c}` string" for c in [*found, CORRUPT])
-    strict = {"enforceSchema": False, "columnNameOfCorruptRecord": CORRUPT}
-    return spark.read.schema(text).options(**options, **strict).csv(path)
+    return ", ".join(f"`{c}` string" for c in [*found, CORRUPT])
+
+
+def broken_csv(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
+    """All columns of CSV files whose quoted text may hold line breaks, as text, CORRUPT and POSITION, read in splits.
+
+    A line begins a row if the quotes before it are even in number. Lines are read in splits; each split's quotes are counted,
+    a prefix sum over the splits of a file (a small table) tells whether a split begins within quotes, and within
+    a split a running count does the same for its lines. The lines of a row, which may lie in two splits, are joined by the
+    place of its first line. The header has no line break; a quote that is never closed makes one row of what follows it.
+    """
+    text = _header(spark, path, columns)
+    place = ["_file", "_block"]
+    lines = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_row"),
+        (F.length(F.regexp_replace("value", '[^"]', "")) % 2).alias("_odd"),
+    )
+    earlier = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    running = Window.partitionBy(*place).orderBy("_row")
+    before = running.rowsBetween(Window.unboundedPreceding, -1)
+    splits = lines.groupBy(*place).agg(F.sum("_odd").alias("_sum")).withColumn("_open", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)))
+    lines = lines.join(splits.drop("_sum"), place).withColumn(
+        "_begins", (F.col("_open") + F.coalesce(F.sum("_odd").over(before), F.lit(0))) % 2 == 0
+    )
+    begun = F.when(F.col("_begins"), F.struct("_block", "_row"))
+    lines = lines.withColumn("_first", F.last(begun, ignorenulls=True).over(running.rowsBetween(Window.unboundedPreceding, 0)))
+    # where a split begins within a row, that row is the last one begun in the splits before
+    ends = lines.groupBy(*place).agg(F.max(begun).alias("_last"))
+    ends = ends.withColumn("_carried", F.last("_last", ignorenulls=True).over(earlier)).drop("_last")
+    lines = lines.join(ends, place).withColumn("_first", F.coalesce("_first", "_carried"))
+    parts = F.array_sort(F.collect_list(F.struct("_block", "_row", "value")))
+    rows = lines.groupBy("_file", "_first").agg(F.array_join(F.transform(parts, lambda p: p["value"]), "\n").alias("_text"))
+    # the first row of each file is its header
+    head = lines.groupBy("_file").agg(F.min("_first").alias("_head"))
+    rows = rows.join(head, "_file").where("_first > _head AND _text <> ''")
+    position = F.struct(F.col("_file").alias("file"), F.col("_first._block").alias("block"), F.col("_first._row").alias("row"))
+    parsed = F.from_csv("_text", text, {**QUOTING, "columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE"})
+    return rows.select(parsed.alias("_csv"), position.alias(POSITION)).select("_csv.*", POSITION)
 
 
 def corrupt_rows(spark: SparkSession, folder: str, multi_line: bool = False) -> DataFrame:
@@ -79,7 +127,10 @@ def read_export(spark: SparkSession, path: str, columns: dict[str, str], multi_l
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
     )
-    rows = read_csv(spark, path, columns, multi_line).select(*columns, position.alias(POSITION))
+    if multi_line:
+        rows = broken_csv(spark, path, columns).select(*columns, POSITION)
+    else:
+        rows = read_csv(spark, path, columns).select(*columns, position.alias(POSITION))
     return rows.select(*[_typed(c, kind) for c, kind in columns.items()], POSITION)
 
 

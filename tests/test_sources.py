@@ -313,3 +313,42 @@ def test_small_files_are_replaced_as_a_whole(spark, tmp_path):
     put(spark, path, {"a": "é"})
     put(spark, path, {"a": 2})
     assert get(spark, path) == {"a": 2} and [p.name for p in (tmp_path / "a").iterdir() if not p.name.endswith(".crc")] == ["x.json"]
+
+
+@pytest.mark.parametrize("split", [64, 301, 10**9])
+def test_line_broken_csv_is_read_in_splits(spark, tmp_path, split):
+    """Rows that go over lines and splits, doubled quotes, blank lines within quotes: as the csv module reads them."""
+    import csv
+    import random
+
+    rnd = random.Random(split)
+    folder = tmp_path / "export.csv"
+    folder.mkdir()
+    texts = ["plain", "two\nlines", 'a "quoted" word', "\n\nblank lines", 'x\n"y", z\n', "comma, here", "é\n" * 40, ""]
+    for part in range(2):
+        with open(folder / f"part-{part}.csv", "w", newline="", encoding="utf-8") as f:
+            out = csv.writer(f, lineterminator="\n", doublequote=True)
+            out.writerow(["id", "extra", "label", "day"])
+            for i in range(150):
+                out.writerow([part * 1000 + i, rnd.choice(texts), rnd.choice(texts), "2026-01-05"])
+    want = []
+    for part in range(2):
+        with open(folder / f"part-{part}.csv", newline="", encoding="utf-8") as f:
+            want += [(int(r["id"]), r["label"] or None, r["day"]) for r in csv.DictReader(f)]
+    with_conf = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    try:
+        df = io.read_export(spark, str(folder), {"id": "int", "label": "string", "day": "string"}, multi_line=True)
+        got = df.orderBy("_pos").collect()
+        parts = spark.read.text(str(folder)).rdd.getNumPartitions()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", with_conf)
+    assert [(r["id"], r["label"], r["day"]) for r in got] == want
+    assert parts > 20 or split > 64
+
+
+def test_line_broken_csv_shows_rows_that_do_not_fit(spark, tmp_path):
+    path = tmp_path / "export.csv"
+    path.write_text('id,label\n1,"a\nb"\n2,x,too,many\n3,"c"\n')
+    got = {r["id"]: (r["label"], r[io.CORRUPT]) for r in io.read_csv(spark, str(path), {"id": "int", "label": "string"}, multi_line=True).collect()}
+    assert got["1"] == ("a\nb", None) and got["3"] == ("c", None) and got["2"][1] == "2,x,too,many"

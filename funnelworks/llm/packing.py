@@ -32,8 +32,8 @@ from .tokens import byte_letters
 SEQUENCE = 1024
 #: Padding that one avoided cut of a document is worth, and the price of a sequence that is short but needs no padding.
 CUT_PRICE, SHORT_PRICE = 1.0, 0.25
-#: Documents of one length that a task ranks (about, at most).
-RANKED = 1 << 18
+#: Documents of one length that a task ranks (about, at most), and the buckets that any length is dealt to at least.
+RANKED, SPREAD = 1 << 18, 16
 #: Pivots after which the linear program is taken as good enough; any of its states is a valid packing.
 PIVOTS = 500
 #: White-space characters in a row from which a run is encoded by itself, in a text that the library refuses; and what is
@@ -266,7 +266,7 @@ def pack(documents: DataFrame, path: str, pattern: str, size: int = SEQUENCE, mo
     # ranks within a length: dealt to as many buckets as its number of documents needs, so that a length that a third of them
     # have is no single task
     column = lambda values: pa.array(values, pa.int64())
-    dealt = local_table(spark, length=column([r[0] for r in histogram]), buckets=column([-(-r[1] // most) for r in histogram]))
+    dealt = local_table(spark, length=column([r[0] for r in histogram]), buckets=column([max(-(-r[1] // most), SPREAD) for r in histogram]))
     bucket = F.pmod(F.xxhash64("piece"), F.col("buckets")).cast("int")
     rest = rest.join(F.broadcast(dealt), "length").withColumn("bucket", bucket).drop("buckets", "piece")
     counts = stored(rest.groupBy("length", "bucket").count(), "lengths")

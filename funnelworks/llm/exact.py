@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from .shared import stored
 
-#: Rows of a run and of a range of digests (about, at most), and the fewest runs that rows are dealt to.
-RUN_ROWS, LEAST_RUNS = 1 << 20, 16
+#: Rows of a first run and of a range of digests, which the last round merges in one task (about, at most), and the fewest
+#: runs that rows are dealt to.
+RUN_ROWS, RANGE_ROWS, LEAST_RUNS = 1 << 20, 1 << 15, 16
 _WHITE = " \t\n\x0b\x0c\r"
 
 
@@ -55,7 +56,7 @@ def keep_one(documents: DataFrame, runs: int | None = None, fan_in: int = 2) ->
     rows = stored(rows, "digests")
     number = rows.count()
     left = runs_for(number) if runs is None else runs
-    ranges = max(number // RUN_ROWS, 1)
+    ranges = max(number // RANGE_ROWS, 1)
     lead = F.conv(F.substring("digest", 1, 8), 16, 10).cast("long")
     rows = rows.withColumns({
         "run": F.pmod(F.xxhash64("row"), F.lit(left)).cast("int"),

@@ -257,7 +257,7 @@ def test_many_signatures_never_shuffle_shingles(spark, tmp_path):
 @pytest.mark.parametrize("runs,fan_in,rounds", [(16, 2, 4), (1, 2, 0), (7, 2, 3), (27, 3, 3), (64, 8, 2)])
 def test_runs_are_merged_in_rounds(spark, monkeypatch, runs, fan_in, rounds):
     """Each round leaves a run of every `fan_in`, sorted by digest, each digest once; the last round leaves one per range."""
-    monkeypatch.setattr(exact, "RUN_ROWS", 500)
+    monkeypatch.setattr(exact, "RANGE_ROWS", 500)
     written = []
     plain = exact.stored
     monkeypatch.setattr(exact, "stored", lambda df, purpose: written.append((purpose, plain(df, purpose))) or written[-1][1])

@@ -26,6 +26,8 @@ SIEVE_BITS = 1 << 26
 _PAGE = 32_768
 #: Nodes and bytes of text of a block, and elements that are counted at a time.
 BLOCK_ROWS, BLOCK_TEXT, COLUMNS = 1500, 6_000_000, 2048
+#: Links (16 bytes each) whose components one task finds.
+FEW_LINKS = 100_000
 #: Nodes that are compared one by one.
 FEW = 12
 
@@ -65,18 +67,45 @@ def met(rows: DataFrame, of: DataFrame, key: str) -> DataFrame:
     return rows.join(of, same).drop("_key")
 
 
+def joined_at_once(edges: DataFrame) -> DataFrame:
+    """The same for a bounded number of links (u, v): each node points to a smaller one of its component, the root to itself."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        above: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            above.setdefault(x, x)
+            while above[x] != x:
+                above[x] = above[above[x]]
+                x = above[x]
+            return x
+
+        for batch in batches:
+            for u, v in zip(batch.column("u").to_pylist(), batch.column("v").to_pylist()):
+                a, b = root(u), root(v)
+                above[max(a, b)] = min(a, b)
+        nodes = list(above)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(nodes, pa.int64()), pa.array([root(x) for x in nodes], pa.int64())], names=["node", "component"]
+        )
+
+    return stored(over_batches(edges.coalesce(1), work, "node long, component long"), "components")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component): the smallest node that each end of a link (a, b) can reach. Alternates large and small stars:
     every node is linked to the smallest of its neighbours instead, until nothing changes. A round's links are removed
-    once the next ones are written."""
+    once the next ones are written. Up to FEW_LINKS links are joined in one task instead, which costs less than a round."""
     edges = stored(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
+    if edges.count() <= FEW_LINKS:
+        return joined_at_once(edges)
     seen = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("low"))
-        large = met(both.where("v > u"), low, "u").select(F.col("v").alias("u"), F.col("low").alias("v"))
+        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("low").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("low"))
-        small = met(large, least, "u").where("v <> low").select(F.col("v").alias("u"), F.col("low").alias("v"))
+        small = large.join(least, "u").where("v <> low").select(F.col("v").alias("u"), F.col("low").alias("v"))
         before, edges = edges, stored(small.unionByName(least.withColumnRenamed("low", "v")).distinct(), "edges")
         dropped(before)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()

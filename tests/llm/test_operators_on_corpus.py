@@ -134,6 +134,21 @@ def test_links_across_components_of_a_bucket(spark):
     assert {r.node: r.component for r in got.collect()} == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4}
 
 
+@pytest.mark.parametrize("few", [0, 10**6])
+def test_components_of_random_links(spark, monkeypatch, few):
+    """The rounds and the single task find the same components."""
+    monkeypatch.setattr(linking, "FEW_LINKS", few)
+    rng = np.random.default_rng(3)
+    pairs = [(int(a), int(b)) for a, b in rng.integers(-150, 150, (170, 2))] + [(400 + i, 401 + i) for i in range(30)]
+    groups = Groups({x for p in pairs for x in p})
+    for a, b in pairs:
+        groups.link(a, b)
+    got = {r.node: r.component for r in linking.components(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    linked = {x for a, b in pairs if a != b for x in (a, b)}
+    assert got == {x: groups.of(x) for x in linked}
+    assert linking.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
 def test_components_of_a_chain_and_a_star(spark):
     chain = [(i, i + 1) for i in range(100, 160)]
     star = [(7, i) for i in range(200, 900)]

@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import datetime
+import os
 
 import pytest
 
+from funnelworks import registry
+from funnelworks.model import Exports
+from funnelworks.schemas import EXPORT_FILES
 from funnelworks.sources.warehouse import BASE_SCHEMAS, QUALIFIED_ABOVE, Warehouse
 
 
@@ -30,6 +34,27 @@ def folder(spark, tmp_path):
     return str(tmp_path)
 
 
+@pytest.fixture()
+def shared(spark, tmp_path, monkeypatch):
+    """The folder in which intermediate tables are written."""
+    kept = tmp_path / "kept"
+    kept.mkdir()
+    monkeypatch.setattr(registry, "work_dir", lambda s, purpose: f"{kept}/{purpose}")
+    return kept
+
+
+def test_csv_of_reference_data_needs_no_exports(spark, folder, shared):
+    assert [tuple(r)[1] for r in registry.QUERIES["csv_regions"](spark, folder).collect()] == ["FRANCE"]
+    assert sorted(os.listdir(shared)) == ["reference"]
+
+
+def test_csv_of_one_export_writes_no_other(spark, folder, shared):
+    assert registry.QUERIES["csv_marketing"](spark, folder).count()
+    assert os.listdir(shared / "exports") == ["marketing"] and os.listdir(shared / "csv") == [EXPORT_FILES["marketing"]]
+    assert registry.QUERIES["csv_corrupt_rows"](spark, folder).count() == len(Exports.names)
+    assert sorted(os.listdir(shared / "csv")) == sorted(EXPORT_FILES.values())
+
+
 def test_only_lines_of_qualified_orders_are_kept(spark, folder):
     plain, kept = Warehouse(spark, folder), Warehouse(spark, folder, keep_lines=True)
     assert sorted(r.l_orderkey for r in kept.order_lines().collect()) == [3, 3, 3, 6, 6, 6]

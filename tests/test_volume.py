@@ -9,6 +9,7 @@ import pytest
 
 from funnelworks import registry
 from funnelworks.model import Exports
+from funnelworks.operators.dedupe import surplus_rows
 from funnelworks.schemas import EXPORT_FILES
 from funnelworks.sources.warehouse import BASE_SCHEMAS, QUALIFIED_ABOVE, Warehouse
 
@@ -69,3 +70,12 @@ def test_other_lines_are_left_out_before_the_shuffle(spark, folder):
     plan.sparkSession.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     assert "might_contain" in plan._jdf.queryExecution().optimizedPlan().toString() and plan.count() == 6
     assert plan.sparkSession.conf.get("spark.sql.optimizer.runtime.bloomFilter.numBits") != spark.conf.get("spark.sql.optimizer.runtime.bloomFilter.numBits")
+
+
+def test_copies_of_wide_rows_are_counted_from_digests(spark):
+    """Rows that come once are left out before whole rows are shuffled; NULL equals NULL."""
+    rows = [(1, "a", None, 2.0), (1, "a", None, 2.0), (1, None, "a", 2.0), (2, "b", None, 0.0), (2, "b", None, -0.0), (3, "c", "d", None)]
+    df = spark.createDataFrame(rows, "k int, a string, b string, x double")
+    counted = surplus_rows(df, df.columns)
+    assert [tuple(r) for r in counted.collect()] == [(2,)] and "LeftSemi" in counted._jdf.queryExecution().optimizedPlan().toString()
+    assert [tuple(r) for r in surplus_rows(df.where("k = 3"), df.columns).collect()] == [(0,)]

@@ -13,13 +13,16 @@ from pyspark.sql import functions as F
 
 from .linking import linked, sieve, sifted
 from .neardup import banded, minima
-from .shared import CACHED_BYTES, LAST, distinct, mixed, over_batches, slices, stored
+from .shared import CACHED_BYTES, LAST, as_bytes, mixed, over_batches, slices, stored
 
 #: Characters of a shingle (a power of two), wanted similarity, and bands of minima: a pair of similarity 0.8 is missed once in
 #: 5,000 times, of 0.85 once in 90,000 times.
 SHINGLE, SHARE, BANDS, ROWS = 8, (4, 5), 12, 3
 #: Lines that a task remembers so as not to give their keys again.
 REMEMBERED = 200_000
+#: White space besides blanks and line feeds, of ASCII and beyond.
+SPACES = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f"
+WIDE = "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _POINTS = np.random.default_rng(20240612).integers(0, 2**64, 1 << 16, dtype=np.uint64)
 
@@ -49,16 +52,26 @@ def shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 def line_sets(column: pa.Array) -> list[np.ndarray]:
     values, bounds = shingles(column.to_pylist())
-    return [distinct(values[a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
+    return [values[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
 
 
 def content(line: str) -> int:
     return xxhash.xxh3_64_intdigest(line.encode("utf-8", "surrogatepass")) - 2**63
 
 
+def plain_lines(text: str) -> list[str]:
+    """The plain form of all lines of a text. Most texts have single blanks only, and their lines are left as they are."""
+    text = text.lower()
+    lines = text.split("\n")
+    if any(c in text for c in (SPACES if text.isascii() else SPACES + WIDE)):
+        return [plain(line) for line in lines]
+    double = "  " in text
+    return [plain(x) if x[:1] == " " or x[-1:] == " " or double and "  " in x else x for x in lines]
+
+
 def comparable(text: str | None) -> list[tuple[int, str]]:
     """Number and plain form of the lines that are long enough for a shingle."""
-    return [(i, p) for i, line in enumerate((text or "").split("\n")) if len(p := plain(line)) >= SHINGLE]
+    return [(i, p) for i, p in enumerate(plain_lines(text or "")) if len(p) >= SHINGLE]
 
 
 def all_lines(rows: DataFrame) -> DataFrame:
@@ -67,7 +80,7 @@ def all_lines(rows: DataFrame) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         given: set[int] = set()
-        for part in (p for batch in batches for p in slices(batch, "text", CACHED_BYTES // 2)):
+        for part in (p for batch in batches for p in slices(batch, "text", CACHED_BYTES)):
             found = [(i, k, p) for i, text in enumerate(part.column("text").to_pylist()) for k, p in comparable(text)]
             owner = pa.array([i for i, _, _ in found], pa.int64())
             nodes = [content(p) for _, _, p in found]
@@ -75,17 +88,17 @@ def all_lines(rows: DataFrame) -> DataFrame:
                 given.clear()
             new = np.array([not (n in given or given.add(n)) for n in nodes], bool)
             keys = banded(minima(*shingles([found[k][2] for k in np.flatnonzero(new)]), BANDS * ROWS), ROWS)
-            ends = np.concatenate([[0], np.cumsum(new * BANDS)]).astype(np.int32)
+            ends = np.concatenate([[0], np.cumsum(new * BANDS)])
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("doc").take(owner), part.column("row_key").take(owner), pa.array([k for _, k, _ in found], pa.int32()),
                     pa.array(nodes, pa.int64()),
-                    pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.T.ravel().view(np.int64))),
+                    as_bytes(keys.T.ravel(), ends),
                 ],
                 names=["doc", "row_key", "line", "node", "keys"],
             )
 
-    return over_batches(rows, work, "doc long, row_key long, line int, node long, keys array<long>")
+    return over_batches(rows, work, "doc long, row_key long, line int, node long, keys binary")
 
 
 def texts_of(rows: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -107,7 +120,7 @@ def texts_of(rows: DataFrame, nodes: DataFrame) -> DataFrame:
 def dropped_lines(rows: DataFrame) -> DataFrame:
     """(doc, row_key, drop): numbers of the lines that repeat an earlier one."""
     lines = stored(all_lines(rows), "lines")
-    component = linked(lines.select("node", "keys"), lambda nodes: texts_of(rows, nodes), line_sets, SHARE)
+    component = linked(lines.select("node", "keys"), lambda nodes: texts_of(rows, nodes), line_sets, SHARE, BANDS)
     again = lines.groupBy("node").count().where("count > 1").select("node")
     repeated = again.join(component, "node", "full").select("node", F.coalesce("component", "node").alias("component"))
     repeated = stored(repeated, "repeated-lines")

@@ -3,7 +3,8 @@
 A node is the 64-bit hash of a content, so equal contents are one node (for N distinct contents the chance of any false
 equality is about N * N / 2**65). No step makes all pairs of a bucket:
 
-1. Each bucket pairs its members with its smallest node; pairs are verified on full sets and linked to components.
+1. Each bucket pairs its members with its smallest node; pairs are verified on full sets and linked to components. Most keys
+   are of one node alone: they meet as bytes, and only those of several nodes become rows.
 2. Buckets that then still hold several components are grouped by the component of their smallest node, and the nodes of a
    group are compared across components: in blocks, by matrix products, with a row only for what is found.
 
@@ -19,18 +20,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import CACHED_BYTES, dropped, over_batches, slices, stored
+from .shared import CACHED_BYTES, as_bytes, distinct, dropped, numbers, over_batches, slices, stored
 
 #: Bits of a sieve (8 MB at any scale).
 SIEVE_BITS = 1 << 26
 _PAGE = 32_768
+#: In `met_in_buckets`: keys that a task deals out at a time, keys that a call gets on average at most, and nodes of a bucket among
+#: those dealt out at a time from which it counts as large.
+KEYS, CALL_KEYS, LARGE = 500_000, 100_000, 100
 #: Nodes and bytes of text of a block, and elements that are counted at a time.
 BLOCK_ROWS, BLOCK_TEXT, COLUMNS = 1500, 6_000_000, 2048
 #: Links (16 bytes each) whose components one task finds.
 FEW_LINKS = 100_000
 #: Nodes that are compared one by one.
 FEW = 12
+#: Bits of the sketch of a set (a power of two).
+SKETCH = 1024
 
+#: Hashes of the elements of each text's set, in any order and with repeats.
 Sets = Callable[[pa.Array], list[np.ndarray]]
 
 
@@ -132,20 +139,43 @@ def similar(x: np.ndarray, y: np.ndarray, share: tuple[int, int]) -> bool:
     return den * common >= num * (len(x) + len(y) - common)
 
 
+def sketched(parts: list[np.ndarray]) -> np.ndarray:
+    """A row of bits for each set: a bit is on if an element has its number."""
+    on = np.zeros((len(parts), SKETCH), bool)
+    if parts:
+        place = (np.concatenate(parts) >> np.uint64(65 - SKETCH.bit_length())).astype(np.int64)
+        on.ravel()[np.repeat(np.arange(len(parts)) * SKETCH, [len(x) for x in parts]) + place] = True
+    return np.packbits(on, axis=1).view(np.uint64)
+
+
+def may_be_similar(size: np.ndarray, bits: np.ndarray, x: np.ndarray, y: np.ndarray, share: tuple[int, int]) -> np.ndarray:
+    """Whether the sets x and y may be similar enough: each bit that one has and the other has not is an element that is not common,
+    of which there are too many in all others. Repeats in `size` let more pass."""
+    num, den = share
+    apart = np.bitwise_count(bits[x] ^ bits[y]).sum(1, dtype=np.int64)
+    return (den + num) * apart <= (den - num) * (size[x] + size[y])
+
+
 def verified(pairs: DataFrame, texts: DataFrame, sets: Sets, share: tuple[int, int]) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            known: dict[int, np.ndarray] = {}
+            number: dict[int, int] = {}
+            parts: list[np.ndarray] = []
+            bits = [sketched([])]
             for side in ("a", "b"):
                 nodes, at = np.unique(batch.column(side).to_numpy(), return_index=True)
-                at = at[[n not in known for n in nodes.tolist()]]
+                at = at[[n not in number for n in nodes.tolist()]]
                 for part in slices(batch.select([side, f"text_{side}"]).take(pa.array(at)), f"text_{side}"):
-                    known.update(zip(part.column(side).to_pylist(), sets(part.column(f"text_{side}"))))
-            for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
-                keep.append(similar(known[a], known[b], share))
+                    number.update(zip(part.column(side).to_pylist(), range(len(parts), len(parts) + part.num_rows)))
+                    found = sets(part.column(f"text_{side}"))
+                    bits.append(sketched(found))
+                    parts += found
+            a, b = (np.array([number[n] for n in batch.column(side).to_pylist()], np.int64) for side in "ab")
+            keep = may_be_similar(np.array([len(x) for x in parts]), np.concatenate(bits), a, b, share)
+            full = {i: distinct(parts[i]) for i in np.unique(np.concatenate([a[keep], b[keep]])).tolist()}
+            keep[keep] = [similar(full[i], full[j], share) for i, j in zip(a[keep].tolist(), b[keep].tolist())]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     rows = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
@@ -158,11 +188,16 @@ def found_across(part: list[np.ndarray], component: np.ndarray, share: tuple[int
     once, as products of 0/1 matrices over a few thousand elements at a time."""
     n = len(part)
     if n <= FEW:
-        pairs = [(i, j) for i in range(n) for j in range(i + 1, n) if component[i] != component[j]]
-        pairs = [(i, j) for i, j in pairs if similar(part[i], part[j], share)]
-        x, y = np.array(pairs, np.int64).reshape(-1, 2).T
-        return x, y
+        x, y = np.triu_indices(n, 1)
+        across = component[x] != component[y]
+        x, y = x[across], y[across]
+        may_be = may_be_similar(np.array([len(s) for s in part]), sketched(part), x, y, share)
+        x, y = x[may_be], y[may_be]
+        full = {i: distinct(part[i]) for i in {*x.tolist(), *y.tolist()}}
+        found = np.array([similar(full[i], full[j], share) for i, j in zip(x.tolist(), y.tolist())], bool)
+        return x[found], y[found]
     num, den = share
+    part = [distinct(s) for s in part]
     size = np.array([len(x) for x in part])
     row = np.repeat(np.arange(n), size)
     element, place, often = np.unique(np.concatenate(part), return_inverse=True, return_counts=True)
@@ -225,28 +260,106 @@ def links_across(rows: DataFrame, sets: Sets, share: tuple[int, int]) -> DataFra
     return dealt.groupBy("call", "low", "high").applyInArrow(work, "a long, b long")
 
 
+def flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of all rows one after the other, given as longs or as their bytes, and the node of each."""
+    keys, node = batch.column("keys"), batch.column("node").to_numpy(zero_copy_only=False)
+    if pa.types.is_list(keys.type):
+        return keys.flatten().to_numpy(zero_copy_only=False), np.repeat(node, np.diff(keys.offsets.to_numpy()))
+    values, bounds = numbers(keys)
+    return values, np.repeat(node, np.diff(bounds))
+
+
+def by_key(key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The keys that occur more than once, ascending, their nodes, ascending within a key, and the offsets of each key."""
+    ascending = np.sort(key)
+    again = ascending[1:][ascending[1:] == ascending[:-1]]
+    if not len(again):
+        return key[:0], node[:0], np.zeros(1, np.int64)
+    may_be = np.zeros(1 << 18, bool)
+    may_be[again & (len(may_be) - 1)] = True
+    at = np.flatnonzero(may_be[key & (len(may_be) - 1)])
+    at = at[again[np.minimum(np.searchsorted(again, key[at]), len(again) - 1)] == key[at]]
+    at = at[np.lexsort((node[at], key[at]))]
+    key = key[at]
+    return key, node[at], np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
+
+
+def met_in_buckets(keyed: DataFrame, most: int) -> DataFrame:
+    """(bucket, lead, node): the smallest node of each bucket that has several, with each other one; of a large bucket only its
+    largest node or none, and the bucket. keyed: node and its keys, hashes, about `most` at most.
+
+    Most keys belong to one node. They go to calls by ranges of keys, as bytes and not as rows. Of a bucket with LARGE nodes
+    among the KEYS that a task deals out at a time, only the smallest and the largest of these are handed on, so that a call holds a
+    bounded number, whatever the size of a bucket."""
+    calls = 1 + keyed.count() * most // CALL_KEYS
+
+    def dealt(key: np.ndarray, node: np.ndarray) -> pa.RecordBatch:
+        again, nodes, bounds = by_key(key, node)
+        first, last = (x[np.diff(bounds) >= LARGE] for x in (bounds[:-1], bounds[1:] - 1))
+        large = again[first]
+        if len(large):
+            stays = large[np.minimum(np.searchsorted(large, key), len(large) - 1)] != key
+            key = np.concatenate([key[stays], large, large])
+            node = np.concatenate([node[stays], nodes[first], nodes[last]])
+        call = (((key >> 32) + 2**31) * calls) >> 32
+        order = np.argsort(call.astype(np.uint16) if calls <= 1 << 16 else call, kind="stable")
+        starts = np.flatnonzero(np.diff(call[order], prepend=-1))
+        ends = np.append(starts, len(key))
+        dealt_to = call[order[starts]]
+        of_large = np.searchsorted((((large >> 32) + 2**31) * calls) >> 32, np.append(dealt_to, calls))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(dealt_to), as_bytes(key[order], ends), as_bytes(node[order], ends), as_bytes(large, of_large)],
+            names=["call", "keys", "nodes", "large"],
+        )
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        have: list[tuple[np.ndarray, np.ndarray]] = []
+        for batch in batches:
+            have.append(flat(batch))
+            if sum(len(key) for key, _ in have) >= KEYS:
+                yield dealt(*map(np.concatenate, zip(*have)))
+                have = []
+        if have:
+            yield dealt(*map(np.concatenate, zip(*have)))
+
+    def found(table: pa.Table) -> pa.Table:
+        key, node, large = (numbers(table.column(c).combine_chunks())[0] for c in ("keys", "nodes", "large"))
+        key, node, bounds = by_key(key, node)
+        lead = np.repeat(node[bounds[:-1]], np.diff(bounds))
+        is_large = np.isin(key, large)
+        last = np.zeros(len(key), bool)
+        last[bounds[1:] - 1] = True
+        stays = (node != lead) & (last | ~is_large)
+        bucket = pa.array(key[stays], mask=~is_large[stays])
+        return pa.table({"bucket": bucket, "lead": lead[stays], "node": node[stays]})
+
+    parts = over_batches(keyed.select("node", "keys"), work, "call long, keys binary, nodes binary, large binary")
+    return parts.groupBy("call").applyInArrow(found, "bucket long, lead long, node long")
+
+
 def members_of(keyed: DataFrame, bits: np.ndarray) -> DataFrame:
     """(bucket, node) of the keys that the sieve lets pass, sifted before they become rows."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = batch.column("keys")
-            flat = keys.flatten().to_numpy(zero_copy_only=False)
-            owner = np.repeat(batch.column("node").to_numpy(zero_copy_only=False), np.diff(keys.offsets.to_numpy()))
-            place = flat & (SIEVE_BITS - 1)
+            keys, owner = flat(batch)
+            place = keys & (SIEVE_BITS - 1)
             on = (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
-            yield pa.RecordBatch.from_arrays([pa.array(flat[on]), pa.array(owner[on])], names=["bucket", "node"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys[on]), pa.array(owner[on])], names=["bucket", "node"])
 
     return over_batches(keyed, work, "bucket long, node long")
 
 
-def linked(keyed: DataFrame, fetch: Callable[[DataFrame], DataFrame], sets: Sets, share: tuple[int, int]) -> DataFrame:
-    """(node, component) of all nodes with a link. keyed: node and its bucket keys, written; fetch: (node, text) of given
-    nodes."""
-    buckets = keyed.select(F.explode("keys").alias("bucket"), "node")
-    ends = buckets.groupBy("bucket").agg(F.min("node").alias("lead"), F.max("node").alias("last")).where("lead < last")
-    ends = stored(ends.select("bucket", "lead"), "shared-buckets")
-    members = members_of(keyed.select("node", "keys"), sieve(ends, "bucket")).join(ends, "bucket").where("node <> lead")
+def linked(
+    keyed: DataFrame, fetch: Callable[[DataFrame], DataFrame], sets: Sets, share: tuple[int, int], most: int = 1
+) -> DataFrame:
+    """(node, component) of all nodes with a link. keyed: node and its bucket keys, about `most` at most, written; fetch:
+    (node, text) of given nodes."""
+    members = stored(met_in_buckets(keyed, most), "shared-buckets")
+    large = members.where("bucket IS NOT NULL").select("bucket", "lead")
+    if not large.isEmpty():
+        every = members_of(keyed.select("node", "keys"), sieve(large, "bucket")).join(large, "bucket").where("node <> lead")
+        members = members.select("lead", "node").unionByName(every.select("lead", "node"))
     pairs = stored(members.select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
     nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     texts = stored(fetch(stored(nodes, "active")), "active-texts")

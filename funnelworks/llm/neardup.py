@@ -39,7 +39,7 @@ def shingles(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
 def shingle_sets(size: int) -> Sets:
     def sets(column: pa.Array) -> list[np.ndarray]:
         values, bounds = shingles(column, size)
-        return [distinct(values[a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
+        return [values[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
 
     return sets
 
@@ -53,8 +53,11 @@ def minima(values: np.ndarray, bounds: np.ndarray, count: int) -> np.ndarray:
     begin = bounds[:-1][np.diff(bounds) > 0]
     out = np.empty((count, len(begin)), np.uint32)
     if len(begin):
+        one = np.empty_like(short)
         for k in range(count):
-            out[k] = np.minimum.reduceat(short * factor[k] + shift[k], begin)
+            np.multiply(short, factor[k], out=one)
+            np.add(one, shift[k], out=one)
+            np.minimum.reduceat(one, begin, out=out[k])
     return out
 
 
@@ -133,7 +136,7 @@ def groups(documents: DataFrame, size: int = 2, share: tuple[int, int] = SHARE)
         found = sifted(rows.select("doc", "row_key", "text"), "row_key", sieve(wanted, "row_key")).join(wanted, ["doc", "row_key"])
         return found.select("node", "text")
 
-    component = linked(buckets, fetch, shingle_sets(size), share)
+    component = linked(buckets, fetch, shingle_sets(size), share, HALVES**2)
     place = best.join(component, "node", "left").select("node", "best", F.coalesce("component", "node").alias("component"))
     root = place.groupBy("component").agg(F.min("best").alias("root"))
     verdict = met(place, root, "component").select("node", "root")

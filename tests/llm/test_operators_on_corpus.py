@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from tests_llm_shared import Groups, corpus, links, nothing  # noqa: F401 - fixtures
 
-from funnelworks.llm import decontaminate, exact, lines, linking, neardup, substring
+from funnelworks.llm import decontaminate, exact, lines, linking, neardup, shared, substring
 
 LAST = 2**63 - 1
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -134,6 +134,65 @@ def test_links_across_components_of_a_bucket(spark):
     assert {r.node: r.component for r in got.collect()} == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4}
 
 
+@pytest.mark.parametrize("packed", [False, True])
+def test_met_in_buckets(spark, packed):
+    """Keys do not become rows before they are found to be of several nodes; a large bucket is only named."""
+    rng = np.random.default_rng(5)
+    key = lambda n: rng.integers(-(2**63), 2**63, n)
+    hot, common = int(key(1)[0]), key(60)
+    have = {int(n): [int(k) for k in (*key(3), *rng.choice(common, 2))] for n in key(900)}
+    for n in list(have)[:700]:
+        have[n].append(hot)
+    have[12345] = []
+    rows = [(n, np.array(keys, np.int64).tobytes() if packed else keys) for n, keys in have.items()]
+    df = spark.createDataFrame(rows + rows[:5], f"node long, keys {'binary' if packed else 'array<long>'}").repartition(3)
+    nodes = {}
+    for n, keys in have.items():
+        for k in keys:
+            nodes.setdefault(k, set()).add(n)
+    want = {(None, min(m), n) for k, m in nodes.items() if k != hot for n in m if n != min(m)}
+    found = linking.met_in_buckets(df, 6)
+    assert {tuple(r) for r in found.collect()} == want | {(hot, min(nodes[hot]), max(nodes[hot]))}
+    assert "Generate" not in found._jdf.queryExecution().executedPlan().toString()
+    assert linking.met_in_buckets(df.limit(0), 6).count() == 0
+
+
+@pytest.mark.parametrize("large", [2, 10**6])
+def test_large_buckets_are_linked_whole(spark, monkeypatch, large):
+    monkeypatch.setattr(linking, "LARGE", large)
+    base = [f"w{i}" for i in range(60)]
+    texts = {n: " ".join(base[: -(n % 4) or None] + [f"own{n}"]) for n in range(1, 40)} | {50: "quite another text"}
+    nodes = spark.createDataFrame(list(texts.items()), "node long, text string")
+    keyed = spark.createDataFrame([(n, [2**61, 5 * n * 2**40]) for n in texts], "node long, keys array<long>").coalesce(1)
+    got = linking.linked(keyed, lambda wanted: nodes.join(wanted, "node"), neardup.shingle_sets(1), (4, 5), 2)
+    assert {r.node: r.component for r in got.collect()} == {n: 1 for n in range(1, 40)}
+
+
+def test_sketches_pass_all_similar_sets():
+    rng = np.random.default_rng(8)
+    passed = total = 0
+    for size in (1, 3, 30, 400, 3000):
+        for _ in range(40):
+            x = rng.integers(0, 2**64, size, dtype=np.uint64)
+            y = np.where(rng.random(size) < rng.choice([0.05, 0.11, 0.5]), rng.integers(0, 2**64, size, dtype=np.uint64), x)
+            parts = [np.concatenate([x, x[:2]]), y]
+            may_be = linking.may_be_similar(np.array([len(s) for s in parts]), linking.sketched(parts), np.array([0]), np.array([1]), (4, 5))[0]
+            assert may_be or not linking.similar(*map(shared.distinct, parts), (4, 5))
+            total += not linking.similar(*map(shared.distinct, parts), (4, 5))
+            passed += may_be and not linking.similar(*map(shared.distinct, parts), (4, 5))
+    assert total > 50 and passed < total / 2
+
+
+def test_plain_lines():
+    blank = [c for c in map(chr, range(0x110000)) if c.isspace() and c not in " \n"]
+    assert sorted(lines.SPACES + lines.WIDE) == blank and lines.SPACES.isascii() and not any(c.isascii() for c in lines.WIDE)
+    parts = ["", " ", "  ", "\n", "\n\n", "a", "B", "ΑΣ", "İ", "ß", "日本", "\t", "\r\n", "\u3000", "\xa0", "\x1d", "some words "]
+    rng = np.random.default_rng(2)
+    for _ in range(3000):
+        text = "".join(rng.choice(parts[: rng.choice([11, 17])], rng.integers(0, 9)))
+        assert lines.plain_lines(text) == [plain(line) for line in text.split("\n")]
+
+
 @pytest.mark.parametrize("few", [0, 10**6])
 def test_components_of_random_links(spark, monkeypatch, few):
     """The rounds and the single task find the same components."""

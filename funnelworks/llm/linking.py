@@ -27,7 +27,7 @@ SIEVE_BITS = 1 << 26
 _PAGE = 32_768
 #: In `met_in_buckets`: keys that a task deals out at a time, keys that a call gets on average at most, and nodes of a bucket among
 #: those dealt out at a time from which it counts as large.
-KEYS, CALL_KEYS, LARGE = 500_000, 100_000, 100
+KEYS, CALL_KEYS, LARGE = 500_000, 40_000, 100
 #: Nodes and bytes of text of a block, and elements that are counted at a time.
 BLOCK_ROWS, BLOCK_TEXT, COLUMNS = 1500, 6_000_000, 2048
 #: Links (16 bytes each) whose components one task finds.
